@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 KEPT, UPDATED, INSERTED = "kept", "updated", "inserted"
 CHANGE = "change_type"
+# Largest source, in rows, whose keys are broadcast: a few tens of MB of keys.
+SMALL_ROWS = 200_000
 
 
 def upsert(
@@ -56,9 +58,34 @@ def upsert(
     return winners.drop("_rank", "_versions", "_incoming")
 
 
-def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key the target does not hold."""
-    return source.join(target.select(*keys), list(keys), "left_anti")
+def upsert_few(target: DataFrame, source: DataFrame, keys: Sequence[str], newer: str) -> DataFrame:
+    """The same result as ``upsert`` for a source of at most SMALL_ROWS rows, counted beforehand.
+
+    Only keys of the source are broadcast; the target is read twice (keys, then rows) and not
+    shuffled, so a small increment does not move a large table across the network.
+    """
+    keys = list(keys)
+    held = target.select(*keys, F.col(newer).alias("_held")).join(F.broadcast(source.select(*keys)), keys, "left_semi")
+    marked = source.join(F.broadcast(held), keys, "left")
+    absent = F.col("_held").isNull()
+    winners = marked.where(absent | (F.col(newer) > F.col("_held"))).withColumn(
+        CHANGE, F.when(absent, INSERTED).otherwise(UPDATED)
+    )
+    kept = target.join(F.broadcast(winners.select(*keys)), keys, "left_anti").withColumn(CHANGE, F.lit(KEPT))
+    return kept.unionByName(winners.drop("_held"))
+
+
+def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], few: bool = False) -> DataFrame:
+    """Source rows whose key the target does not hold.
+
+    ``few`` says that the source was counted and has at most SMALL_ROWS rows. The target's keys
+    are then cut down to those of the source by a broadcast, instead of being shuffled.
+    """
+    keys = list(keys)
+    held = target.select(*keys)
+    if few:
+        held = F.broadcast(held.join(F.broadcast(source.select(*keys)), keys, "left_semi"))
+    return source.join(held, keys, "left_anti")
 
 
 def change_counts(merged: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ ran twice after an executor was lost is not counted twice.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import partial
@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamart.operators.increments import rows_of_loads, watermark_value
+from stratamart.operators.increments import rows_of_loads, rows_of_other_loads, watermark_value
 from stratamart.operators.keys import assign_keys, key_bucket
 from stratamart.operators.rules import CHECK, REJECTED, VALID
-from stratamart.operators.upsert import CHANGE, INSERTED, UPDATED, insert_absent, upsert
+from stratamart.operators.upsert import CHANGE, INSERTED, SMALL_ROWS, UPDATED, insert_absent, upsert, upsert_few
 from stratamart.plans import gold as star
 from stratamart.plans import silver as refined
 from stratamart.schemas import BRONZE, GOLD, INT, SILVER, TEXT, bronze_schema, raw_schema, table
@@ -31,6 +31,7 @@ from stratamart.sources.raw import EmptySource, UnknownTable, read_raw, stamp
 
 BUCKET = tables.BUCKET
 SILVER_ORDER = ("orders", "order_items", "order_payments", "customers", "sellers", "products", "delivery")
+FACT_SOURCE = {"fact_sales": "order_items", "fact_payments": "order_payments", "fact_delivery": "delivery"}
 GOLD_ORDER = ("dim_date", "dim_customer", "dim_product", "dim_seller", "fact_sales", "fact_payments", "fact_delivery")
 _SETTINGS = table(buckets=INT)
 _MONTH = T.StructField("order_month", INT)
@@ -63,15 +64,17 @@ class Warehouse:
 
     # -- readers -------------------------------------------------------------------------------
 
-    def bronze(self, name: str, loads: list[int] | None = None) -> DataFrame:
-        """Rows of the successfully loaded batches, or of the given ones among them."""
-        visible = self.ledger.loaded_batches(f"bronze_{name}")
-        chosen = [i for i in visible if loads is None or i in set(loads)]
+    def bronze(self, name: str) -> DataFrame:
+        """Rows of the successfully loaded batches."""
+        return self._bronze_loads(name, list(self.ledger.loaded_batches(f"bronze_{name}")))
+
+    def _bronze_loads(self, name: str, loads: list[int]) -> DataFrame:
+        schema = bronze_schema(name)
+        if not loads:
+            return no_rows(self.spark, schema)
         root = f"{self.root}/bronze/{name}"
-        if not chosen:
-            return no_rows(self.spark, bronze_schema(name))
-        reader = self.spark.read.schema(bronze_schema(name)).option("basePath", root)
-        return reader.parquet(*[f"{root}/load_id={i}" for i in chosen]).select(*bronze_schema(name).fieldNames())
+        stored = self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/load_id={i}" for i in loads])
+        return stored.select(*schema.fieldNames())
 
     def silver(self, name: str) -> DataFrame:
         """Current rows of a silver table."""
@@ -97,14 +100,15 @@ class Warehouse:
         commits = self.ledger.commits(f"gold_{name}")
         if name.startswith("fact"):
             schema = T.StructType(GOLD[name].schema.fields + [_MONTH])
-            return tables.read_folders(self.spark, root, tables.version_paths(root, commits), schema)
+            filled = [c for c in commits if c.buckets]
+            return tables.read_folders(self.spark, root, tables.version_paths(root, filled), schema)
         return tables.read_folders(self.spark, root, tables.bucket_paths(root, commits), GOLD[name].schema)
 
-    def silver_tables(self) -> dict[str, DataFrame]:
-        return {name: self.silver(name) for name in SILVER_ORDER}
+    def silver_tables(self) -> Mapping[str, DataFrame]:
+        return Layer(self.silver, SILVER_ORDER)
 
-    def gold_tables(self) -> dict[str, DataFrame]:
-        return {name: self.gold(name) for name in GOLD_ORDER}
+    def gold_tables(self) -> Mapping[str, DataFrame]:
+        return Layer(self.gold, GOLD_ORDER)
 
     # -- bronze --------------------------------------------------------------------------------
 
@@ -119,18 +123,28 @@ class Warehouse:
         )
 
     def load_bronze_rows(
-        self, name: str, rows: DataFrame, batch_key: str, source_file: str, load_datetime: datetime | None = None
+        self,
+        name: str,
+        rows: DataFrame,
+        batch_key: str,
+        source_file: str,
+        load_datetime: datetime | None = None,
+        takeover: bool = False,
     ) -> dict:
-        """The same load for text rows that are already a DataFrame."""
+        """The same load for text rows that are already a DataFrame.
+
+        ``takeover`` closes an attempt of the same key that never ended; only for callers that
+        are sure to be alone, such as a stream that replays an epoch.
+        """
         if name not in BRONZE:
             raise UnknownTable(f"target bronze table does not exist: {name}")
         return self._append_bronze(
-            name, lambda: rows.select(*BRONZE[name]), batch_key, source_file, load_datetime
+            name, lambda: rows.select(*BRONZE[name]), batch_key, source_file, load_datetime, takeover
         )
 
-    def _append_bronze(self, name, rows, batch_key, source_file, load_datetime=None) -> dict:
+    def _append_bronze(self, name, rows, batch_key, source_file, load_datetime=None, takeover=False) -> dict:
         pipeline = f"bronze_{name}"
-        batch = self.ledger.start_batch(pipeline, batch_key, source_file)
+        batch = self.ledger.start_batch(pipeline, batch_key, source_file, takeover)
         try:
             with self.ledger.run(pipeline) as run:
                 stamped = stamp(rows(), batch.batch_id, load_datetime or batch.batch_start_time, source_file)
@@ -152,8 +166,8 @@ class Warehouse:
 
     # -- silver --------------------------------------------------------------------------------
 
-    def _pending(self, name: str) -> tuple[list[int], int]:
-        """Loads not yet in silver, and the watermark.
+    def _pending(self, name: str) -> tuple[dict[int, int | None], int]:
+        """Loads not yet in silver with their row counts where the ledger has them, and the watermark.
 
         Asking the ledger which loads are done, instead of comparing with the watermark alone,
         also picks up a load that finished after a later one was processed.
@@ -161,40 +175,40 @@ class Warehouse:
         commits = self.ledger.commits(f"silver_{name}")
         done = {i for c in commits for i in c.load_ids}
         if name == "delivery":
-            ready = {i for c in self.ledger.commits("silver_orders") for i in c.load_ids}
+            ready = {i: None for c in self.ledger.commits("silver_orders") for i in c.load_ids}
         else:
-            ready = set(self.ledger.loaded_batches(f"bronze_{name}"))
+            ready = self.ledger.loaded_batches(f"bronze_{name}")
         mark = watermark_value(commits[-1].watermark_value) if commits else 0
-        return sorted(ready - done), mark
+        return {i: rows for i, rows in sorted(ready.items()) if i not in done}, mark
 
-    def _increment(self, name: str, loads: list[int]) -> tuple[DataFrame, int]:
-        """Rows of the given loads and their number; for bronze the ledger knows it already."""
+    def _increment(self, name: str, pending: dict[int, int | None]) -> tuple[DataFrame, int]:
+        """Rows of the pending loads and their number."""
         if name == "delivery":
-            rows = rows_of_loads(self.silver("orders"), loads, "source_load_id")
-            return rows, rows.count() if loads else 0
-        counts = self.ledger.loaded_batches(f"bronze_{name}")
-        return self.bronze(name, loads), sum(counts[i] for i in loads)
+            rows = rows_of_loads(self.silver("orders"), pending, "source_load_id")
+            return rows, rows.count() if pending else 0
+        return self._bronze_loads(name, list(pending)), sum(pending.values())
 
     def load_silver(self, name: str) -> dict:
         """Judge the loads that are new and upsert the accepted rows."""
         with self.ledger.run(f"silver_{name}") as run:
-            loads, mark = self._pending(name)
-            source, run.rows_extracted = self._increment(name, loads)
+            pending, mark = self._pending(name)
+            source, run.rows_extracted = self._increment(name, pending)
+            loads = list(pending)
             mark = max([mark, *loads])
             if run.rows_extracted == 0:
                 run.status = NO_NEW_DATA
                 self.ledger.commit(f"silver_{name}", None, [], loads, mark)
                 return run.summary()
-            judged, touched = self._write_judged(name, source, run)
+            judged, rows, touched = self._write_judged(name, source, run)
             if touched:
-                self._write_silver(name, refined.accepted(judged), touched, run)
+                self._write_silver(name, refined.accepted(judged), rows, touched, run)
             self.ledger.commit(f"silver_{name}", run.run_id, touched, loads, mark)
             return run.summary()
 
-    def _write_judged(self, name: str, source: DataFrame, run: Run) -> tuple[DataFrame, list[int]]:
+    def _write_judged(self, name: str, source: DataFrame, run: Run) -> tuple[DataFrame, int, list[int]]:
         """Store all judged rows by status: the staging of the upsert and the quarantine in one.
 
-        Returns them with the buckets that the accepted ones fall into. The summary that comes
+        Returns them with the number of accepted ones and the buckets these fall into. The summary that comes
         back to the driver has a row per status and bucket, a number fixed at creation.
         """
         rows = refined.build_delivery(source) if name == "delivery" else refined.build(source, name)
@@ -209,12 +223,16 @@ class Warehouse:
         for row in summary:
             rows_of[row.data_quality_status] += row["count"]
         run.rows_check, run.rows_rejected = rows_of[CHECK], rows_of[REJECTED]
-        return judged, sorted({r[BUCKET] for r in summary if r.data_quality_status in (VALID, CHECK)})
-
-    def _write_silver(self, name: str, incoming: DataFrame, touched: list[int], run: Run) -> None:
-        """Merge accepted rows into the buckets they touch."""
-        target = self._bucketed(name, set(touched))
-        merged = upsert(target, incoming, SILVER[name].keys, newer="source_load_id", spread=BUCKET)
+        accepted = rows_of[VALID] + rows_of[CHECK]
+        return judged, accepted, sorted({r[BUCKET] for r in summary if r.data_quality_status in (VALID, CHECK)})
+
+    def _write_silver(self, name: str, incoming: DataFrame, rows: int, touched: list[int], run: Run) -> None:
+        """Merge accepted rows into the buckets they touch, by broadcast when they are few."""
+        target, keys = self._bucketed(name, set(touched)), SILVER[name].keys
+        if rows <= SMALL_ROWS and self.ledger.commits(f"silver_{name}"):
+            merged = upsert_few(target, incoming.repartition(BUCKET), keys, newer="source_load_id")
+        else:
+            merged = upsert(target, incoming, keys, newer="source_load_id", spread=BUCKET)
         folder = f"{self.root}/silver/{name}/version={run.run_id}"
         merged.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
         written = self.spark.read.schema(table(**{CHANGE: TEXT})).parquet(folder)
@@ -279,40 +297,62 @@ class Warehouse:
     # -- gold facts ----------------------------------------------------------------------------
 
     def fact_candidates(self, name: str) -> DataFrame:
-        """Silver rows the fact does not hold yet, with their keys or the reason they lack one.
+        """Silver rows the fact does not hold, with their keys or the reason they lack one.
 
-        The fact's keys are taken out first, so the star join only sees what is new.
+        A silver row outside the fact either came with a load the fact has not seen, or was
+        left out by the last fact load; only these two go through the star join.
         """
-        silver_name = {"fact_sales": "order_items", "fact_payments": "order_payments", "fact_delivery": "delivery"}
-        fresh = insert_absent(self.gold(name), self.silver(silver_name[name]), GOLD[name].keys)
+        return self._star_join(name, self._outside(name))
+
+    def _outside(self, name: str) -> DataFrame:
+        rows, keys = self.silver(FACT_SOURCE[name]), GOLD[name].keys
+        commits = self.ledger.commits(f"gold_{name}")
+        if not commits:
+            return rows
+        seen = {i for c in commits for i in c.load_ids}
+        fresh = rows_of_other_loads(rows, seen, "source_load_id")
+        few = fresh.count() <= SMALL_ROWS
+        fresh = insert_absent(self.gold(name), fresh, keys, few)
+        left_out = self._staged(name, commits[-1].version).where(F.col(star.REASON) != star.LOADABLE)
+        known = rows_of_loads(rows, seen, "source_load_id")
+        return fresh.unionByName(known.join(left_out.select(*keys), list(keys), "left_semi"))
+
+    def _star_join(self, name: str, rows: DataFrame) -> DataFrame:
         customers, dim_customer = self.silver("customers"), self.gold("dim_customer")
         if name == "fact_delivery":
-            return star.delivery_candidates(fresh, customers, dim_customer)
+            return star.delivery_candidates(rows, customers, dim_customer)
         lookup = star.order_lookup(self.silver("orders"), customers, dim_customer)
         if name == "fact_payments":
-            return star.payment_candidates(fresh, lookup)
-        return star.sales_candidates(fresh, lookup, self.gold("dim_product"), self.gold("dim_seller"))
+            return star.payment_candidates(rows, lookup)
+        return star.sales_candidates(rows, lookup, self.gold("dim_product"), self.gold("dim_seller"))
+
+    def _staged(self, name: str, version: int) -> DataFrame:
+        """Candidates of one fact load, by outcome."""
+        columns = [f for f in GOLD[name].schema.fields if f.name != GOLD[name].surrogate]
+        schema = T.StructType(columns + [T.StructField(star.REASON, TEXT)])
+        return self.spark.read.schema(schema).parquet(f"{self.root}/staging/{name}/version={version}")
 
     def load_fact(self, name: str) -> dict:
         """Append the fact rows that are absent; rows without a partner or date count as rejected."""
         spec = GOLD[name]
         with self.ledger.run(f"gold_{name}") as run:
-            current = self.gold(name)
-            held = current.agg(F.count(F.lit(1)).alias("rows"), F.max(spec.surrogate).alias("last")).first()
+            held = self.gold(name).agg(F.count(F.lit(1)).alias("rows"), F.max(spec.surrogate).alias("last")).first()
+            loads = sorted({i for c in self.ledger.commits(f"silver_{FACT_SOURCE[name]}") for i in c.load_ids})
             candidates = self.fact_candidates(name)
-            staging = f"{self.root}/staging/{name}/version={run.run_id}"
-            candidates.write.mode("overwrite").partitionBy(star.REASON).parquet(staging)
-            staged = self.spark.read.schema(candidates.schema).parquet(staging)
+            candidates.write.mode("overwrite").partitionBy(star.REASON).parquet(
+                f"{self.root}/staging/{name}/version={run.run_id}"
+            )
+            staged = self._staged(name, run.run_id)
             by_reason = {r[star.REASON]: r["count"] for r in staged.groupBy(star.REASON).count().collect()}
             run.rows_inserted = by_reason.pop(star.LOADABLE, 0)
             run.rows_rejected = sum(by_reason.values())
-            run.details = by_reason
             run.rows_extracted = held.rows + run.rows_inserted
             if run.rows_extracted == 0:
                 raise EmptySource(f"{name} source returned zero rows; check its dimension and order joins")
             if run.rows_inserted:
                 self._append_fact(spec, star.loadable(staged), held.last or 0, run)
-            self.ledger.commit(f"gold_{name}", run.run_id if run.rows_inserted else None, [], [], 0)
+            filled = [0] if run.rows_inserted else []
+            self.ledger.commit(f"gold_{name}", run.run_id, filled, loads, max(loads, default=0))
             return run.summary()
 
     def _append_fact(self, spec, rows: DataFrame, last: int, run: Run) -> None:
@@ -340,6 +380,26 @@ class Warehouse:
         return done
 
 
+class Layer(Mapping):
+    """Tables of one layer by name, each opened when first asked for."""
+
+    def __init__(self, read: Callable[[str], DataFrame], names: tuple[str, ...]):
+        self._read, self._names, self._opened = read, names, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._opened:
+            self._opened[name] = self._read(name)
+        return self._opened[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 def side_by_side(jobs: dict[str, Callable[[], dict]]) -> dict[str, dict]:
     """Run independent loads from one thread each and wait for all; the first error is raised."""
     with ThreadPoolExecutor(len(jobs)) as pool:

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import threading
 import time
+from collections.abc import Iterable
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -49,7 +51,6 @@ class Run:
     rows_check: int = 0
     rows_rejected: int = 0
     status: str = SUCCESS
-    details: dict = field(default_factory=dict)
 
     @property
     def rows_loaded(self) -> int:
@@ -86,9 +87,9 @@ class Ledger:
     # -- storage -------------------------------------------------------------------------------
 
     def _append(self, name: str, schema: T.StructType, **values) -> None:
+        """One row in a folder of its own: two jobs that append to one folder share its temporary files."""
         row = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
         one = self.spark.range(1, numPartitions=1).select(*row)
-        # A folder per row: two jobs that append to one folder share its temporary files.
         one.write.parquet(f"{self.root}/{name}/logged_at={time.time_ns()}")
 
     def _events(self, name: str, schema: T.StructType) -> DataFrame:
@@ -111,22 +112,25 @@ class Ledger:
         events = self._events("batch_control", BATCH_CONTROL)
         return latest(events, ["batch_id"], [F.col("logged_at").desc()]).drop("logged_at")
 
-    def start_batch(self, pipeline: str, batch_key: str, source_name: str) -> Row:
+    def start_batch(self, pipeline: str, batch_key: str, source_name: str, takeover: bool = False) -> Row:
         """Open a batch, or refuse it without touching the ledger.
 
         A failed key is retried under a new batch id. Its rows then carry a load id of their
-        own, so leftovers of the failed attempt are never read.
+        own, so leftovers of the failed attempt are never read. With ``takeover`` an attempt
+        that is still marked as running is closed as failed first.
         """
         with self._numbering:
-            return self._open_batch(pipeline, batch_key, source_name)
+            return self._open_batch(pipeline, batch_key, source_name, takeover)
 
-    def _open_batch(self, pipeline: str, batch_key: str, source_name: str) -> Row:
+    def _open_batch(self, pipeline: str, batch_key: str, source_name: str, takeover: bool) -> Row:
         state = {row.batch_id: row for row in self._history("batch_control", BATCH_CONTROL)}
-        known = [r.status for r in state.values() if (r.pipeline_name, r.source_batch_key) == (pipeline, batch_key)]
-        if SUCCESS in known:
+        attempts = [r for r in state.values() if (r.pipeline_name, r.source_batch_key) == (pipeline, batch_key)]
+        if any(r.status == SUCCESS for r in attempts):
             raise BatchAlreadyLoaded(f"{pipeline}: batch {batch_key} has already been loaded successfully")
-        if RUNNING in known:
-            raise BatchRunning(f"{pipeline}: batch {batch_key} is already running")
+        for running in (r for r in attempts if r.status == RUNNING):
+            if not takeover:
+                raise BatchRunning(f"{pipeline}: batch {batch_key} is already running")
+            self.end_batch(running, FAILED, 0)
         batch = Row(
             batch_id=max(state, default=0) + 1,
             pipeline_name=pipeline,
@@ -144,7 +148,10 @@ class Ledger:
             status=status,
             batch_end_time=now(),
             rows_loaded=rows_loaded,
-            **{k: v for k, v in batch.asDict().items() if k not in ("status", "batch_end_time", "rows_loaded")},
+            **{
+                name: batch[name]
+                for name in ("batch_id", "pipeline_name", "source_name", "source_batch_key", "batch_start_time")
+            },
         )
 
     def loaded_batches(self, pipeline: str) -> dict[int, int]:
@@ -166,12 +173,9 @@ class Ledger:
     def run(self, pipeline: str):
         """Log a run as Running, then as Success or Failed with its counts; errors pass through."""
         started = now()
-        with self._numbering:
-            last = self._events("run_log", RUN_LOG).agg(F.max("run_id")).first()[0]
-            run = Run((last or 0) + 1, pipeline)
-            self._append(
-                "run_log", RUN_LOG, run_id=run.run_id, pipeline_name=pipeline, status=RUNNING, start_time=started
-            )
+        # The clock in nanoseconds: increasing, and unique without asking the log for its last id.
+        run = Run(time.time_ns(), pipeline)
+        self._append("run_log", RUN_LOG, run_id=run.run_id, pipeline_name=pipeline, status=RUNNING, start_time=started)
 
         def finish(status: str, message: str | None = None) -> None:
             self._append(
@@ -200,7 +204,7 @@ class Ledger:
 
     def commits(self, pipeline: str) -> list[Row]:
         """Commit records of one table, oldest first."""
-        return [r for r in self._history("pipeline_control", PIPELINE_CONTROL) if r.pipeline_name == pipeline]
+        return self._history(f"pipeline_control/{pipeline}", PIPELINE_CONTROL)
 
     def commit(self, pipeline: str, version: int | None, buckets: list[int], load_ids: list[int], watermark: int) -> None:
         """Publish a written version and move the watermark, in one record.
@@ -209,7 +213,7 @@ class Ledger:
         it again gives the same table.
         """
         self._append(
-            "pipeline_control",
+            f"pipeline_control/{pipeline}",
             PIPELINE_CONTROL,
             pipeline_name=pipeline,
             watermark_value=str(watermark),
@@ -220,8 +224,13 @@ class Ledger:
             load_ids=load_ids,
         )
 
-    def pipelines(self) -> DataFrame:
-        """Current watermark and last successful run of every pipeline."""
-        events = self._events("pipeline_control", PIPELINE_CONTROL)
-        current = latest(events, ["pipeline_name"], [F.col("logged_at").desc()])
-        return current.select("pipeline_name", "watermark_value", "last_successful_run", "is_active")
+    def pipelines(self, names: Iterable[str]) -> DataFrame:
+        """Current watermark and last successful run of the named pipelines."""
+        columns = ["pipeline_name", "watermark_value", "last_successful_run", "is_active"]
+        current = [
+            latest(
+                self._events(f"pipeline_control/{name}", PIPELINE_CONTROL), ["pipeline_name"], [F.col("logged_at").desc()]
+            ).select(*columns)
+            for name in names
+        ]
+        return reduce(DataFrame.unionByName, current)

@@ -21,7 +21,14 @@ class EmptySource(ValueError):
     """The source file holds no data rows."""
 
 
-def read_raw(spark: SparkSession, table: str, path: str | list[str], mode: str = "quoted") -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    table: str,
+    path: str | list[str],
+    mode: str = "quoted",
+    stream: bool = False,
+    files_per_batch: int = 1000,
+) -> DataFrame:
     """Rows of one source table, header line of each file skipped.
 
     ``quoted``     quote-aware; files are split between tasks.
@@ -29,38 +36,30 @@ def read_raw(spark: SparkSession, table: str, path: str | list[str], mode: str =
                    task then, so such sources should come as many files.
     ``split``      plain split at every comma: quotes stay in the values and the last column
                    takes the rest of the line, which ends at a line feed only.
+
+    With ``stream`` the path is a folder that new files arrive in, taken ``files_per_batch`` at
+    a time.
     """
     if table not in BRONZE:
         raise UnknownTable(f"target bronze table does not exist: {table}")
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch) if stream else spark.read
     if mode == "split":
-        return _split_lines(spark, table, path)
+        lines = (
+            reader.schema("line string")
+            .options(header=True, sep=_NO_SEPARATOR, quote="", lineSep="\n", encoding="UTF-8", enforceSchema=True)
+            .csv(path)
+        )
+        parts = F.split("line", ",", len(BRONZE[table]))
+        return lines.select(*[F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(BRONZE[table])])
     if mode not in ("quoted", "multiline"):
         raise ValueError(f"unknown mode: {mode}")
     return (
-        spark.read.schema(raw_schema(table))
+        reader.schema(raw_schema(table))
         .options(header=True, sep=",", quote='"', escape='"', encoding="UTF-8", multiLine=mode == "multiline")
         .csv(path)
     )
 
 
-def _split_lines(spark: SparkSession, table: str, path: str | list[str]) -> DataFrame:
-    lines = (
-        spark.read.schema("line string")
-        .options(header=True, sep=_NO_SEPARATOR, quote="", lineSep="\n", encoding="UTF-8", enforceSchema=True)
-        .csv(path)
-    )
-    columns = BRONZE[table]
-    parts = F.split("line", ",", len(columns))
-    return lines.select(*[F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(columns)])
-
-
-def require_rows(df: DataFrame, what: str) -> DataFrame:
-    """The frame itself, or EmptySource when it has no row (looks at one row only)."""
-    if df.isEmpty():
-        raise EmptySource(f"the source file contains no data: {what}")
-    return df
-
-
 def stamp(df: DataFrame, load_id: int | Column, load_datetime: datetime | Column, source_file: str | Column) -> DataFrame:
     """Add the load metadata; one instant per load, so that all its rows agree."""
 

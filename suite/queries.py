@@ -7,6 +7,7 @@ mart queries read the stored warehouse, as they would in use.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,8 @@ from stratamart.operators.keys import assign_keys
 from stratamart.operators.rules import CHECK, REJECTED, VALID
 from stratamart.operators.upsert import change_counts, insert_absent, upsert
 from stratamart.plans import gold, marts, silver, validation
-from stratamart.plans.warehouse import BRONZE
-from stratamart.schemas import SILVER
+from stratamart.plans.warehouse import side_by_side
+from stratamart.schemas import BRONZE, SILVER
 from stratamart.session import new_folder
 from stratamart.sources.ledger import BatchAlreadyLoaded
 from stratamart.sources.raw import EmptySource, read_raw, stamp
@@ -524,8 +525,8 @@ def dim_surrogate_keys(spark, sf_dir):
 @query
 def scd1_customer(spark, sf_dir):
     """A dimension first loaded from VALID customers only, then from all of them."""
-    customers = accepted(spark, sf_dir, "customers")
-    orders = accepted(spark, sf_dir, "orders")
+    warehouse = loaded_warehouse(spark, sf_dir)
+    customers, orders = warehouse.silver("customers"), warehouse.silver("orders")
     before = gold.customer_source(customers.where(F.col("data_quality_status") == VALID), orders)
     target = assign_keys(before, "customer_key", ["customer_unique_id"], 0, "int")
     merged = upsert(target, gold.customer_source(customers, orders), ["customer_unique_id"], carry="customer_key")
@@ -610,7 +611,7 @@ def fact_idempotent(spark, sf_dir):
     """A repeated load inserts nothing."""
     warehouse = loaded_warehouse(spark, sf_dir)
     names = ("fact_sales", "fact_payments", "fact_delivery")
-    again = {name: warehouse.load_fact(name) for name in names}
+    again = side_by_side({name: partial(warehouse.load_fact, name) for name in names})
     return checks.stack(
         [
             warehouse.gold(name).agg(F.count(F.lit(1)).alias("rows_stored")).select(
