@@ -19,7 +19,7 @@ def upsert(
     keys: Sequence[str],
     newer: str | None = None,
     carry: str | None = None,
-    spread: str | None = None,
+    spread: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Target after the upsert, each row marked kept, updated or inserted.
 
@@ -27,17 +27,19 @@ def upsert(
     source holds a strictly greater value in that column; without it the source always wins.
     ``carry`` names a target-only column (a surrogate key) that survives the replacement.
 
-    Both sides are stacked and the winner is picked per key, so the merge needs one shuffle
-    and no second one when ``spread`` (a column that depends on the key only) also lays out
-    the written result. At most two rows share a key, so no group can grow hot.
+    Both sides are stacked and the winner is picked per key, so the merge needs one shuffle.
+    ``spread`` is a bucket column that depends on the key only, with its number of buckets: the
+    shuffle then sends every bucket to a task of its own, and a result written by bucket needs
+    no second one. At most two rows share a key, so no group can grow hot.
     """
     if carry:
         source = source.withColumn(carry, F.lit(None).cast(target.schema[carry].dataType))
     stacked = target.withColumn("_incoming", F.lit(0)).unionByName(source.withColumn("_incoming", F.lit(1)))
     group = list(keys)
     if spread:
-        stacked = stacked.repartition(spread)
-        group = [spread, *group]
+        bucket, count = spread
+        stacked = stacked.repartitionById(count, F.col(bucket))
+        group = [bucket, *group]
     everyone = Window.partitionBy(*group)
     if newer:
         ranked = everyone.orderBy(F.col(newer).desc_nulls_last(), F.col("_incoming").asc())

@@ -206,18 +206,16 @@ class Warehouse:
             return run.summary()
 
     def _write_judged(self, name: str, source: DataFrame, run: Run) -> tuple[DataFrame, int, list[int]]:
-        """Store all judged rows by status: the staging of the upsert and the quarantine in one.
+        """Store all judged rows: the staging of the upsert and the quarantine in one.
 
         Returns them with the number of accepted ones and the buckets these fall into. The summary that comes
         back to the driver has a row per status and bucket, a number fixed at creation.
         """
         rows = refined.build_delivery(source) if name == "delivery" else refined.build(source, name)
         folder = f"{self.root}/judged/{name}/version={run.run_id}"
-        rows.write.mode("overwrite").partitionBy("data_quality_status").parquet(folder)
+        rows.write.mode("overwrite").parquet(folder)
         judged = self.spark.read.schema(SILVER[name].schema).parquet(folder)
-        judged = judged.select(*SILVER[name].schema.fieldNames()).withColumn(
-            BUCKET, key_bucket(SILVER[name].keys, self.buckets)
-        )
+        judged = judged.withColumn(BUCKET, key_bucket(SILVER[name].keys, self.buckets))
         summary = judged.groupBy("data_quality_status", BUCKET).count().collect()
         rows_of = Counter()
         for row in summary:
@@ -228,11 +226,15 @@ class Warehouse:
 
     def _write_silver(self, name: str, incoming: DataFrame, rows: int, touched: list[int], run: Run) -> None:
         """Merge accepted rows into the buckets they touch, by broadcast when they are few."""
-        target, keys = self._bucketed(name, set(touched)), SILVER[name].keys
-        if rows <= SMALL_ROWS and self.ledger.commits(f"silver_{name}"):
-            merged = upsert_few(target, incoming.repartition(BUCKET), keys, newer="source_load_id")
+        keys, held = SILVER[name].keys, tables.bucket_versions(self.ledger.commits(f"silver_{name}"))
+        if held.keys().isdisjoint(touched):
+            merged = incoming.repartitionById(self.buckets, F.col(BUCKET)).withColumn(CHANGE, F.lit(INSERTED))
+        elif rows <= SMALL_ROWS:
+            placed = incoming.repartitionById(self.buckets, F.col(BUCKET))
+            merged = upsert_few(self._bucketed(name, set(touched)), placed, keys, newer="source_load_id")
         else:
-            merged = upsert(target, incoming, keys, newer="source_load_id", spread=BUCKET)
+            target = self._bucketed(name, set(touched))
+            merged = upsert(target, incoming, keys, newer="source_load_id", spread=(BUCKET, self.buckets))
         folder = f"{self.root}/silver/{name}/version={run.run_id}"
         merged.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
         written = self.spark.read.schema(table(**{CHANGE: TEXT})).parquet(folder)
@@ -339,9 +341,7 @@ class Warehouse:
             held = self.gold(name).agg(F.count(F.lit(1)).alias("rows"), F.max(spec.surrogate).alias("last")).first()
             loads = sorted({i for c in self.ledger.commits(f"silver_{FACT_SOURCE[name]}") for i in c.load_ids})
             candidates = self.fact_candidates(name)
-            candidates.write.mode("overwrite").partitionBy(star.REASON).parquet(
-                f"{self.root}/staging/{name}/version={run.run_id}"
-            )
+            candidates.write.mode("overwrite").parquet(f"{self.root}/staging/{name}/version={run.run_id}")
             staged = self._staged(name, run.run_id)
             by_reason = {r[star.REASON]: r["count"] for r in staged.groupBy(star.REASON).count().collect()}
             run.rows_inserted = by_reason.pop(star.LOADABLE, 0)

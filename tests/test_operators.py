@@ -57,8 +57,8 @@ def test_upsert_against_brute_force(spark, seed):
     merged = upsert(*frames, ["k"], newer="load").select("k", "v", "load", "change_type")
     assert rows(merged) == expected
     assert rows(upsert_few(*frames, ["k"], newer="load").select("k", "v", "load", "change_type")) == expected
-    spread = [f.withColumn("b", F.col("k") % 5) for f in frames]
-    assert rows(upsert(*spread, ["k"], newer="load", spread="b").select("k", "v", "load", "change_type")) == expected
+    spread = [f.withColumn("b", (F.col("k") % 5).cast("int")) for f in frames]
+    assert rows(upsert(*spread, ["k"], newer="load", spread=("b", 5)).select("k", "v", "load", "change_type")) == expected
     counts = change_counts(merged).first()
     assert counts.rows_updated == sum(e[3] == "updated" for e in expected)
     assert counts.rows_inserted == sum(e[3] == "inserted" for e in expected)
