@@ -8,6 +8,7 @@ ran twice after an executor was lost is not counted twice.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -55,11 +56,11 @@ class Warehouse:
         self.buckets = self._settled_buckets(buckets)
 
     def _settled_buckets(self, wanted: int | None) -> int:
-        stored = self.ledger._events("settings", _SETTINGS).orderBy("logged_at").select("buckets").take(1)
+        stored = self.ledger.events("settings", _SETTINGS).orderBy("logged_at").select("buckets").take(1)
         if stored:
             return stored[0].buckets
         buckets = wanted or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.ledger._append("settings", _SETTINGS, buckets=buckets)
+        self.ledger.append("settings", _SETTINGS, buckets=buckets)
         return buckets
 
     # -- readers -------------------------------------------------------------------------------
@@ -277,7 +278,8 @@ class Warehouse:
                 T.StructType(spec.schema.fields + [T.StructField(CHANGE, TEXT)])
             ).parquet(staging)
             self._refuse_null_keys(staged, spec, run)
-            last = current.agg(F.max(spec.surrogate)).first()[0] or 0
+            # Keys are dense and members are never dropped: the row count is the last key.
+            last = current.count()
             fresh = staged.where(F.col(spec.surrogate).isNull())
             numbered = assign_keys(fresh, spec.surrogate, spec.keys, last, spec.schema[spec.surrogate].dataType.simpleString())
             columns = spec.schema.fieldNames()
@@ -304,29 +306,44 @@ class Warehouse:
         A silver row outside the fact either came with a load the fact has not seen, or was
         left out by the last fact load; only these two go through the star join.
         """
-        return self._star_join(name, self._outside(name))
+        return self._star_join(name, *self._outside(name))
 
-    def _outside(self, name: str) -> DataFrame:
-        rows, keys = self.silver(FACT_SOURCE[name]), GOLD[name].keys
+    def _outside(self, name: str) -> tuple[DataFrame, bool]:
+        """Those silver rows, and whether they were counted to be at most SMALL_ROWS."""
+        rows, keys = self.silver(FACT_SOURCE[name]), list(GOLD[name].keys)
         commits = self.ledger.commits(f"gold_{name}")
         if not commits:
-            return rows
+            return rows, False
         seen = {i for c in commits for i in c.load_ids}
         fresh = rows_of_other_loads(rows, seen, "source_load_id")
-        few = fresh.count() <= SMALL_ROWS
-        fresh = insert_absent(self.gold(name), fresh, keys, few)
-        left_out = self._staged(name, commits[-1].version).where(F.col(star.REASON) != star.LOADABLE)
+        left_out = self._staged(name, commits[-1].version).where(F.col(star.REASON) != star.LOADABLE).select(*keys)
+        few = fresh.count() + left_out.count() <= SMALL_ROWS
         known = rows_of_loads(rows, seen, "source_load_id")
-        return fresh.unionByName(known.join(left_out.select(*keys), list(keys), "left_semi"))
+        again = known.join(F.broadcast(left_out) if few else left_out, keys, "left_semi")
+        outside = insert_absent(self.gold(name), fresh, keys, few).unionByName(again)
+        if few:
+            # Stored, because every partner table of the star join is cut down to these rows.
+            folder = f"{self.root}/staging/{name}/outside={uuid.uuid4().hex}"
+            outside.write.parquet(folder)
+            outside = self.spark.read.schema(rows.schema).parquet(folder)
+        return outside, few
+
+    def _star_join(self, name: str, rows: DataFrame, few: bool) -> DataFrame:
+        """Rows with their dimension keys; for few rows, every partner table is first cut down to theirs."""
+
+        def partners(table: DataFrame, of: DataFrame, key: str) -> DataFrame:
+            return table.join(F.broadcast(of.select(key)), key, "left_semi") if few else table
 
-    def _star_join(self, name: str, rows: DataFrame) -> DataFrame:
         customers, dim_customer = self.silver("customers"), self.gold("dim_customer")
         if name == "fact_delivery":
-            return star.delivery_candidates(rows, customers, dim_customer)
-        lookup = star.order_lookup(self.silver("orders"), customers, dim_customer)
+            return star.delivery_candidates(rows, partners(customers, rows, "customer_id"), dim_customer)
+        orders = partners(self.silver("orders"), rows, "order_id")
+        lookup = star.order_lookup(orders, partners(customers, orders, "customer_id"), dim_customer)
         if name == "fact_payments":
             return star.payment_candidates(rows, lookup)
-        return star.sales_candidates(rows, lookup, self.gold("dim_product"), self.gold("dim_seller"))
+        products = partners(self.gold("dim_product"), rows, "product_id")
+        sellers = partners(self.gold("dim_seller"), rows, "seller_id")
+        return star.sales_candidates(rows, lookup, products, sellers)
 
     def _staged(self, name: str, version: int) -> DataFrame:
         """Candidates of one fact load, by outcome."""
@@ -338,7 +355,8 @@ class Warehouse:
         """Append the fact rows that are absent; rows without a partner or date count as rejected."""
         spec = GOLD[name]
         with self.ledger.run(f"gold_{name}") as run:
-            held = self.gold(name).agg(F.count(F.lit(1)).alias("rows"), F.max(spec.surrogate).alias("last")).first()
+            # Facts only grow and their keys are dense: the row count, read from the file footers, is the last key.
+            held = self.gold(name).count()
             loads = sorted({i for c in self.ledger.commits(f"silver_{FACT_SOURCE[name]}") for i in c.load_ids})
             candidates = self.fact_candidates(name)
             candidates.write.mode("overwrite").parquet(f"{self.root}/staging/{name}/version={run.run_id}")
@@ -346,11 +364,11 @@ class Warehouse:
             by_reason = {r[star.REASON]: r["count"] for r in staged.groupBy(star.REASON).count().collect()}
             run.rows_inserted = by_reason.pop(star.LOADABLE, 0)
             run.rows_rejected = sum(by_reason.values())
-            run.rows_extracted = held.rows + run.rows_inserted
+            run.rows_extracted = held + run.rows_inserted
             if run.rows_extracted == 0:
                 raise EmptySource(f"{name} source returned zero rows; check its dimension and order joins")
             if run.rows_inserted:
-                self._append_fact(spec, star.loadable(staged), held.last or 0, run)
+                self._append_fact(spec, star.loadable(staged), held, run)
             filled = [0] if run.rows_inserted else []
             self.ledger.commit(f"gold_{name}", run.run_id, filled, loads, max(loads, default=0))
             return run.summary()

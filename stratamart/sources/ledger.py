@@ -6,13 +6,10 @@ batch, run or table is its state. They grow with the number of loads, not with t
 
 from __future__ import annotations
 
-import threading
 import time
-from collections.abc import Iterable
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -76,26 +73,28 @@ def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 class Ledger:
-    """Reads and appends control rows below ``root``. One driver writes at a time."""
+    """Reads and appends control rows below ``root``, in one folder per table and pipeline.
+
+    A load reads the rows of its own pipeline only. Loads of different pipelines may run side
+    by side; one pipeline has one writer at a time.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        # Loads of different tables may run side by side in one driver; ids are given one at a time.
-        self._numbering = threading.Lock()
 
     # -- storage -------------------------------------------------------------------------------
 
-    def _append(self, name: str, schema: T.StructType, **values) -> None:
+    def append(self, name: str, schema: T.StructType, **values) -> None:
         """One row in a folder of its own: two jobs that append to one folder share its temporary files."""
         row = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
         one = self.spark.range(1, numPartitions=1).select(*row)
         one.write.parquet(f"{self.root}/{name}/logged_at={time.time_ns()}")
 
-    def _events(self, name: str, schema: T.StructType) -> DataFrame:
+    def events(self, name: str, schema: T.StructType) -> DataFrame:
         logged = T.StructType(schema.fields + [T.StructField("logged_at", LONG)])
         try:
-            return self.spark.read.schema(logged).parquet(f"{self.root}/{name}")
+            return self.spark.read.schema(logged).parquet(f"{self.root}/{name}").select(*logged.fieldNames())
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -103,28 +102,24 @@ class Ledger:
 
     def _history(self, name: str, schema: T.StructType) -> list[Row]:
         """All rows of a control table, oldest first: a few per load, so they fit the driver."""
-        return sorted(self._events(name, schema).collect(), key=lambda row: row.logged_at)
+        return sorted(self.events(name, schema).collect(), key=lambda row: row.logged_at)
 
     # -- batches -------------------------------------------------------------------------------
 
     def batches(self) -> DataFrame:
         """Current state of every batch."""
-        events = self._events("batch_control", BATCH_CONTROL)
-        return latest(events, ["batch_id"], [F.col("logged_at").desc()]).drop("logged_at")
+        events = self.events("batch_control", BATCH_CONTROL)
+        return latest(events, ["pipeline_name", "batch_id"], [F.col("logged_at").desc()]).drop("logged_at")
 
     def start_batch(self, pipeline: str, batch_key: str, source_name: str, takeover: bool = False) -> Row:
         """Open a batch, or refuse it without touching the ledger.
 
-        A failed key is retried under a new batch id. Its rows then carry a load id of their
-        own, so leftovers of the failed attempt are never read. With ``takeover`` an attempt
+        Batch ids count up within a pipeline. A failed key is retried under a new one; its rows
+        then carry a load id of their own, so leftovers of the failed attempt are never read. With ``takeover`` an attempt
         that is still marked as running is closed as failed first.
         """
-        with self._numbering:
-            return self._open_batch(pipeline, batch_key, source_name, takeover)
-
-    def _open_batch(self, pipeline: str, batch_key: str, source_name: str, takeover: bool) -> Row:
-        state = {row.batch_id: row for row in self._history("batch_control", BATCH_CONTROL)}
-        attempts = [r for r in state.values() if (r.pipeline_name, r.source_batch_key) == (pipeline, batch_key)]
+        state = {row.batch_id: row for row in self._history(f"batch_control/pipeline={pipeline}", BATCH_CONTROL)}
+        attempts = [r for r in state.values() if r.source_batch_key == batch_key]
         if any(r.status == SUCCESS for r in attempts):
             raise BatchAlreadyLoaded(f"{pipeline}: batch {batch_key} has already been loaded successfully")
         for running in (r for r in attempts if r.status == RUNNING):
@@ -138,12 +133,12 @@ class Ledger:
             source_batch_key=batch_key,
             batch_start_time=now(),
         )
-        self._append("batch_control", BATCH_CONTROL, status=RUNNING, **batch.asDict())
+        self.append(f"batch_control/pipeline={pipeline}", BATCH_CONTROL, status=RUNNING, **batch.asDict())
         return batch
 
     def end_batch(self, batch: Row, status: str, rows_loaded: int) -> None:
-        self._append(
-            "batch_control",
+        self.append(
+            f"batch_control/pipeline={batch.pipeline_name}",
             BATCH_CONTROL,
             status=status,
             batch_end_time=now(),
@@ -158,15 +153,15 @@ class Ledger:
         """Rows of each successful batch of one pipeline: the only loads readers may see."""
         return {
             row.batch_id: row.rows_loaded
-            for row in self._history("batch_control", BATCH_CONTROL)
-            if row.pipeline_name == pipeline and row.status == SUCCESS
+            for row in self._history(f"batch_control/pipeline={pipeline}", BATCH_CONTROL)
+            if row.status == SUCCESS
         }
 
     # -- runs ----------------------------------------------------------------------------------
 
     def runs(self) -> DataFrame:
         """Current state of every run."""
-        events = self._events("run_log", RUN_LOG)
+        events = self.events("run_log", RUN_LOG)
         return latest(events, ["run_id"], [F.col("logged_at").desc()]).drop("logged_at")
 
     @contextmanager
@@ -175,11 +170,18 @@ class Ledger:
         started = now()
         # The clock in nanoseconds: increasing, and unique without asking the log for its last id.
         run = Run(time.time_ns(), pipeline)
-        self._append("run_log", RUN_LOG, run_id=run.run_id, pipeline_name=pipeline, status=RUNNING, start_time=started)
+        self.append(
+            f"run_log/pipeline={pipeline}",
+            RUN_LOG,
+            run_id=run.run_id,
+            pipeline_name=pipeline,
+            status=RUNNING,
+            start_time=started,
+        )
 
         def finish(status: str, message: str | None = None) -> None:
-            self._append(
-                "run_log",
+            self.append(
+                f"run_log/pipeline={pipeline}",
                 RUN_LOG,
                 run_id=run.run_id,
                 pipeline_name=pipeline,
@@ -204,7 +206,7 @@ class Ledger:
 
     def commits(self, pipeline: str) -> list[Row]:
         """Commit records of one table, oldest first."""
-        return self._history(f"pipeline_control/{pipeline}", PIPELINE_CONTROL)
+        return self._history(f"pipeline_control/pipeline={pipeline}", PIPELINE_CONTROL)
 
     def commit(self, pipeline: str, version: int | None, buckets: list[int], load_ids: list[int], watermark: int) -> None:
         """Publish a written version and move the watermark, in one record.
@@ -212,8 +214,8 @@ class Ledger:
         Written last: a job that dies before this line leaves files nobody reads, and running
         it again gives the same table.
         """
-        self._append(
-            f"pipeline_control/{pipeline}",
+        self.append(
+            f"pipeline_control/pipeline={pipeline}",
             PIPELINE_CONTROL,
             pipeline_name=pipeline,
             watermark_value=str(watermark),
@@ -224,13 +226,8 @@ class Ledger:
             load_ids=load_ids,
         )
 
-    def pipelines(self, names: Iterable[str]) -> DataFrame:
-        """Current watermark and last successful run of the named pipelines."""
-        columns = ["pipeline_name", "watermark_value", "last_successful_run", "is_active"]
-        current = [
-            latest(
-                self._events(f"pipeline_control/{name}", PIPELINE_CONTROL), ["pipeline_name"], [F.col("logged_at").desc()]
-            ).select(*columns)
-            for name in names
-        ]
-        return reduce(DataFrame.unionByName, current)
+    def pipelines(self) -> DataFrame:
+        """Current watermark and last successful run of every pipeline."""
+        events = self.events("pipeline_control", PIPELINE_CONTROL)
+        current = latest(events, ["pipeline_name"], [F.col("logged_at").desc()])
+        return current.select("pipeline_name", "watermark_value", "last_successful_run", "is_active")

@@ -62,7 +62,7 @@ def test_upsert_over_loads(wh, spark):
     assert [r.data_quality_reason for r in wh.quarantine("orders").collect()] == ["Missing order_id"]
     third = wh.load_silver("orders")
     assert third["status"] == NO_NEW_DATA and third["rows_extracted"] == 0
-    state = wh.ledger.pipelines(["silver_orders"]).first()
+    state = wh.ledger.pipelines().where("pipeline_name = 'silver_orders'").first()
     assert (state.watermark_value, state.is_active) == ("2", 1)
 
 
