@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,11 @@ class Run:
         }
 
 
+def _literal(value) -> Column:
+    """A literal; a wall clock goes in as text, which no session time zone shifts."""
+    return F.lit(str(value) if isinstance(value, datetime) else value)
+
+
 def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty frame that the optimizer knows to be empty."""
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
@@ -87,7 +92,7 @@ class Ledger:
 
     def append(self, name: str, schema: T.StructType, **values) -> None:
         """One row in a folder of its own: two jobs that append to one folder share its temporary files."""
-        row = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
+        row = [_literal(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
         one = self.spark.range(1, numPartitions=1).select(*row)
         one.write.parquet(f"{self.root}/{name}/logged_at={time.time_ns()}")
 

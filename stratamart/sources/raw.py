@@ -64,7 +64,8 @@ def stamp(df: DataFrame, load_id: int | Column, load_datetime: datetime | Column
     """Add the load metadata; one instant per load, so that all its rows agree."""
 
     def literal(value):
-        return value if isinstance(value, Column) else F.lit(value)
+        # A wall clock goes in as text, which no session time zone shifts.
+        return value if isinstance(value, Column) else F.lit(str(value))
 
     return df.withColumns(
         {
