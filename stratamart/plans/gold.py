@@ -182,7 +182,16 @@ def delivery_candidates(delivery: DataFrame, customers: DataFrame, dim_customer:
 
 
 def loadable(candidates: DataFrame) -> DataFrame:
-    return candidates.where(F.col(REASON) == LOADABLE).drop(REASON)
+    """Candidates that lack nothing.
+
+    The keys are also tested one by one: straight after the star join this tells Spark that its
+    left joins may run as inner ones, and over stored candidates it reaches the scan.
+    """
+    needed = [k for k in ("customer_key", "product_key", "seller_key", "order_date_key") if k in candidates.columns]
+    complete = candidates
+    for key in needed:
+        complete = complete.where(F.col(key).isNotNull())
+    return complete.where(F.col(REASON) == LOADABLE).drop(REASON)
 
 
 def order_month(key: Column) -> Column:

@@ -51,3 +51,16 @@ def test_no_python_and_no_cross_join_in_any_plan(spark, sf_dir):
         text = plan(queries()[name](spark, sf_dir))
         for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in text, (name, bad)
+
+
+def test_complete_facts_join_inner(spark, sf_dir):
+    assert "LeftOuter" not in plan(queries()["fact_sales"](spark, sf_dir))
+
+
+def test_merge_takes_one_shuffle(spark, sf_dir):
+    from stratamart.operators.upsert import upsert
+
+    warehouse = loaded_warehouse(spark, sf_dir)
+    stored = warehouse._bucketed("orders")
+    merged = upsert(stored, stored, ["order_id"], newer="source_load_id", spread=("key_bucket", warehouse.buckets))
+    assert plan(merged).count("Exchange") == 1
