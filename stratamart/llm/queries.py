@@ -10,7 +10,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratamart.llm import byte_bpe, packing, personal_data, quality_classifier, quality_rules, token_counts
+from stratamart.llm import byte_bpe, fingerprints, line_dedup, packing, personal_data, quality_classifier, quality_rules, token_counts
 from stratamart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_counts(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_line_dedup"] = line_dedup.ORACLE
+
+
 @query
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -58,6 +66,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(docs, quality_rules.trained(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
