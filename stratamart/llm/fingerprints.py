@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from stratamart.llm.common import partitions, written
 
 LEXICONS = 16
-MIN_SHARE, MAX_SHARE = 0.0005, 0.05
+MIN_SHARE, MAX_SHARE = 0.001, 0.05
 MAX_BROADCAST = 1_000_000
 _LEVEL_BITS = 4
 _IN_TEXT, _IN_EDITED = 1, 2
@@ -91,23 +91,35 @@ def edited_text() -> Column:
 
 
 def _whole(terms: str, text: str) -> Column:
-    return F.when(F.size(terms) == 0, F.xxhash64(text)).otherwise(F.xxhash64(F.array_sort(terms)))
+    return F.when(F.size(terms) == 0, F.xxhash64(text)).otherwise(F.xxhash64(F.sort_array(terms)))
 
 
-def _hashes(version: int, whole: str) -> Column:
-    """One hash for each lexicon, of the text's terms in its narrowest subset that has any."""
-    terms = F.filter("terms", lambda x: x["version"].bitwiseAND(version) != 0)
+def _tagged(terms: Column, version: int) -> Column:
+    return F.transform(terms, lambda x: F.struct(x.alias("term"), F.lit(version).alias("version")))
 
-    def hashed(k: int) -> Column:
-        def level(x: Column) -> Column:
-            return F.shiftrightunsigned(x["levels"], _LEVEL_BITS * k).bitwiseAND((1 << _LEVEL_BITS) - 1)
 
-        own = F.col(f"_terms{version}")
-        narrowest = F.array_max(F.transform(own, level))
-        kept = F.transform(F.filter(own, lambda x: level(x) == narrowest), lambda x: x["term"])
-        return F.when(F.size(own) == 0, F.col(whole)).otherwise(F.xxhash64(F.array_sort(kept)))
+def _subset_hashes(rows: DataFrame) -> DataFrame:
+    """For each text and lexicon, the hash of the sorted terms in the narrowest subset that has any.
 
-    return terms, F.array(*[hashed(k) for k in range(LEXICONS)])
+    Slots 0 to LEXICONS - 1 are those of the text, the next ones those of the edited text; slot -1
+    carries the text's facts.
+    """
+    of_text, slots = Window.partitionBy("bucket", "row"), [F.when(F.col("term").isNull(), F.lit(-1))]
+    for part, version in enumerate((_IN_TEXT, _IN_EDITED)):
+        here = F.col("version").bitwiseAND(version) != 0
+        for k in range(LEXICONS):
+            level = F.shiftrightunsigned("levels", _LEVEL_BITS * k).bitwiseAND((1 << _LEVEL_BITS) - 1)
+            narrowest = F.max(F.when(here, level)).over(of_text)
+            slots.append(F.when(here & (level == narrowest), F.lit(part * LEXICONS + k)))
+    kept = rows.select("bucket", "row", "term", "facts", F.array_compact(F.array(*slots)).alias("slots"))
+    kept = kept.select("bucket", "row", "term", "facts", F.explode("slots").alias("slot"))
+    hashed = F.xxhash64(F.sort_array(F.collect_list("term"))).alias("hash")
+    return kept.groupBy("bucket", "row", "slot").agg(hashed, F.first("facts", ignorenulls=True).alias("facts"))
+
+
+def _of_part(part: int, whole: str) -> Column:
+    own = F.filter("hashes", lambda x: (x["slot"] >= part * LEXICONS) & (x["slot"] < (part + 1) * LEXICONS))
+    return F.when(F.size(own) == 0, F.array_repeat(F.col(whole), LEXICONS)).otherwise(F.transform(own, lambda x: x["hash"]))
 
 
 def _hex(hashes: str) -> Column:
@@ -126,25 +138,25 @@ def fingerprints(docs: DataFrame, low: float = MIN_SHARE, high: float = MAX_SHAR
     band = written(lexicon(filled, low, high), "lexicon")
     if band.count() <= MAX_BROADCAST:
         band = F.broadcast(band)
-    pairs = in_ranges(filled).withColumn("edited", edited_text())
-    pairs = pairs.withColumn("t", term_hashes(F.col("text"))).withColumn("e", term_hashes(F.col("edited")))
+    texts = in_ranges(filled).withColumn("edited", edited_text())
+    texts = texts.withColumn("t", term_hashes(F.col("text"))).withColumn("e", term_hashes(F.col("edited")))
     kinds = {_IN_TEXT | _IN_EDITED: F.array_intersect("t", "e"), _IN_TEXT: F.array_except("t", "e"), _IN_EDITED: F.array_except("e", "t")}
-    tagged = [F.transform(x, lambda y, kind=kind: F.struct(y.alias("term"), F.lit(kind).alias("version"))) for kind, x in kinds.items()]
-    rows = pairs.select(
-        "bucket", "row", "ghost", "doc_id",
+    tagged = [_tagged(x, version) for version, x in kinds.items()]
+    facts = F.struct(
+        "ghost", "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         _whole("t", "text").alias("whole"), _whole("e", "edited").alias("edited_whole"),
-        F.explode_outer(F.concat(*tagged)).alias("found"),
     )
-    rows = rows.select("*", "found.term", "found.version").join(band, "term", "left")
-    carried = ["ghost", "doc_id", "n_chars", "edited_sha256", "whole", "edited_whole"]
-    kept = F.when(F.col("levels").isNotNull(), F.struct("term", "levels", "version"))
-    texts = rows.groupBy("bucket", "row").agg(*[F.first(c).alias(c) for c in carried], F.collect_list(kept).alias("terms"))
-    plain, hashes = _hashes(_IN_TEXT, "whole")
-    plain_edited, hashes_edited = _hashes(_IN_EDITED, "edited_whole")
-    texts = texts.withColumn(f"_terms{_IN_TEXT}", plain).withColumn(f"_terms{_IN_EDITED}", plain_edited)
-    texts = texts.withColumn("own", hashes).withColumn("changed", hashes_edited)
+    # the first row of each text has its facts and no term, so that the others stay narrow
+    head = F.array(F.struct(F.lit(None).cast("long").alias("term"), F.lit(0).alias("version")))
+    rows = texts.select("bucket", "row", facts.alias("facts"), F.explode(F.concat(head, *tagged)).alias("found"))
+    rows = rows.select("bucket", "row", "found.*", F.when(F.col("found.term").isNull(), F.col("facts")).alias("facts"))
+    rows = rows.join(band, "term", "left").where("term is null or levels is not null")
+    hashes = F.sort_array(F.collect_list(F.struct("slot", "hash"))).alias("hashes")
+    texts = _subset_hashes(rows).groupBy("bucket", "row").agg(F.first("facts", ignorenulls=True).alias("facts"), hashes)
+    texts = texts.select("bucket", "row", "facts.*", "hashes")
+    texts = texts.withColumn("own", _of_part(0, "whole")).withColumn("changed", _of_part(1, "edited_whole"))
     after = F.lead("own").over(Window.partitionBy("bucket").orderBy("row"))
     texts = texts.select("ghost", "doc_id", "n_chars", "edited_sha256", "own", "changed", F.coalesce(after, F.array(*[F.xxhash64(F.lit(""))] * LEXICONS)).alias("after"))
     return texts.where("not ghost").select(
