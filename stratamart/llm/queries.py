@@ -3,29 +3,19 @@
 from __future__ import annotations
 
 import functools
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratamart.llm import byte_bpe, fingerprints, line_dedup, packing, personal_data, quality_classifier, quality_rules, token_counts
-from stratamart.llm.common import table
+from stratamart.llm import byte_bpe, fingerprints, line_dedup, packing, personal_data, quality_classifier, quality_rules, simhash, substring_dedup, token_counts
+from stratamart.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it, beside what was set before."""
-    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    paths = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
-
-
 def query(function: Query) -> Query:
     @functools.wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +31,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -66,6 +61,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(docs, quality_rules.trained(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.component_ids(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
