@@ -14,7 +14,7 @@ should come from files or a written table, which read the same again if an execu
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -57,32 +57,60 @@ class Pieces:
     def count(self, pretoken: str) -> int:
         return 1 if pretoken in self.added else len(self.tokenizer.model.tokenize(pretoken))
 
-    def frequencies(self, text: bytes) -> Counter:
-        """White space is dropped by this tokenizer, so a text's pre-tokens are those of its words."""
-        found: Counter = Counter()
-        for word, n in Counter(text.split()).items():
-            for pretoken in self.of_word[word]:
-                found[pretoken] += n
-        return found
-
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def numbering() -> defaultdict:
+    """Numbers for keys, from 0, in the order in which they are first asked for."""
+    numbers: defaultdict = defaultdict()
+    numbers.default_factory = numbers.__len__
+    return numbers
+
+
+def block_frequencies(texts: list[bytes], known: Pieces) -> tuple[list[str], pa.Array]:
+    """The distinct pre-tokens of a block and, for each, the packed places of documents and counts.
+
+    White space is dropped by this tokenizer, so a text's pre-tokens are those of its words.
+    """
+    words, pretokens, own, counts, sizes = numbering(), numbering(), [], [], []
+    for text in texts:
+        found = Counter(text.split())
+        own.append(np.fromiter(map(words.__getitem__, found), np.int32, len(found)))
+        counts.append(np.fromiter(found.values(), np.uint32, len(found)))
+        sizes.append(len(found))
+    parts = [known.of_word[word] for word in words]
+    length = np.fromiter(map(len, parts), np.int64, len(parts))
+    flat = np.array([pretokens[x] for part in parts for x in part], np.int64)
+    starts = np.cumsum(length) - length
+    word = np.concatenate(own) if own else np.zeros(0, np.int32)
+    count, place = (np.concatenate(counts) if counts else np.zeros(0, np.uint32)), np.repeat(np.arange(len(sizes)), sizes)
+    each = length[word]  # from words to their pre-tokens
+    inside = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    key = flat[np.repeat(starts[word], each) + inside] * max(1, len(texts)) + np.repeat(place, each)
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], np.repeat(count, each)[order]
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    entries = np.empty(len(heads), _ENTRY)
+    entries["place"] = key[heads] % max(1, len(texts))
+    entries["count"] = np.add.reduceat(count, heads) if len(heads) else 0
+    per_pretoken = np.bincount(key[heads] // max(1, len(texts)), minlength=len(pretokens))
+    ends = np.concatenate([[0], np.cumsum(per_pretoken * _ENTRY.itemsize)]).astype(np.int32)
+    packed = pa.Array.from_buffers(pa.binary(), len(pretokens), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(entries.tobytes())])
+    return list(pretokens), packed
+
+
 def frequencies(docs: DataFrame, path: str) -> DataFrame:
     """A row for each block and pre-token, and one without pre-token for each document."""
 
     def run(batches: Batches):
         known = pieces(path)
         for number, batch in enumerate(batches):
-            block = (TaskContext.get().partitionId() << 32) + number
-            texts, held = text_bytes(batch), {}
-            for place, text in enumerate(texts):
-                for pretoken, n in known.frequencies(text).items():
-                    held.setdefault(pretoken, []).append((place, n))
-            yield _rows(block, pretoken=pa.array(held, pa.string()), entries=pa.array([np.array(x, _ENTRY).tobytes() for x in held.values()], pa.binary()))
+            block, texts = (TaskContext.get().partitionId() << 32) + number, text_bytes(batch)
+            names, entries = block_frequencies(texts, known)
+            yield _rows(block, pretoken=pa.array(names, pa.string()), entries=entries)
             sizes = pa.array(map(len, texts), pa.int64())
             yield _rows(block, doc_id=batch.column("doc_id").cast(pa.int64()), place=pa.array(range(len(texts)), pa.int32()), n_bytes=sizes)
 
