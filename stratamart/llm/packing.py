@@ -28,19 +28,38 @@ from stratamart.llm.common import Batches, Cache, partitions, text_bytes, writte
 
 SIZE = 2048
 END_ID = 0
+_TRAILING = b".,;:!?*&$%#"
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLAN = "length long, first long, last long, per_sequence long, first_sequence long, base long"
 
 
-@lru_cache(maxsize=2)
-def _word_ids(path: str) -> Cache:
-    """Packed ids of words; this tokenizer drops white space, so a text's ids are those of its words."""
-    tokenizer = Tokenizer.from_file(path)
+class WordIds:
+    """Packed ids of words; this tokenizer drops white space, so a text's ids are those of its words.
+
+    It also lowers case and never lets punctuation after a letter or digit join it, so a word
+    is known by its lower-case stem and the punctuation behind it, unless it may hold an added token.
+    """
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.of_stem, self.of_word = Cache(self._encoded), Cache(self._joined)
 
-    def made(word: bytes) -> bytes:
-        return np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+    def _encoded(self, part: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(part.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
-    return Cache(made)
+    def _joined(self, word: bytes) -> bytes:
+        if any(x in word.lower() for x in self.added):
+            return self._encoded(word)
+        stem = word.rstrip(_TRAILING)
+        if stem[-1:].isalnum():  # for bytes these are ASCII letters and digits
+            return self.of_stem[stem.lower()] + (self.of_stem[word[len(stem) :]] if len(stem) < len(word) else b"")
+        return self.of_stem[word]
+
+
+@lru_cache(maxsize=2)
+def _word_ids(path: str) -> Cache:
+    return WordIds(path).of_word
 
 
 def token_pieces(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False) -> DataFrame:
