@@ -15,10 +15,15 @@ Batches = Iterator[pa.RecordBatch]
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The same rows from a table in the folder that all executors share; cuts the lineage."""
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The same rows from a table in the folder that all executors share; cuts the lineage.
+
+    The shuffle files behind it are no longer needed; Spark drops them when the driver collects its
+    garbage, so it is asked to do that now.
+    """
+    spark, path = df.sparkSession, new_folder(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -133,7 +133,7 @@ def _candidates(docs: DataFrame, known: DataFrame) -> DataFrame:
             own = [_digest(text.split())[1] == copy for text, copy in zip(text_bytes(batch), batch.column("copy").to_pylist(), strict=True)]
             yield batch.filter(pa.array(own, pa.bool_())).select(["doc_id", "part", "samples", "text"])
 
-    return joined.mapInArrow(run, "doc_id long, part int, samples array<long>, text string").dropDuplicates(["doc_id", "part"])
+    return joined.mapInArrow(run, "doc_id long, part int, samples array<long>, text string")
 
 
 def _edges(texts: DataFrame) -> DataFrame:
@@ -241,7 +241,9 @@ def _cut(texts: DataFrame, paths: DataFrame, with_text: bool) -> DataFrame:
                 rows.append((doc_id, part, int(gone.sum()), hashlib.sha256(left).hexdigest(), left.decode() if with_text else None))
             yield _batch(_CUT, *(zip(*rows, strict=True) if rows else [()] * 5))
 
-    return joined.mapInArrow(run, _CUT)
+    cut = joined.mapInArrow(run, _CUT)
+    # rows that share doc_id and words came here each
+    return cut.groupBy("doc_id", "part").agg(*[F.first(c).alias(c) for c in ("removed", "kept_sha256", "kept")])
 
 
 def deduplicated(docs: DataFrame, with_text: bool = False) -> DataFrame:
