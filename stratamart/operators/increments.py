@@ -18,11 +18,6 @@ def rows_of_loads(df: DataFrame, loads: Iterable[int], load_column: str = "load_
     return df.where(F.col(load_column).isin(sorted(loads)))
 
 
-def rows_of_other_loads(df: DataFrame, loads: Iterable[int], load_column: str = "load_id") -> DataFrame:
-    """Rows of all loads but the named ones."""
-    return df.where(~F.col(load_column).isin(sorted(loads)))
-
-
 def probe(df: DataFrame, load_column: str = "load_id") -> DataFrame:
     """Highest load and row count of an increment in one pass."""
     return df.agg(

@@ -7,10 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-KEPT, UPDATED, INSERTED = "kept", "updated", "inserted"
+KEPT, UPDATED, INSERTED, STALE = "kept", "updated", "inserted", "stale"
 CHANGE = "change_type"
-# Largest source, in rows, whose keys are broadcast: a few tens of MB of keys.
-SMALL_ROWS = 200_000
 
 
 def upsert(
@@ -19,7 +17,6 @@ def upsert(
     keys: Sequence[str],
     newer: str | None = None,
     carry: str | None = None,
-    spread: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Target after the upsert, each row marked kept, updated or inserted.
 
@@ -27,20 +24,13 @@ def upsert(
     source holds a strictly greater value in that column; without it the source always wins.
     ``carry`` names a target-only column (a surrogate key) that survives the replacement.
 
-    Both sides are stacked and the winner is picked per key, so the merge needs one shuffle.
-    ``spread`` is a bucket column that depends on the key only, with its number of buckets: the
-    shuffle then sends every bucket to a task of its own, and a result written by bucket needs
-    no second one. At most two rows share a key, so no group can grow hot.
+    Both sides are stacked and the winner is picked per key, so the merge needs one shuffle. At
+    most two rows share a key, so no group can grow hot.
     """
     if carry:
         source = source.withColumn(carry, F.lit(None).cast(target.schema[carry].dataType))
     stacked = target.withColumn("_incoming", F.lit(0)).unionByName(source.withColumn("_incoming", F.lit(1)))
-    group = list(keys)
-    if spread:
-        bucket, count = spread
-        stacked = stacked.repartitionById(count, F.col(bucket))
-        group = [bucket, *group]
-    everyone = Window.partitionBy(*group)
+    everyone = Window.partitionBy(*keys)
     if newer:
         ranked = everyone.orderBy(F.col(newer).desc_nulls_last(), F.col("_incoming").asc())
     else:
@@ -60,34 +50,21 @@ def upsert(
     return winners.drop("_rank", "_versions", "_incoming")
 
 
-def upsert_few(target: DataFrame, source: DataFrame, keys: Sequence[str], newer: str) -> DataFrame:
-    """The same result as ``upsert`` for a source of at most SMALL_ROWS rows, counted beforehand.
+def changes(held: DataFrame, source: DataFrame, keys: Sequence[str], newer: str) -> DataFrame:
+    """Source rows with what an upsert would make of them: inserted, updated, or stale, which changes nothing.
 
-    Only keys of the source are broadcast; the target is read twice (keys, then rows) and not
-    shuffled, so a small increment does not move a large table across the network.
+    ``held`` has the keys and the ``newer`` column of the table's rows; a key may stand in several
+    of its versions. Only these columns are moved, and the rows of the table are not rewritten.
     """
-    keys = list(keys)
-    held = target.select(*keys, F.col(newer).alias("_held")).join(F.broadcast(source.select(*keys)), keys, "left_semi")
-    marked = source.join(F.broadcast(held), keys, "left")
-    absent = F.col("_held").isNull()
-    winners = marked.where(absent | (F.col(newer) > F.col("_held"))).withColumn(
-        CHANGE, F.when(absent, INSERTED).otherwise(UPDATED)
-    )
-    kept = target.join(F.broadcast(winners.select(*keys)), keys, "left_anti").withColumn(CHANGE, F.lit(KEPT))
-    return kept.unionByName(winners.drop("_held"))
-
+    last = held.groupBy(*keys).agg(F.max(newer).alias("_held"))
+    marked = source.join(last, list(keys), "left")
+    change = F.when(F.col("_held").isNull(), INSERTED).when(F.col(newer) > F.col("_held"), UPDATED).otherwise(STALE)
+    return marked.withColumn(CHANGE, change).drop("_held")
 
-def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], few: bool = False) -> DataFrame:
-    """Source rows whose key the target does not hold.
 
-    ``few`` says that the source was counted and has at most SMALL_ROWS rows. The target's keys
-    are then cut down to those of the source by a broadcast, instead of being shuffled.
-    """
-    keys = list(keys)
-    held = target.select(*keys)
-    if few:
-        held = F.broadcast(held.join(F.broadcast(source.select(*keys)), keys, "left_semi"))
-    return source.join(held, keys, "left_anti")
+def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows whose key the target does not hold."""
+    return source.join(target.select(*keys), list(keys), "left_anti")
 
 
 def change_counts(merged: DataFrame) -> DataFrame:

@@ -92,14 +92,15 @@ def date_dim(spark: SparkSession, start: date, end: date) -> DataFrame:
     return _days(bounds)
 
 
-def date_dim_of(orders: DataFrame) -> DataFrame:
-    """Whole years from the first purchase to the year after the last one."""
+def date_dim_of(orders: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
+    """Whole years from the first purchase to the year after the last one; a given bound stands."""
     seen = orders.agg(F.min(PURCHASE).alias("_min"), F.max(PURCHASE).alias("_max"))
+    first = F.make_date(F.year("_min"), F.lit(1), F.lit(1))
+    last = F.make_date(F.year("_max") + 1, F.lit(12), F.lit(31))
     bounds = seen.select(
-        F.make_date(F.year("_min"), F.lit(1), F.lit(1)).alias("_first"),
-        F.make_date(F.year("_max") + 1, F.lit(12), F.lit(31)).alias("_last"),
+        F.coalesce(F.lit(start).cast("date"), first).alias("_first"), F.coalesce(F.lit(end).cast("date"), last).alias("_last")
     )
-    return _days(bounds)
+    return _days(bounds.where("_first <= _last"))
 
 
 def _days(bounds: DataFrame) -> DataFrame:

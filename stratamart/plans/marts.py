@@ -117,9 +117,9 @@ def _top(ranked: DataFrame, label: str, n: int) -> DataFrame:
     return ranked.orderBy(F.col("total_sales").desc_nulls_last(), F.col(label).asc_nulls_last()).limit(n)
 
 
-def top_categories(gold: Star, n: int = 5, year=None, month=None, state=None) -> DataFrame:
+def top_categories(gold: Star, n: int = 5, year=None, month=None, state=None, category=None) -> DataFrame:
     """Best selling categories; the English name where there is one, else the original."""
-    fact = sales(gold, year, month, state)
+    fact = sales(gold, year, month, state, category)
     per_product = fact.groupBy("product_key").agg(F.sum("price").alias("_sales"))
     name = F.coalesce("product_category_name_english", "product_category_name", F.lit("Unknown"))
     named = gold["dim_product"].select("product_key", name.alias("category"))
@@ -145,13 +145,13 @@ def payments_by_type(gold: Star, year=None, month=None, state=None) -> DataFrame
     )
 
 
-def customers_by_state(gold: Star, year=None, month=None, category=None) -> DataFrame:
+def customers_by_state(gold: Star, year=None, month=None, state=None, category=None) -> DataFrame:
     """Customers, their orders and their sales per state."""
     bought = sales(gold, year, month, category=category).groupBy("customer_key").agg(F.sum("price").alias("_sales"))
     ordered = deliveries(gold, year, month).groupBy("customer_key").agg(F.count(F.lit(1)).alias("_orders"))
+    members = gold["dim_customer"].select("customer_key", "customer_state")
     return (
-        gold["dim_customer"]
-        .select("customer_key", "customer_state")
+        (members if state is None else members.where(F.col("customer_state") == state))
         .join(ordered, "customer_key", "left")
         .join(bought, "customer_key", "left")
         .groupBy("customer_state")

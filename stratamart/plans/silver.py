@@ -52,6 +52,22 @@ def build(bronze: DataFrame, table: str) -> DataFrame:
     return judged(newest(cleaned(bronze, table), table), table)
 
 
+def build_stored(bronze: DataFrame, table: str) -> DataFrame:
+    """What a load stores: the latest version of every complete key, and every row without one.
+
+    Rows whose key has a NULL are not versions of each other; all of them are kept for the quarantine.
+    """
+    rows, complete = cleaned(bronze, table), complete_key(table)
+    return judged(newest(rows.where(complete), table).unionByName(rows.where(~complete)), table)
+
+
+def complete_key(table: str) -> Column:
+    complete = F.lit(True)
+    for key in SILVER[table].keys:
+        complete = complete & F.col(key).isNotNull()
+    return complete
+
+
 def accepted(rows: DataFrame) -> DataFrame:
     """The rows that may enter silver."""
     return rows.where(F.col("data_quality_status").isin(VALID, CHECK))

@@ -31,9 +31,18 @@ _SILVER_LABELS = {
     "Delivery": "delivery",
 }
 # Declared text lengths that the loads do not enforce.
+#: Declared lengths of the text columns of gold.
 DECLARED_LENGTHS = {
-    "dim_customer": {"customer_zip_code_prefix": 5, "customer_state": 2},
-    "dim_seller": {"seller_zip_code_prefix": 5, "seller_state": 2},
+    "dim_date": {"month_name": 20, "day_name": 20},
+    "dim_customer": {
+        "customer_unique_id": 50, "customer_id": 50, "customer_zip_code_prefix": 5, "customer_city": 100,
+        "customer_state": 2,
+    },
+    "dim_product": {"product_id": 50, "product_category_name": 255, "product_category_name_english": 255},
+    "dim_seller": {"seller_id": 50, "seller_zip_code_prefix": 5, "seller_city": 100, "seller_state": 2},
+    "fact_sales": {"order_id": 50},
+    "fact_payments": {"order_id": 50, "payment_type": 50},
+    "fact_delivery": {"order_id": 50, "delivery_status": 30},
 }
 
 

@@ -8,33 +8,46 @@ ran twice after an executor was lost is not counted twice.
 
 from __future__ import annotations
 
-import uuid
+import json
 from collections import Counter
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamart.operators.increments import rows_of_loads, rows_of_other_loads, watermark_value
-from stratamart.operators.keys import assign_keys, key_bucket
+from stratamart.operators.increments import watermark_value
+from stratamart.operators.keys import SLOT_DIGITS, assign_keys
+from stratamart.operators.latest import latest
 from stratamart.operators.rules import CHECK, REJECTED, VALID
-from stratamart.operators.upsert import CHANGE, INSERTED, SMALL_ROWS, UPDATED, insert_absent, upsert, upsert_few
+from stratamart.operators.upsert import CHANGE, INSERTED, KEPT, STALE, UPDATED, changes, insert_absent, upsert
 from stratamart.plans import gold as star
 from stratamart.plans import silver as refined
-from stratamart.schemas import BRONZE, GOLD, INT, SILVER, TEXT, bronze_schema, raw_schema, table
+from stratamart.schemas import BRONZE, GOLD, INT, SILVER, TEXT, bronze_schema, table
 from stratamart.sources import tables
 from stratamart.sources.ledger import FAILED, NO_NEW_DATA, SUCCESS, Ledger, Run, no_rows
-from stratamart.sources.raw import EmptySource, UnknownTable, read_raw, stamp
+from stratamart.sources.raw import MALFORMED, ROW_FILE, EmptySource, UnknownTable, read_raw, stamp
 
-BUCKET = tables.BUCKET
+STATUS = "data_quality_status"
 SILVER_ORDER = ("orders", "order_items", "order_payments", "customers", "sellers", "products", "delivery")
 FACT_SOURCE = {"fact_sales": "order_items", "fact_payments": "order_payments", "fact_delivery": "delivery"}
 GOLD_ORDER = ("dim_date", "dim_customer", "dim_product", "dim_seller", "fact_sales", "fact_payments", "fact_delivery")
-_SETTINGS = table(buckets=INT)
+#: Tables each gold load reads beside its own source: a load is skipped when none of them changed.
+SOURCES = {
+    "dim_date": ("silver_orders",),
+    "dim_customer": ("silver_customers", "silver_orders"),
+    "dim_product": ("silver_products", "bronze_category_translation"),
+    "dim_seller": ("silver_sellers",),
+    "fact_sales": ("silver_orders", "silver_customers", "gold_dim_customer", "gold_dim_product", "gold_dim_seller"),
+    "fact_payments": ("silver_orders", "silver_customers", "gold_dim_customer"),
+    "fact_delivery": ("silver_customers", "gold_dim_customer"),
+}
+_LEFT_OUT = "left_out"
+_SETTINGS = table(key_digits=INT)
+_CHANGE = T.StructField(CHANGE, TEXT)
 _MONTH = T.StructField("order_month", INT)
 
 
@@ -45,23 +58,23 @@ class NullBusinessKey(ValueError):
 class Warehouse:
     """Loads and reads one warehouse below ``root``, a folder that all executors reach.
 
-    ``buckets`` fixes the layout of the keyed silver tables when the warehouse is created
-    (aim at files of some hundred MB); an existing warehouse keeps its own number.
+    Surrogate keys are numbered in 16^``key_digits`` parallel slots; the number of digits is fixed when
+    the warehouse is created, and an existing warehouse keeps its own.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, key_digits: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.ledger = Ledger(spark, f"{self.root}/etl")
-        self.buckets = self._settled_buckets(buckets)
+        self.key_digits = self._settled_digits(key_digits)
 
-    def _settled_buckets(self, wanted: int | None) -> int:
-        stored = self.ledger.events("settings", _SETTINGS).orderBy("logged_at").select("buckets").take(1)
+    def _settled_digits(self, wanted: int | None) -> int:
+        stored = self.ledger.events("settings", _SETTINGS).orderBy("seq").select("key_digits").take(1)
         if stored:
-            return stored[0].buckets
-        buckets = wanted or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.ledger.append("settings", _SETTINGS, buckets=buckets)
-        return buckets
+            return stored[0].key_digits
+        digits = wanted or SLOT_DIGITS
+        self.ledger.append("settings", _SETTINGS, key_digits=digits)
+        return digits
 
     # -- readers -------------------------------------------------------------------------------
 
@@ -77,33 +90,45 @@ class Warehouse:
         stored = self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/load_id={i}" for i in loads])
         return stored.select(*schema.fieldNames())
 
-    def silver(self, name: str) -> DataFrame:
-        """Current rows of a silver table."""
-        return self._bucketed(name).select(*SILVER[name].schema.fieldNames())
+    def malformed(self, name: str) -> DataFrame:
+        """Rows of the loaded batches that had too many or too few fields, with their whole line."""
+        root, schema = f"{self.root}/bronze/{name}", T.StructType([*bronze_schema(name).fields, T.StructField(MALFORMED, TEXT)])
+        loads = self.ledger.loaded_batches(f"bronze_{name}")
+        if not loads:
+            return no_rows(self.spark, schema)
+        stored = self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/load_id={i}" for i in loads])
+        return stored.where(F.col(MALFORMED).isNotNull())
 
-    def _bucketed(self, name: str, only: set[int] | None = None) -> DataFrame:
+    def silver(self, name: str) -> DataFrame:
+        """Current rows of a silver table: of each key the version with the newest load."""
+        versions = tables.current(self.ledger.commits(f"silver_{name}"))
+        rows = self._changes(name, versions)
+        if len(versions) > 1:  # keys are unique within a version
+            rows = latest(rows, SILVER[name].keys, [F.col("source_load_id").desc(), F.col("_version").desc()])
+        return rows.select(*SILVER[name].schema.fieldNames())
+
+    def _changes(self, name: str, versions: list, rejected: bool = False) -> DataFrame:
+        """Stored rows of some versions of a silver table, by change; status folders are pruned."""
         root = f"{self.root}/silver/{name}"
-        schema = T.StructType(SILVER[name].schema.fields + [T.StructField(BUCKET, INT)])
-        paths = tables.bucket_paths(root, self.ledger.commits(f"silver_{name}"), only)
-        return tables.read_folders(self.spark, root, paths, schema)
+        schema = T.StructType([*SILVER[name].schema.fields, _CHANGE, T.StructField("version", T.LongType())])
+        if not versions:
+            return no_rows(self.spark, schema).withColumnRenamed("version", "_version")
+        stored = self.spark.read.schema(schema).option("basePath", root).parquet(*tables.folders(root, versions))
+        wanted = F.col(STATUS) == REJECTED if rejected else F.col(STATUS).isin(VALID, CHECK) & (F.col(CHANGE) != STALE)
+        return stored.where(wanted).withColumnRenamed("version", "_version")
 
     def quarantine(self, name: str) -> DataFrame:
         """Rejected rows of every committed silver load, with their reason."""
-        root = f"{self.root}/judged/{name}"
-        paths = tables.version_paths(root, self.ledger.commits(f"silver_{name}"))
-        return tables.read_folders(self.spark, root, paths, SILVER[name].schema).where(
-            F.col("data_quality_status") == REJECTED
-        )
+        versions = tables.published(self.ledger.commits(f"silver_{name}"))
+        return self._changes(name, versions, rejected=True).select(*SILVER[name].schema.fieldNames())
 
     def gold(self, name: str) -> DataFrame:
         """Current rows of a gold table; facts carry their ``order_month`` folder as well."""
         root = f"{self.root}/gold/{name}"
-        commits = self.ledger.commits(f"gold_{name}")
-        if name.startswith("fact"):
-            schema = T.StructType(GOLD[name].schema.fields + [_MONTH])
-            filled = [c for c in commits if c.buckets]
-            return tables.read_folders(self.spark, root, tables.version_paths(root, filled), schema)
-        return tables.read_folders(self.spark, root, tables.bucket_paths(root, commits), GOLD[name].schema)
+        extra = [_MONTH] if name.startswith("fact") else []
+        schema = T.StructType(GOLD[name].schema.fields + extra)
+        paths = tables.folders(root, tables.current(self.ledger.commits(f"gold_{name}")))
+        return tables.read_folders(self.spark, root, paths, schema)
 
     def silver_tables(self) -> Mapping[str, DataFrame]:
         return Layer(self.silver, SILVER_ORDER)
@@ -114,13 +139,23 @@ class Warehouse:
     # -- bronze --------------------------------------------------------------------------------
 
     def load_bronze(
-        self, name: str, path: str | list[str], batch_key: str, source_file: str, mode: str = "quoted"
+        self,
+        name: str,
+        path: str | list[str],
+        batch_key: str,
+        source_file: str | None = None,
+        mode: str = "quoted",
+        takeover: bool = False,
     ) -> dict:
-        """Load one delivery of files under a batch key; a key that succeeded before is refused."""
+        """Load one delivery of files under a batch key; a key that succeeded before is refused.
+
+        Without ``source_file`` every row is stamped with the file it came from. ``takeover`` closes an
+        attempt of the same key that never ended; only for callers that are sure to be alone.
+        """
         if name not in BRONZE:
             raise UnknownTable(f"target bronze table does not exist: {name}")
         return self._append_bronze(
-            name, lambda: read_raw(self.spark, name, path, mode), batch_key, source_file
+            name, lambda: read_raw(self.spark, name, path, mode, with_file=True), batch_key, source_file, takeover=takeover
         )
 
     def load_bronze_rows(
@@ -140,7 +175,7 @@ class Warehouse:
         if name not in BRONZE:
             raise UnknownTable(f"target bronze table does not exist: {name}")
         return self._append_bronze(
-            name, lambda: rows.select(*BRONZE[name]), batch_key, source_file, load_datetime, takeover
+            name, lambda: rows.select(*BRONZE[name], *[c for c in (MALFORMED,) if c in rows.columns]), batch_key, source_file, load_datetime, takeover
         )
 
     def _append_bronze(self, name, rows, batch_key, source_file, load_datetime=None, takeover=False) -> dict:
@@ -148,10 +183,14 @@ class Warehouse:
         batch = self.ledger.start_batch(pipeline, batch_key, source_file, takeover)
         try:
             with self.ledger.run(pipeline) as run:
-                stamped = stamp(rows(), batch.batch_id, load_datetime or batch.batch_start_time, source_file)
+                read = rows()
+                stamped = stamp(read, batch.batch_id, load_datetime or batch.batch_start_time, source_file or F.col(ROW_FILE))
+                stamped = stamped.drop(ROW_FILE)
                 folder = f"{self.root}/bronze/{name}/load_id={batch.batch_id}"
                 stamped.drop("load_id").write.mode("overwrite").parquet(folder)
-                run.rows_extracted = run.rows_inserted = self.spark.read.schema(raw_schema(name)).parquet(folder).count()
+                stored = self.spark.read.schema(table(**{MALFORMED: TEXT})).parquet(folder)
+                run.rows_extracted, run.rows_rejected = stored.agg(F.count("*"), F.count(MALFORMED)).first()
+                run.rows_inserted = run.rows_extracted  # malformed rows are kept and counted
                 if run.rows_extracted == 0:
                     raise EmptySource(f"the source file contains no data: {source_file}")
         except BaseException:
@@ -162,6 +201,7 @@ class Warehouse:
             "batch_id": batch.batch_id,
             "rows_extracted": run.rows_extracted,
             "rows_loaded": run.rows_loaded,
+            "rows_malformed": run.rows_rejected,
             "status": SUCCESS,
         }
 
@@ -182,15 +222,31 @@ class Warehouse:
         mark = watermark_value(commits[-1].watermark_value) if commits else 0
         return {i: rows for i, rows in sorted(ready.items()) if i not in done}, mark
 
+    def _unseen(self, source: str, done: set[int]) -> DataFrame:
+        """Changes of a silver table by loads that are not done, newest per key; `_new` where the key is new to it.
+
+        Only the folders of these versions are read.
+        """
+        commits = tables.published(self.ledger.commits(f"silver_{source}"))
+        versions = [c for c in commits if not done.issuperset(c.load_ids)]
+        keys = list(SILVER[source].keys)
+        rows = self._changes(source, versions).withColumn("_new", F.col(CHANGE) == INSERTED)
+        if len(versions) > 1:
+            # a key has one row for each unseen version at most
+            rows = rows.withColumn("_new", F.max("_new").over(Window.partitionBy(*keys)))
+            rows = latest(rows, keys, [F.col("source_load_id").desc(), F.col("_version").desc()])
+        return rows.select(*SILVER[source].schema.fieldNames(), "_new")
+
     def _increment(self, name: str, pending: dict[int, int | None]) -> tuple[DataFrame, int]:
         """Rows of the pending loads and their number."""
         if name == "delivery":
-            rows = rows_of_loads(self.silver("orders"), pending, "source_load_id")
+            done = {i for c in self.ledger.commits("silver_delivery") for i in c.load_ids}
+            rows = self._unseen("orders", done).drop("_new")
             return rows, rows.count() if pending else 0
         return self._bronze_loads(name, list(pending)), sum(pending.values())
 
     def load_silver(self, name: str) -> dict:
-        """Judge the loads that are new and upsert the accepted rows."""
+        """Judge the loads that are new and store what they change."""
         with self.ledger.run(f"silver_{name}") as run:
             pending, mark = self._pending(name)
             source, run.rows_extracted = self._increment(name, pending)
@@ -198,63 +254,85 @@ class Warehouse:
             mark = max([mark, *loads])
             if run.rows_extracted == 0:
                 run.status = NO_NEW_DATA
-                self.ledger.commit(f"silver_{name}", None, [], loads, mark)
+                self.ledger.commit(f"silver_{name}", None, loads, mark)
                 return run.summary()
-            judged, rows, touched = self._write_judged(name, source, run)
-            if touched:
-                self._write_silver(name, refined.accepted(judged), rows, touched, run)
-            self.ledger.commit(f"silver_{name}", run.run_id, touched, loads, mark)
+            judged = refined.build_delivery(source) if name == "delivery" else refined.build_stored(source, name)
+            self._write_changes(name, judged, run)
+            self.ledger.commit(f"silver_{name}", run.run_id, loads, mark)
             return run.summary()
 
-    def _write_judged(self, name: str, source: DataFrame, run: Run) -> tuple[DataFrame, int, list[int]]:
-        """Store all judged rows: the staging of the upsert and the quarantine in one.
+    def _write_changes(self, name: str, judged: DataFrame, run: Run) -> None:
+        """Store the accepted rows with what they change and the rejected ones, by status; count them there.
 
-        Returns them with the number of accepted ones and the buckets these fall into. The summary that comes
-        back to the driver has a row per status and bucket, a number fixed at creation.
+        A load writes what it brings and nothing else: readers pick the newest version of a key.
         """
-        rows = refined.build_delivery(source) if name == "delivery" else refined.build(source, name)
-        folder = f"{self.root}/judged/{name}/version={run.run_id}"
-        rows.write.mode("overwrite").parquet(folder)
-        judged = self.spark.read.schema(SILVER[name].schema).parquet(folder)
-        judged = judged.withColumn(BUCKET, key_bucket(SILVER[name].keys, self.buckets))
-        summary = judged.groupBy("data_quality_status", BUCKET).count().collect()
-        rows_of = Counter()
-        for row in summary:
-            rows_of[row.data_quality_status] += row["count"]
-        run.rows_check, run.rows_rejected = rows_of[CHECK], rows_of[REJECTED]
-        accepted = rows_of[VALID] + rows_of[CHECK]
-        return judged, accepted, sorted({r[BUCKET] for r in summary if r.data_quality_status in (VALID, CHECK)})
-
-    def _write_silver(self, name: str, incoming: DataFrame, rows: int, touched: list[int], run: Run) -> None:
-        """Merge accepted rows into the buckets they touch, by broadcast when they are few."""
-        keys, held = SILVER[name].keys, tables.bucket_versions(self.ledger.commits(f"silver_{name}"))
-        if held.keys().isdisjoint(touched):
-            merged = incoming.repartitionById(self.buckets, F.col(BUCKET)).withColumn(CHANGE, F.lit(INSERTED))
-        elif rows <= SMALL_ROWS:
-            placed = incoming.repartitionById(self.buckets, F.col(BUCKET))
-            merged = upsert_few(self._bucketed(name, set(touched)), placed, keys, newer="source_load_id")
+        keys = list(SILVER[name].keys)
+        versions = tables.current(self.ledger.commits(f"silver_{name}"))
+        accepted = refined.accepted(judged)
+        if versions:
+            marked = changes(self._changes(name, versions).select(*keys, "source_load_id"), accepted, keys, newer="source_load_id")
         else:
-            target = self._bucketed(name, set(touched))
-            merged = upsert(target, incoming, keys, newer="source_load_id", spread=(BUCKET, self.buckets))
+            marked = accepted.withColumn(CHANGE, F.lit(INSERTED))
+        rejected = judged.where(F.col(STATUS) == REJECTED).withColumn(CHANGE, F.lit(None).cast("string"))
         folder = f"{self.root}/silver/{name}/version={run.run_id}"
-        merged.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
-        written = self.spark.read.schema(table(**{CHANGE: TEXT})).parquet(folder)
-        counts = {r[CHANGE]: r["count"] for r in written.groupBy(CHANGE).count().collect()}
-        run.rows_updated, run.rows_inserted = counts.get(UPDATED, 0), counts.get(INSERTED, 0)
+        marked.unionByName(rejected).write.mode("overwrite").partitionBy(STATUS).parquet(folder)
+        schema = T.StructType([*SILVER[name].schema.fields, _CHANGE])
+        stored = self.spark.read.schema(schema).parquet(folder)
+        whole_key = refined.complete_key(name)
+        summary = stored.groupBy(STATUS, CHANGE, whole_key.alias("complete")).count().collect()
+        by_change, by_status = Counter(), Counter()
+        for row in summary:
+            by_change[row[CHANGE]] += row["count"]
+            if row.complete:
+                by_status[row[STATUS]] += row["count"]
+        run.rows_updated, run.rows_inserted = by_change[UPDATED], by_change[INSERTED]
+        run.rows_check = by_status[CHECK]
+        # rows without a complete key count once for each such key, as the latest of them
+        incomplete = stored.where(~whole_key).select(*keys).distinct().count() if any(not r.complete for r in summary) else 0
+        run.rows_rejected = by_status[REJECTED] + incomplete
+
+    def compact_silver(self, name: str) -> dict:
+        """Fold all versions of a silver table into one; its rows stay the same. Never done by itself."""
+        with self.ledger.run(f"silver_{name}") as run:
+            commits = self.ledger.commits(f"silver_{name}")
+            folder = f"{self.root}/silver/{name}/version={run.run_id}"
+            rows = self.silver(name).withColumn(CHANGE, F.lit(KEPT))
+            rows.write.mode("overwrite").partitionBy(STATUS).parquet(folder)
+            mark = watermark_value(commits[-1].watermark_value) if commits else 0
+            self.ledger.commit(f"silver_{name}", run.run_id, [], mark, whole=True)
+            return run.summary()
 
     # -- gold dimensions -----------------------------------------------------------------------
 
+    def _sources(self, name: str) -> dict[str, int]:
+        """Number of the last change of each table that a gold load reads."""
+        found = {}
+        for source in SOURCES[name]:
+            if source.startswith("bronze"):
+                found[source] = len(self.ledger.loaded_batches(source))
+            else:
+                found[source] = len([c for c in tables.published(self.ledger.commits(source)) if c.load_ids or not source.startswith("silver")])
+        return found
+
     def load_date_dim(self, start: date | None = None, end: date | None = None) -> dict:
-        """Calendar from start to end; without them, whole years that cover the purchases."""
+        """Calendar from start to end. A bound that is not given is the one given last, else whole years that cover the purchases."""
         with self.ledger.run("gold_dim_date") as run:
-            if start and end:
-                days = star.date_dim(self.spark, start, end)
-            else:
-                days = star.date_dim_of(self.silver("orders"))
+            commits = self.ledger.commits("gold_dim_date")
+            before = json.loads(commits[-1].seen) if commits else {}
+            given = {k: v.toordinal() for k, v in (("start", start), ("end", end)) if v}
+            bounds = {k: before[k] for k in ("start", "end") if k in before} | given
+            seen = self._sources("dim_date") | bounds
+            if commits and seen == before:
+                run.status = NO_NEW_DATA
+                return run.summary()
+            first, last = (date.fromordinal(bounds[k]) if k in bounds else None for k in ("start", "end"))
+            days = star.date_dim(self.spark, first, last) if first and last else star.date_dim_of(self.silver("orders"), first, last)
             folder = f"{self.root}/gold/dim_date/version={run.run_id}"
             days.coalesce(1).write.mode("overwrite").parquet(folder)
-            run.rows_extracted = run.rows_inserted = self.spark.read.parquet(folder).count()
-            self.ledger.commit("gold_dim_date", run.run_id, [0], [], 0)
+            run.rows_extracted = run.rows_inserted = self.spark.read.schema(GOLD["dim_date"].schema).parquet(folder).count()
+            if not run.rows_extracted:
+                raise EmptySource("the calendar has no days: give both bounds or load orders first")
+            self.ledger.commit("gold_dim_date", run.run_id, [], 0, whole=True, seen=seen)
             return run.summary()
 
     def dim_source(self, name: str) -> DataFrame:
@@ -270,6 +348,10 @@ class Warehouse:
             return self.load_date_dim()
         spec = GOLD[name]
         with self.ledger.run(f"gold_{name}") as run:
+            commits, seen = self.ledger.commits(f"gold_{name}"), self._sources(name)
+            if commits and json.loads(commits[-1].seen) == seen:
+                run.status = NO_NEW_DATA
+                return run.summary()
             current = self.gold(name)
             merged = upsert(current, self.dim_source(name), spec.keys, carry=spec.surrogate)
             staging = f"{self.root}/staging/{name}/version={run.run_id}"
@@ -281,14 +363,15 @@ class Warehouse:
             # Keys are dense and members are never dropped: the row count is the last key.
             last = current.count()
             fresh = staged.where(F.col(spec.surrogate).isNull())
-            numbered = assign_keys(fresh, spec.surrogate, spec.keys, last, spec.schema[spec.surrogate].dataType.simpleString())
+            kind = spec.schema[spec.surrogate].dataType.simpleString()
+            numbered = assign_keys(fresh, spec.surrogate, spec.keys, last, kind, self.key_digits)
             columns = spec.schema.fieldNames()
             complete = staged.where(F.col(spec.surrogate).isNotNull()).select(*columns).unionByName(numbered.select(*columns))
             complete.write.mode("overwrite").parquet(f"{self.root}/gold/{name}/version={run.run_id}")
             counts = {r[CHANGE]: r["count"] for r in staged.groupBy(CHANGE).count().collect()}
             run.rows_updated, run.rows_inserted = counts.get(UPDATED, 0), counts.get(INSERTED, 0)
             run.rows_extracted = run.rows_loaded
-            self.ledger.commit(f"gold_{name}", run.run_id, [0], [], 0)
+            self.ledger.commit(f"gold_{name}", run.run_id, [], 0, whole=True, seen=seen)
             return run.summary()
 
     @staticmethod
@@ -301,49 +384,41 @@ class Warehouse:
     # -- gold facts ----------------------------------------------------------------------------
 
     def fact_candidates(self, name: str) -> DataFrame:
-        """Silver rows the fact does not hold, with their keys or the reason they lack one.
-
-        A silver row outside the fact either came with a load the fact has not seen, or was
-        left out by the last fact load; only these two go through the star join.
-        """
-        return self._star_join(name, *self._outside(name))
-
-    def _outside(self, name: str) -> tuple[DataFrame, bool]:
-        """Those silver rows, and whether they were counted to be at most SMALL_ROWS."""
-        rows, keys = self.silver(FACT_SOURCE[name]), list(GOLD[name].keys)
+        """Silver rows the fact does not hold, with their keys or the reason they lack one."""
         commits = self.ledger.commits(f"gold_{name}")
+        rows, left = self._to_try(name, commits)
+        return self._star_join(name, rows.unionByName(left))
+
+    def _left_out(self, name: str, commits: list) -> DataFrame:
+        """The silver rows that the last load of a fact left out, whole."""
+        schema = SILVER[FACT_SOURCE[name]].schema
         if not commits:
-            return rows, False
-        seen = {i for c in commits for i in c.load_ids}
-        fresh = rows_of_other_loads(rows, seen, "source_load_id")
-        left_out = self._staged(name, commits[-1].version).where(F.col(star.REASON) != star.LOADABLE).select(*keys)
-        few = fresh.count() + left_out.count() <= SMALL_ROWS
-        known = rows_of_loads(rows, seen, "source_load_id")
-        again = known.join(F.broadcast(left_out) if few else left_out, keys, "left_semi")
-        outside = insert_absent(self.gold(name), fresh, keys, few).unionByName(again)
-        if few:
-            # Stored, because every partner table of the star join is cut down to these rows.
-            folder = f"{self.root}/staging/{name}/outside={uuid.uuid4().hex}"
-            outside.write.parquet(folder)
-            outside = self.spark.read.schema(rows.schema).parquet(folder)
-        return outside, few
-
-    def _star_join(self, name: str, rows: DataFrame, few: bool) -> DataFrame:
-        """Rows with their dimension keys; for few rows, every partner table is first cut down to theirs."""
-
-        def partners(table: DataFrame, of: DataFrame, key: str) -> DataFrame:
-            return table.join(F.broadcast(of.select(key)), key, "left_semi") if few else table
+            return no_rows(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/left_out/{name}/version={json.loads(commits[-1].seen)[_LEFT_OUT]}")
+
+    def _to_try(self, name: str, commits: list) -> tuple[DataFrame, DataFrame]:
+        """Rows that changed and that the fact does not hold, and rows left out before that did not change.
 
+        A row that is new to silver can't be in the fact, and one that was updated is in the fact or
+        among those left out, so neither the fact nor the rest of silver is read.
+        """
+        source = FACT_SOURCE[name]
+        keys = list(SILVER[source].keys)
+        changed = self._unseen(source, {i for c in commits for i in c.load_ids})
+        left = self._left_out(name, commits)
+        before = changed.join(left.select(*keys, F.lit(True).alias("_left")), keys, "left")
+        rows = before.where("_new or _left").select(*SILVER[source].schema.fieldNames())
+        return rows, insert_absent(changed, left, keys)
+
+    def _star_join(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows with their dimension keys."""
         customers, dim_customer = self.silver("customers"), self.gold("dim_customer")
         if name == "fact_delivery":
-            return star.delivery_candidates(rows, partners(customers, rows, "customer_id"), dim_customer)
-        orders = partners(self.silver("orders"), rows, "order_id")
-        lookup = star.order_lookup(orders, partners(customers, orders, "customer_id"), dim_customer)
+            return star.delivery_candidates(rows, customers, dim_customer)
+        lookup = star.order_lookup(self.silver("orders"), customers, dim_customer)
         if name == "fact_payments":
             return star.payment_candidates(rows, lookup)
-        products = partners(self.gold("dim_product"), rows, "product_id")
-        sellers = partners(self.gold("dim_seller"), rows, "seller_id")
-        return star.sales_candidates(rows, lookup, products, sellers)
+        return star.sales_candidates(rows, lookup, self.gold("dim_product"), self.gold("dim_seller"))
 
     def _staged(self, name: str, version: int) -> DataFrame:
         """Candidates of one fact load, by outcome."""
@@ -351,37 +426,78 @@ class Warehouse:
         schema = T.StructType(columns + [T.StructField(star.REASON, TEXT)])
         return self.spark.read.schema(schema).parquet(f"{self.root}/staging/{name}/version={version}")
 
-    def load_fact(self, name: str) -> dict:
-        """Append the fact rows that are absent; rows without a partner or date count as rejected."""
+    def load_fact(self, name: str, refresh: bool = False) -> dict:
+        """Append the fact rows that are absent; rows without a partner or date count as rejected.
+
+        Rows left out before are tried again when one of the partner tables has changed. With
+        ``refresh`` the fact is rebuilt from the current silver rows; rows keep their keys.
+        """
         spec = GOLD[name]
         with self.ledger.run(f"gold_{name}") as run:
             # Facts only grow and their keys are dense: the row count, read from the file footers, is the last key.
             held = self.gold(name).count()
-            loads = sorted({i for c in self.ledger.commits(f"silver_{FACT_SOURCE[name]}") for i in c.load_ids})
-            candidates = self.fact_candidates(name)
-            candidates.write.mode("overwrite").parquet(f"{self.root}/staging/{name}/version={run.run_id}")
+            commits, partners = self.ledger.commits(f"gold_{name}"), self._sources(name)
+            done = {i for c in commits for i in c.load_ids}
+            loads = {i for c in self.ledger.commits(f"silver_{FACT_SOURCE[name]}") for i in c.load_ids}
+            seen = json.loads(commits[-1].seen) if commits else {}
+            same_partners = {k: v for k, v in seen.items() if k != _LEFT_OUT} == partners
+            run.rows_extracted = held
+            if commits and same_partners and loads <= done and not refresh:
+                run.rows_rejected = self._left_out(name, commits).count()
+                run.status = NO_NEW_DATA
+                return run.summary()
+            if refresh:
+                rows, waiting = self.silver(FACT_SOURCE[name]), None
+            else:
+                rows, waiting = self._to_try(name, commits)
+                if not same_partners:
+                    rows, waiting = rows.unionByName(waiting), None
+            self._star_join(name, rows).write.mode("overwrite").parquet(f"{self.root}/staging/{name}/version={run.run_id}")
             staged = self._staged(name, run.run_id)
             by_reason = {r[star.REASON]: r["count"] for r in staged.groupBy(star.REASON).count().collect()}
-            run.rows_inserted = by_reason.pop(star.LOADABLE, 0)
-            run.rows_rejected = sum(by_reason.values())
-            run.rows_extracted = held + run.rows_inserted
-            if run.rows_extracted == 0:
+            n_loadable = by_reason.pop(star.LOADABLE, 0)
+            if not held and not n_loadable:
                 raise EmptySource(f"{name} source returned zero rows; check its dimension and order joins")
-            if run.rows_inserted:
-                self._append_fact(spec, star.loadable(staged), held, run)
-            filled = [0] if run.rows_inserted else []
-            self.ledger.commit(f"gold_{name}", run.run_id, filled, loads, max(loads, default=0))
+            lost = staged.where(F.col(star.REASON) != star.LOADABLE).select(*spec.keys)
+            left = rows.join(insert_absent(self.gold(name), lost, spec.keys) if refresh else lost, list(spec.keys), "left_semi")
+            left = left.unionByName(waiting) if waiting is not None else left
+            folder = f"{self.root}/left_out/{name}/version={run.run_id}"
+            left.write.mode("overwrite").parquet(folder)
+            run.rows_rejected = self.spark.read.schema(left.schema).parquet(folder).count()
+            if refresh:
+                self._rebuild_fact(spec, star.loadable(staged), held, run)
+            elif n_loadable:
+                run.rows_inserted = n_loadable
+                numbered = assign_keys(star.loadable(staged), spec.surrogate, spec.keys, held, digits=self.key_digits)
+                self._write_fact(spec, numbered, run)
+            run.rows_extracted = held + run.rows_inserted
+            version = run.run_id if n_loadable or refresh else None
+            state = partners | {_LEFT_OUT: run.run_id}
+            self.ledger.commit(f"gold_{name}", version, sorted(loads - done), max(loads, default=0), whole=refresh, seen=state)
             return run.summary()
 
-    def _append_fact(self, spec, rows: DataFrame, last: int, run: Run) -> None:
-        """Number the rows and write them by month; rebalancing splits a month that is too big."""
+    def _write_fact(self, spec, numbered: DataFrame, run: Run) -> None:
+        """Write rows by month; rebalancing splits a month that is too big."""
         day = "purchase_date_key" if spec.name == "fact_delivery" else "order_date_key"
-        numbered = assign_keys(rows, spec.surrogate, spec.keys, last)
         placed = numbered.withColumn(_MONTH.name, star.order_month(F.col(day)))
         placed = placed.select(*spec.schema.fieldNames(), _MONTH.name).hint("rebalance", F.col(_MONTH.name))
         folder = f"{self.root}/gold/{spec.name}/version={run.run_id}"
         placed.write.mode("overwrite").partitionBy(_MONTH.name).parquet(folder)
 
+    def _rebuild_fact(self, spec, loadable: DataFrame, held: int, run: Run) -> None:
+        """All fact rows, with the values of the loadable candidates where there are any."""
+        merged = upsert(self.gold(spec.name).drop(_MONTH.name), loadable, spec.keys, carry=spec.surrogate)
+        folder = f"{self.root}/staging/{spec.name}/merged={run.run_id}"
+        merged.write.mode("overwrite").parquet(folder)
+        merged = self.spark.read.schema(T.StructType([*spec.schema.fields, _CHANGE])).parquet(folder)
+        counts = {r[CHANGE]: r["count"] for r in merged.groupBy(CHANGE).count().collect()}
+        run.rows_updated, run.rows_inserted = counts.get(UPDATED, 0), counts.get(INSERTED, 0)
+        columns = spec.schema.fieldNames()
+        fresh = merged.where(F.col(spec.surrogate).isNull()).select(*columns)
+        numbered = assign_keys(fresh, spec.surrogate, spec.keys, held, digits=self.key_digits)
+        old = merged.where(F.col(spec.surrogate).isNotNull()).select(*columns)
+        self._write_fact(spec, old.unionByName(numbered.select(*columns)), run)
+
     # -- all of it -----------------------------------------------------------------------------
 
     def refresh(self) -> dict[str, dict]:

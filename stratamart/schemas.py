@@ -234,34 +234,34 @@ GOLD: dict[str, GoldTable] = {
         ),
         _gold(
             "dim_customer", "customer_key", ["customer_unique_id"], ["customer_id"],
-            customer_key=INT, customer_unique_id=TEXT, customer_id=TEXT, customer_zip_code_prefix=TEXT,
+            customer_key=LONG, customer_unique_id=TEXT, customer_id=TEXT, customer_zip_code_prefix=TEXT,
             customer_city=TEXT, customer_state=TEXT,
         ),
         _gold(
             "dim_product", "product_key", ["product_id"],
-            product_key=INT, product_id=TEXT, product_category_name=TEXT, product_category_name_english=TEXT,
+            product_key=LONG, product_id=TEXT, product_category_name=TEXT, product_category_name_english=TEXT,
             product_name_length=INT, product_description_length=INT, product_photos_qty=INT,
             product_weight_g=MONEY, product_length_cm=MONEY, product_height_cm=MONEY, product_width_cm=MONEY,
         ),
         _gold(
             "dim_seller", "seller_key", ["seller_id"],
-            seller_key=INT, seller_id=TEXT, seller_zip_code_prefix=TEXT, seller_city=TEXT, seller_state=TEXT,
+            seller_key=LONG, seller_id=TEXT, seller_zip_code_prefix=TEXT, seller_city=TEXT, seller_state=TEXT,
         ),
         _gold(
             "fact_sales", "sales_key", ["order_id", "order_item_id"],
             ["customer_key", "product_key", "seller_key", "order_date_key"],
-            sales_key=LONG, order_id=TEXT, order_item_id=INT, customer_key=INT, product_key=INT, seller_key=INT,
+            sales_key=LONG, order_id=TEXT, order_item_id=INT, customer_key=LONG, product_key=LONG, seller_key=LONG,
             order_date_key=INT, price=MONEY, freight_value=MONEY,
         ),
         _gold(
             "fact_payments", "payment_key", ["order_id", "payment_sequential"],
             ["customer_key", "order_date_key"],
-            payment_key=LONG, order_id=TEXT, payment_sequential=INT, customer_key=INT, order_date_key=INT,
+            payment_key=LONG, order_id=TEXT, payment_sequential=INT, customer_key=LONG, order_date_key=INT,
             payment_type=TEXT, payment_installments=INT, payment_value=MONEY,
         ),
         _gold(
             "fact_delivery", "delivery_key", ["order_id"], ["customer_key", "delivery_status"],
-            delivery_key=LONG, order_id=TEXT, customer_key=INT, purchase_date_key=INT, carrier_date_key=INT,
+            delivery_key=LONG, order_id=TEXT, customer_key=LONG, purchase_date_key=INT, carrier_date_key=INT,
             delivered_date_key=INT, estimated_delivery_date_key=INT, delivery_days=INT, delivery_delay_days=INT,
             delivery_status=TEXT,
         ),
@@ -281,7 +281,8 @@ RUN_LOG = table(
 PIPELINE_CONTROL = T.StructType(
     table(pipeline_name=TEXT, watermark_value=TEXT, last_successful_run=STAMP, is_active=INT, version=LONG).fields
     + [
-        T.StructField("buckets", T.ArrayType(INT)),
         T.StructField("load_ids", T.ArrayType(LONG)),
+        T.StructField("whole", T.BooleanType()),
+        T.StructField("seen", TEXT),
     ]
 )

@@ -1,11 +1,14 @@
 """Load control: batch ledger, run log and the commit records of every stored table.
 
 The three control tables are append-only Parquet. A row is never changed; the latest row of a
-batch, run or table is its state. They grow with the number of loads, not with the data.
+batch, run or table is its state. Rows are numbered within their pipeline, and the number is the
+only order: clocks of different machines are not compared. A number can be written once, so a second
+writer that did not see the last row fails. The tables grow with the number of loads, not with the data.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -19,6 +22,7 @@ from pyspark.sql import types as T
 from stratamart.operators.latest import latest
 from stratamart.schemas import BATCH_CONTROL, LONG, PIPELINE_CONTROL, RUN_LOG
 
+SEQ = "seq"
 RUNNING, SUCCESS, FAILED = "Running", "Success", "Failed"
 NO_NEW_DATA = "Success - No New Data"
 
@@ -31,6 +35,10 @@ class BatchRunning(RuntimeError):
     """The batch key is marked as being loaded."""
 
 
+class ConcurrentLoad(RuntimeError):
+    """Another job wrote the next control row of the pipeline."""
+
+
 def now() -> datetime:
     """Wall clock in UTC without a zone, as stored."""
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -87,34 +95,46 @@ class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._last: dict[str, int] = {}
 
     # -- storage -------------------------------------------------------------------------------
 
     def append(self, name: str, schema: T.StructType, **values) -> None:
-        """One row in a folder of its own: two jobs that append to one folder share its temporary files."""
+        """One row under the number after the last one that this ledger has seen of the table."""
         row = [_literal(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
-        one = self.spark.range(1, numPartitions=1).select(*row)
-        one.write.parquet(f"{self.root}/{name}/logged_at={time.time_ns()}")
+        if name not in self._last:
+            self._history(name, schema)
+        seq = self._last[name] + 1
+        try:
+            self.spark.range(1, numPartitions=1).select(*row).write.parquet(f"{self.root}/{name}/{SEQ}={seq}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            del self._last[name]
+            raise ConcurrentLoad(f"{name}: row {seq} was written by another job") from error
+        self._last[name] = seq
 
     def events(self, name: str, schema: T.StructType) -> DataFrame:
-        logged = T.StructType(schema.fields + [T.StructField("logged_at", LONG)])
+        numbered = T.StructType(schema.fields + [T.StructField(SEQ, LONG)])
         try:
-            return self.spark.read.schema(logged).parquet(f"{self.root}/{name}").select(*logged.fieldNames())
+            return self.spark.read.schema(numbered).parquet(f"{self.root}/{name}").select(*numbered.fieldNames())
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return no_rows(self.spark, logged)
+            return no_rows(self.spark, numbered)
 
     def _history(self, name: str, schema: T.StructType) -> list[Row]:
-        """All rows of a control table, oldest first: a few per load, so they fit the driver."""
-        return sorted(self.events(name, schema).collect(), key=lambda row: row.logged_at)
+        """All rows of a control table by number: a few per load, so they fit the driver."""
+        rows = sorted(self.events(name, schema).collect(), key=lambda row: row[SEQ])
+        self._last[name] = rows[-1][SEQ] if rows else 0
+        return rows
 
     # -- batches -------------------------------------------------------------------------------
 
     def batches(self) -> DataFrame:
         """Current state of every batch."""
         events = self.events("batch_control", BATCH_CONTROL)
-        return latest(events, ["pipeline_name", "batch_id"], [F.col("logged_at").desc()]).drop("logged_at")
+        return latest(events, ["pipeline_name", "batch_id"], [F.col(SEQ).desc()]).drop(SEQ)
 
     def start_batch(self, pipeline: str, batch_key: str, source_name: str, takeover: bool = False) -> Row:
         """Open a batch, or refuse it without touching the ledger.
@@ -165,15 +185,15 @@ class Ledger:
     # -- runs ----------------------------------------------------------------------------------
 
     def runs(self) -> DataFrame:
-        """Current state of every run."""
+        """Current state of every run; `seq` orders the runs of one pipeline."""
         events = self.events("run_log", RUN_LOG)
-        return latest(events, ["run_id"], [F.col("logged_at").desc()]).drop("logged_at")
+        return latest(events, ["run_id"], [F.col(SEQ).desc()])
 
     @contextmanager
     def run(self, pipeline: str):
         """Log a run as Running, then as Success or Failed with its counts; errors pass through."""
         started = now()
-        # The clock in nanoseconds: increasing, and unique without asking the log for its last id.
+        # The clock in nanoseconds names folders and log rows; nothing is ordered by it.
         run = Run(time.time_ns(), pipeline)
         self.append(
             f"run_log/pipeline={pipeline}",
@@ -213,9 +233,20 @@ class Ledger:
         """Commit records of one table, oldest first."""
         return self._history(f"pipeline_control/pipeline={pipeline}", PIPELINE_CONTROL)
 
-    def commit(self, pipeline: str, version: int | None, buckets: list[int], load_ids: list[int], watermark: int) -> None:
+    def commit(
+        self,
+        pipeline: str,
+        version: int | None,
+        load_ids: list[int],
+        watermark: int,
+        whole: bool = False,
+        seen: dict[str, int] | None = None,
+    ) -> None:
         """Publish a written version and move the watermark, in one record.
 
+        ``whole`` says that the version holds all current rows, so readers start from it. ``seen`` has the
+        number of the last commit that the load knew of each of its source tables.
+
         Written last: a job that dies before this line leaves files nobody reads, and running
         it again gives the same table.
         """
@@ -227,12 +258,13 @@ class Ledger:
             last_successful_run=now(),
             is_active=1,
             version=version,
-            buckets=buckets,
             load_ids=load_ids,
+            whole=whole,
+            seen=json.dumps(seen or {}, sort_keys=True),
         )
 
     def pipelines(self) -> DataFrame:
         """Current watermark and last successful run of every pipeline."""
         events = self.events("pipeline_control", PIPELINE_CONTROL)
-        current = latest(events, ["pipeline_name"], [F.col("logged_at").desc()])
+        current = latest(events, ["pipeline_name"], [F.col(SEQ).desc()])
         return current.select("pipeline_name", "watermark_value", "last_successful_run", "is_active")

@@ -6,11 +6,14 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratamart.schemas import BRONZE, raw_schema
 
-# A character that does not occur in text files, so that a line stays whole.
-_NO_SEPARATOR = "\x01"
+#: Whole line of a row with too many or too few fields, else NULL.
+MALFORMED = "malformed_line"
+#: Name of the file that a row came from.
+ROW_FILE = "_row_file"
 
 
 class UnknownTable(ValueError):
@@ -28,9 +31,13 @@ def read_raw(
     mode: str = "quoted",
     stream: bool = False,
     files_per_batch: int = 1000,
+    with_file: bool = False,
 ) -> DataFrame:
     """Rows of one source table, header line of each file skipped.
 
+    Every row is kept. One with too many or too few fields has its whole line in MALFORMED; the
+    fields that can be told apart are filled. A header that names other columns, or in another order, fails.
+
     ``quoted``     quote-aware; files are split between tasks.
     ``multiline``  quote-aware with line breaks inside fields (review texts). A file is one
                    task then, so such sources should come as many files.
@@ -43,21 +50,26 @@ def read_raw(
     if table not in BRONZE:
         raise UnknownTable(f"target bronze table does not exist: {table}")
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch) if stream else spark.read
+    names = BRONZE[table]
     if mode == "split":
-        lines = (
-            reader.schema("line string")
-            .options(header=True, sep=_NO_SEPARATOR, quote="", lineSep="\n", encoding="UTF-8", enforceSchema=True)
+        # The text source ends a line at a line feed and knows no other special character.
+        lines = reader.option("lineSep", "\n").text(path)
+        plain = F.regexp_replace("value", '^\ufeff|["\r]', "")
+        parts = F.split("value", ",", len(names))
+        short = F.when(F.size(parts) < len(names), F.col("value"))
+        columns = [F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(names)] + [short.alias(MALFORMED)]
+        rows = lines.where(plain != ",".join(names))
+    elif mode in ("quoted", "multiline"):
+        columns = [*names, MALFORMED]
+        rows = (
+            reader.schema(T.StructType([*raw_schema(table).fields, T.StructField(MALFORMED, T.StringType())]))
+            .options(header=True, sep=",", quote='"', escape='"', encoding="UTF-8", multiLine=mode == "multiline")
+            .options(mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED, enforceSchema=False)
             .csv(path)
         )
-        parts = F.split("line", ",", len(BRONZE[table]))
-        return lines.select(*[F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(BRONZE[table])])
-    if mode not in ("quoted", "multiline"):
+    else:
         raise ValueError(f"unknown mode: {mode}")
-    return (
-        reader.schema(raw_schema(table))
-        .options(header=True, sep=",", quote='"', escape='"', encoding="UTF-8", multiLine=mode == "multiline")
-        .csv(path)
-    )
+    return rows.select(*columns, *([F.col("_metadata.file_name").alias(ROW_FILE)] if with_file else []))
 
 
 def stamp(df: DataFrame, load_id: int | Column, load_datetime: datetime | Column, source_file: str | Column) -> DataFrame:

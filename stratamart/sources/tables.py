@@ -2,52 +2,31 @@
 
 A load writes a new ``version=N`` folder and publishes it through one commit record, so a
 table is never overwritten while it is read and a failed job leaves the last state in place.
-Keyed tables are laid out by ``key_bucket`` below the version: an upsert rewrites only the
-buckets its keys fall into, and readers take each bucket from its latest version.
+A version holds the changes of its load or, where its commit says so, all current rows.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
 from stratamart.sources.ledger import no_rows
 
-BUCKET = "key_bucket"
-
-
-def bucket_versions(commits: list[Row]) -> dict[int, int]:
-    """Latest published version of every bucket."""
-    current: dict[int, int] = {}
-    for commit in commits:
-        if commit.version is not None:
-            current.update(dict.fromkeys(commit.buckets, commit.version))
-    return current
-
-
-def bucket_paths(root: str, commits: list[Row], only: set[int] | None = None) -> list[str]:
-    """Folders that hold the current rows; a version that is current throughout is one folder."""
-    current = bucket_versions(commits)
-    written = {c.version: set(c.buckets) for c in commits if c.version is not None}
-    by_version: dict[int, set[int]] = defaultdict(set)
-    for bucket, version in current.items():
-        if only is None or bucket in only:
-            by_version[version].add(bucket)
-    paths = []
-    for version, buckets in sorted(by_version.items()):
-        folder = f"{root}/version={version}"
-        if buckets == written[version]:
-            paths.append(folder)
-        else:
-            paths.extend(f"{folder}/{BUCKET}={bucket}" for bucket in sorted(buckets))
-    return paths
-
-
-def version_paths(root: str, commits: list[Row]) -> list[str]:
-    """Folders of every published version, for tables that only grow."""
-    return [f"{root}/version={c.version}" for c in commits if c.version is not None]
+
+def published(commits: list[Row]) -> list[Row]:
+    """Commits that brought a version, oldest first."""
+    return [c for c in commits if c.version is not None]
+
+
+def current(commits: list[Row]) -> list[Row]:
+    """Versions that hold the current rows: the last whole one and all after it."""
+    versions = published(commits)
+    whole = [i for i, c in enumerate(versions) if c.whole]
+    return versions[whole[-1] :] if whole else versions
+
+
+def folders(root: str, versions: list[Row]) -> list[str]:
+    return [f"{root}/version={c.version}" for c in versions]
 
 
 def read_folders(spark: SparkSession, root: str, paths: list[str], schema: T.StructType) -> DataFrame:

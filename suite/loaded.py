@@ -32,8 +32,8 @@ def deliver(warehouse: Warehouse, sf_dir: str, name: str) -> dict:
 
 
 def empty_warehouse(spark: SparkSession) -> Warehouse:
-    """A new warehouse with a bucket per core."""
-    return Warehouse(spark, new_folder(spark, "warehouse"), buckets=spark.sparkContext.defaultParallelism)
+    """A new warehouse."""
+    return Warehouse(spark, new_folder(spark, "warehouse"))
 
 
 def loaded_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:

@@ -305,9 +305,9 @@ PIECES["product_source"] = f"""
 SELECT p.product_id, p.product_category_name, n.product_category_name_english, {', '.join(PRODUCT_NUMBERS)}
 FROM silver_products p LEFT JOIN category_names n ON p.product_category_name = n.product_category_name"""
 PIECES["seller_source"] = f"SELECT {', '.join(SELLER_COLUMNS)} FROM silver_sellers"
-PIECES["dim_customer"] = numbered("customer_source", ["customer_unique_id"], "customer_key", "INTEGER")
-PIECES["dim_product"] = numbered("product_source", ["product_id"], "product_key", "INTEGER")
-PIECES["dim_seller"] = numbered("seller_source", ["seller_id"], "seller_key", "INTEGER")
+PIECES["dim_customer"] = numbered("customer_source", ["customer_unique_id"], "customer_key", "BIGINT")
+PIECES["dim_product"] = numbered("product_source", ["product_id"], "product_key", "BIGINT")
+PIECES["dim_seller"] = numbered("seller_source", ["seller_id"], "seller_key", "BIGINT")
 PIECES["dim_date"] = f"""
 SELECT {datekey('d')} AS date_key, d AS full_date, CAST(year(d) AS INTEGER) AS year,
        CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name,
@@ -363,6 +363,11 @@ for _key, _name in KEYS.items():
     oracle(f"silver_{_key}", f"SELECT * FROM silver_{_name}")
 
 oracle("src_csv_bronze", f"SELECT {', '.join(ORDER_COLUMNS)} FROM clean_orders")
+oracle(
+    "src_csv_malformed",
+    """SELECT count(*) AS rows_loaded, count(*) FILTER (s_suppkey % 10 = 0 OR s_suppkey % 7 = 0) AS rows_malformed,
+       count(*) FILTER (s_suppkey % 10 = 0) AS rows_with_surplus FROM supplier""",
+)
 oracle("src_csv_raw_split", f"SELECT {', '.join(SELLER_COLUMNS)} FROM clean_sellers")
 oracle(
     "src_csv_multiline",
@@ -449,7 +454,7 @@ oracle(
         f"""SELECT '{n}' AS table_name, count(*) AS rows_total,
             count(*) FILTER (data_quality_status = 'CHECK') AS rows_check,
             count(*) FILTER (data_quality_status = 'REJECTED') AS rows_rejected FROM judged_{n}"""
-        for n in TABLES
+        for n in [*TABLES, "delivery"]
     ),
 )
 oracle("inc_new_rows", "SELECT order_id, order_status, load_id FROM bronze_orders WHERE load_id > 1")
@@ -480,6 +485,16 @@ oracle(
     ),
 )
 oracle("inc_two_batches", "SELECT * EXCLUDE (change_type) FROM merged_order_items")
+oracle("inc_compaction", "SELECT * EXCLUDE (change_type) FROM merged_order_items")
+PIECES["sales_first"] = PIECES["sales_source"].replace("silver_order_items", "silver_order_items_1")
+PIECES["sales_merged"] = PIECES["sales_source"].replace("silver_order_items", "merged_order_items")
+oracle(
+    "inc_fact_delta",
+    """SELECT order_id, order_item_id, price FROM sales_first
+       UNION ALL SELECT m.order_id, m.order_item_id, m.price FROM sales_merged m
+       ANTI JOIN sales_first f ON m.order_id = f.order_id AND m.order_item_id = f.order_item_id""",
+)
+oracle("fact_refresh", "SELECT order_id, order_item_id, price FROM sales_merged")
 oracle(
     "inc_late_batch",
     "SELECT order_id, order_item_id, price, source_load_id, change_type FROM late_order_items",
@@ -515,10 +530,10 @@ oracle(
 )
 PIECES["valid_customers"] = "SELECT * FROM silver_customers WHERE data_quality_status = 'VALID'"
 PIECES["valid_source"] = customers_of("valid_customers")
-PIECES["dim_before"] = numbered("valid_source", ["customer_unique_id"], "customer_key", "INTEGER")
+PIECES["dim_before"] = numbered("valid_source", ["customer_unique_id"], "customer_key", "BIGINT")
 PIECES["dim_added"] = numbered(
     "(SELECT * FROM customer_source ANTI JOIN dim_before USING (customer_unique_id))",
-    ["customer_unique_id"], "customer_key", "INTEGER", "(SELECT max(customer_key) FROM dim_before)",
+    ["customer_unique_id"], "customer_key", "BIGINT", "(SELECT max(customer_key) FROM dim_before)",
 )
 oracle(
     "scd1_customer",
@@ -588,10 +603,19 @@ oracle(
        UNION ALL SELECT 'dim_product', count(*) FROM judged_products WHERE product_id IS NULL
        UNION ALL SELECT 'dim_seller', count(*) FROM judged_sellers WHERE seller_id IS NULL""",
 )
+# every row without a complete key is kept, not only the latest of them
+PIECES["stored_order_items"] = f"""
+SELECT * FROM newest_order_items WHERE order_id IS NOT NULL AND order_item_id IS NOT NULL
+UNION ALL SELECT * FROM clean_order_items WHERE order_id IS NULL OR order_item_id IS NULL"""
 oracle(
     "quarantine_rows",
-    """SELECT order_id, order_item_id, product_id, price, data_quality_reason, source_file FROM judged_order_items
-       WHERE data_quality_status = 'REJECTED'""",
+    f"""SELECT order_id, order_item_id, product_id, price, data_quality_reason, source_file
+        FROM (SELECT *, {verdict(ITEM_RULES)} FROM stored_order_items) WHERE data_quality_status = 'REJECTED'""",
+)
+oracle(
+    "quarantine_orders",
+    """SELECT customer_id, order_status, 'Missing order_id' AS data_quality_reason, source_file
+       FROM clean_orders WHERE order_id IS NULL""",
 )
 
 # --- validation -------------------------------------------------------------------------------
@@ -734,14 +758,24 @@ oracle(
         for c in columns
     ),
 )
+#: Declared lengths of the text columns.
+LENGTHS = (
+    ("dim_date", "month_name", 20), ("dim_date", "day_name", 20),
+    ("dim_customer", "customer_unique_id", 50), ("dim_customer", "customer_id", 50),
+    ("dim_customer", "customer_zip_code_prefix", 5), ("dim_customer", "customer_city", 100),
+    ("dim_customer", "customer_state", 2),
+    ("dim_product", "product_id", 50), ("dim_product", "product_category_name", 255),
+    ("dim_product", "product_category_name_english", 255),
+    ("dim_seller", "seller_id", 50), ("dim_seller", "seller_zip_code_prefix", 5), ("dim_seller", "seller_city", 100),
+    ("dim_seller", "seller_state", 2),
+    ("fact_sales", "order_id", 50), ("fact_payments", "order_id", 50), ("fact_payments", "payment_type", 50),
+    ("fact_delivery", "order_id", 50), ("fact_delivery", "delivery_status", 30),
+)
 oracle(
     "contract_length",
     " UNION ALL ".join(
         f"SELECT 'gold.{d}' AS table_name, '{c}' AS column_name, count(*) FILTER (length({c}) > {n}) AS long_rows FROM {d}"
-        for d, c, n in (
-            ("dim_customer", "customer_zip_code_prefix", 5), ("dim_customer", "customer_state", 2),
-            ("dim_seller", "seller_zip_code_prefix", 5), ("dim_seller", "seller_state", 2),
-        )
+        for d, c, n in LENGTHS
     ),
 )
 
@@ -817,3 +851,52 @@ oracle(
        round(count(*) / sum(count(*)) OVER (), 6) AS share_of_delivered
        FROM fact_delivery WHERE delivery_status <> 'Not Delivered' GROUP BY 1""",
 )
+
+# --- marts under slicers ----------------------------------------------------------------------
+
+oracle(
+    "orders_by_status_filtered",
+    """SELECT delivery_status, count(*) AS orders FROM fact_delivery JOIN dim_customer c USING (customer_key)
+       WHERE purchase_date_key // 100 % 100 = 5 AND c.customer_state = 'EU' GROUP BY ALL""",
+)
+oracle(
+    "top5_categories_filtered",
+    f"""SELECT coalesce(product_category_name_english, product_category_name, 'Unknown') AS category, {TOTAL}
+        FROM fact_sales JOIN dim_product p USING (product_key)
+        WHERE order_date_key // 10000 = 1997 AND p.product_category_name = 'PROMO' GROUP BY 1
+        ORDER BY total_sales DESC NULLS LAST, category LIMIT 5""",
+)
+oracle(
+    "top5_sellers_filtered",
+    f"""SELECT seller_id, {TOTAL} FROM fact_sales JOIN dim_seller USING (seller_key)
+        WHERE order_date_key // 100 % 100 = 5 GROUP BY 1 ORDER BY total_sales DESC NULLS LAST, seller_id LIMIT 5""",
+)
+oracle(
+    "top5_cities_filtered",
+    f"""SELECT customer_city, {TOTAL} FROM fact_sales JOIN dim_customer c USING (customer_key)
+        WHERE c.customer_state = 'AS' GROUP BY 1 ORDER BY total_sales DESC NULLS LAST, customer_city NULLS LAST LIMIT 5""",
+)
+oracle(
+    "payments_by_type_filtered",
+    """SELECT payment_type, CAST(sum(payment_value) AS DECIMAL(38,2)) AS total_value, count(*) AS payments
+       FROM fact_payments JOIN dim_customer c USING (customer_key)
+       WHERE order_date_key // 10000 = 1996 AND c.customer_state = 'AF' GROUP BY ALL""",
+)
+oracle(
+    "customers_by_state_filtered",
+    """SELECT c.customer_state, count(DISTINCT c.customer_key) AS customers,
+       CAST(sum(coalesce(o.n, 0)) AS BIGINT) AS orders, CAST(sum(s.total) AS DECIMAL(38,2)) AS total_sales
+       FROM dim_customer c
+       LEFT JOIN (SELECT customer_key, count(*) AS n FROM fact_delivery WHERE purchase_date_key // 10000 = 1997 GROUP BY 1) o
+         USING (customer_key)
+       LEFT JOIN (SELECT customer_key, sum(price) AS total FROM fact_sales WHERE order_date_key // 10000 = 1997 GROUP BY 1) s
+         USING (customer_key)
+       WHERE c.customer_state IN ('AS') GROUP BY 1""",
+)
+oracle(
+    "delivery_performance_filtered",
+    """SELECT delivery_status, count(*) AS orders, round(avg(delivery_days), 6) AS avg_delivery_days,
+       round(avg(delivery_delay_days), 6) AS avg_delay_days,
+       round(count(*) / sum(count(*)) OVER (), 6) AS share_of_delivered
+       FROM fact_delivery WHERE delivery_status <> 'Not Delivered' AND purchase_date_key // 100 = 199705 GROUP BY 1""",
+)

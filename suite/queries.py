@@ -20,7 +20,7 @@ from stratamart.operators import checks
 from stratamart.operators.increments import new_rows, probe, rows_of_loads
 from stratamart.operators.keys import assign_keys
 from stratamart.operators.rules import CHECK, REJECTED, VALID
-from stratamart.operators.upsert import change_counts, insert_absent, upsert
+from stratamart.operators.upsert import change_counts, changes, insert_absent, upsert
 from stratamart.plans import gold, marts, silver, validation
 from stratamart.plans.warehouse import side_by_side
 from stratamart.schemas import BRONZE, SILVER
@@ -28,7 +28,7 @@ from stratamart.session import new_folder
 from stratamart.sources.ledger import BatchAlreadyLoaded
 from stratamart.sources.raw import EmptySource, read_raw, stamp
 from suite import fixtures
-from suite.loaded import empty_warehouse, load_time, loaded_warehouse
+from suite.loaded import deliver, empty_warehouse, load_time, loaded_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,6 +50,13 @@ def accepted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return silver.accepted(judged(spark, sf_dir, name))
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The same rows from a written table, for plans that read them more than once."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def of_load(spark: SparkSession, sf_dir: str, name: str, load: int) -> DataFrame:
     """Judged rows of one load alone."""
     rows = rows_of_loads(fixtures.bronze(spark, sf_dir, name), [load])
@@ -86,6 +93,24 @@ def src_csv_raw_split(spark, sf_dir):
     return silver.cleaned(stamp(raw, 1, load_time(1), "sellers_1.csv"), "sellers").select(*SILVER["sellers"].columns)
 
 
+@query
+def src_csv_malformed(spark, sf_dir):
+    """Write the sellers as plain lines, a field short or with commas in one, and load them as quoted CSV: no row is lost."""
+    folder = new_folder(spark, "lines")
+    rows = fixtures.bronze(spark, sf_dir, "sellers")
+    number = F.regexp_replace("seller_id", '"', "").cast("bigint")
+    every = [F.coalesce(c, F.lit("")) for c in BRONZE["sellers"]]
+    short = (number % 7 == 0) & (number % 10 != 0)
+    line = F.when(short, F.concat_ws(",", *every[:-1])).otherwise(F.concat_ws(",", *every))
+    rows.select(line.alias(_header("sellers"))).write.options(header=True, sep="\x01", quote="").csv(folder)
+    warehouse = empty_warehouse(spark)
+    loaded = warehouse.load_bronze("sellers", folder, "sellers_odd", "sellers.csv")
+    surplus = F.count_if(F.size(F.split("malformed_line", ",")) > len(BRONZE["sellers"])).alias("rows_with_surplus")
+    return warehouse.malformed("sellers").agg(
+        F.lit(loaded["rows_loaded"]).cast("bigint").alias("rows_loaded"), F.count("*").alias("rows_malformed"), surplus
+    )
+
+
 @query
 def src_csv_multiline(spark, sf_dir):
     """Write whole document texts as review messages, commas, quotes and line breaks included, and read them back."""
@@ -122,8 +147,8 @@ def src_bronze_generic(spark, sf_dir):
 @query
 def src_bronze_stamp(spark, sf_dir):
     """Load metadata as stamped on the stored rows."""
-    stored = loaded_warehouse(spark, sf_dir).bronze("orders")
-    return stored.groupBy("load_datetime", "source_file").agg(
+    bronze = loaded_warehouse(spark, sf_dir).bronze("orders")
+    return bronze.groupBy("load_datetime", "source_file").agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("load_id").alias("load_ids")
     )
 
@@ -346,7 +371,7 @@ def dq_counts(spark, sf_dir):
                 F.count_if(status == REJECTED).alias("rows_rejected"),
             )
             .select(F.lit(name).alias("table_name"), "rows_total", "rows_check", "rows_rejected")
-            for name in ("orders", "order_items", "order_payments", "customers", "sellers", "products")
+            for name in ("orders", "order_items", "order_payments", "customers", "sellers", "products", "delivery")
         ]
     )
 
@@ -407,11 +432,13 @@ def load_metrics(spark, sf_dir):
     rows = []
     for name in ("orders", "order_items"):
         status = F.col("data_quality_status")
-        verdicts = of_load(spark, sf_dir, name, 2).agg(
+        second = stored(of_load(spark, sf_dir, name, 2), "second-load")
+        verdicts = second.agg(
             F.count_if(status == CHECK).alias("rows_check"), F.count_if(status == REJECTED).alias("rows_rejected")
         )
-        changes = change_counts(_second_load(spark, sf_dir, name))
-        both = changes.withColumn("table_name", F.lit(name)).join(
+        first = silver.accepted(of_load(spark, sf_dir, name, 1))
+        changed = change_counts(changes(first, silver.accepted(second), SILVER[name].keys, newer="source_load_id"))
+        both = changed.withColumn("table_name", F.lit(name)).join(
             verdicts.withColumn("table_name", F.lit(name)), "table_name"
         )
         rows.append(both.select("table_name", *[c for c in both.columns if c != "table_name"]))
@@ -421,15 +448,58 @@ def load_metrics(spark, sf_dir):
 @query
 def inc_two_batches(spark, sf_dir):
     """Two stored increments of the order items, silver loaded after each."""
+    return _two_item_loads(spark, sf_dir).silver("order_items")
+
+
+def _load_items(warehouse, sf_dir, load: int) -> None:
+    part = rows_of_loads(fixtures.bronze(warehouse.spark, sf_dir, "order_items"), [load])
+    warehouse.load_bronze_rows("order_items", part, f"items_{load}", f"order_items_{load}.csv", load_time(load))
+
+
+def _two_item_loads(spark, sf_dir):
     warehouse = empty_warehouse(spark)
-    rows = fixtures.bronze(spark, sf_dir, "order_items")
     for load in (1, 2):
-        part = rows_of_loads(rows, [load])
-        warehouse.load_bronze_rows("order_items", part, f"items_{load}", f"order_items_{load}.csv", load_time(load))
+        _load_items(warehouse, sf_dir, load)
         warehouse.load_silver("order_items")
+    return warehouse
+
+
+@query
+def inc_compaction(spark, sf_dir):
+    """The same two increments, folded into one version: the rows stay."""
+    warehouse = _two_item_loads(spark, sf_dir)
+    warehouse.compact_silver("order_items")
     return warehouse.silver("order_items")
 
 
+def _star_of_first_items(spark, sf_dir):
+    """A warehouse with everything but the second delivery of the items, which follows."""
+    warehouse = empty_warehouse(spark)
+    others = [name for name in fixtures.INPUTS if name not in ("order_items", "order_reviews", "geolocation")]
+    side_by_side({name: partial(deliver, warehouse, sf_dir, name) for name in others})
+    _load_items(warehouse, sf_dir, 1)
+    warehouse.refresh()
+    _load_items(warehouse, sf_dir, 2)
+    warehouse.load_silver("order_items")
+    return warehouse
+
+
+@query
+def inc_fact_delta(spark, sf_dir):
+    """Sales after a second delivery of items: new ones are added, sold ones keep their values."""
+    warehouse = _star_of_first_items(spark, sf_dir)
+    warehouse.load_fact("fact_sales")
+    return warehouse.gold("fact_sales").select("order_id", "order_item_id", "price")
+
+
+@query
+def fact_refresh(spark, sf_dir):
+    """The same, with the fact rebuilt: corrected prices arrive."""
+    warehouse = _star_of_first_items(spark, sf_dir)
+    warehouse.load_fact("fact_sales", refresh=True)
+    return warehouse.gold("fact_sales").select("order_id", "order_item_id", "price")
+
+
 @query
 def inc_late_batch(spark, sf_dir):
     """Load 2 was processed first; load 1 comes late, fills gaps and replaces nothing."""
@@ -462,7 +532,7 @@ def run_log(spark, sf_dir):
     """First run of every silver table, as the run log has it."""
     runs = loaded_warehouse(spark, sf_dir).ledger.runs()
     first = runs.where(F.col("pipeline_name").startswith("silver_")).groupBy("pipeline_name").agg(
-        F.min_by(F.struct("status", "rows_extracted", "rows_loaded", "rows_rejected"), "run_id").alias("run")
+        F.min_by(F.struct("status", "rows_extracted", "rows_loaded", "rows_rejected"), "seq").alias("run")
     )
     return first.select("pipeline_name", "run.*")
 
@@ -528,10 +598,11 @@ def scd1_customer(spark, sf_dir):
     warehouse = loaded_warehouse(spark, sf_dir)
     customers, orders = warehouse.silver("customers"), warehouse.silver("orders")
     before = gold.customer_source(customers.where(F.col("data_quality_status") == VALID), orders)
-    target = assign_keys(before, "customer_key", ["customer_unique_id"], 0, "int")
+    target = assign_keys(stored(before, "scd1"), "customer_key", ["customer_unique_id"], 0, "bigint")
     merged = upsert(target, gold.customer_source(customers, orders), ["customer_unique_id"], carry="customer_key")
-    last = target.agg(F.max("customer_key")).first()[0]
-    fresh = assign_keys(merged.where(F.col("customer_key").isNull()), "customer_key", ["customer_unique_id"], last, "int")
+    merged = stored(merged, "scd1")
+    last = merged.where("change_type <> 'inserted'").count()  # keys are dense
+    fresh = assign_keys(merged.where(F.col("customer_key").isNull()), "customer_key", ["customer_unique_id"], last, "bigint")
     return merged.where(F.col("customer_key").isNotNull()).unionByName(fresh)
 
 
@@ -650,6 +721,13 @@ def quarantine_rows(spark, sf_dir):
     )
 
 
+@query
+def quarantine_orders(spark, sf_dir):
+    """Every order without an id is kept, not only the latest of them."""
+    rows = loaded_warehouse(spark, sf_dir).quarantine("orders").where("order_id is null")
+    return rows.select("customer_id", "order_status", "data_quality_reason", "source_file")
+
+
 # --- validation -------------------------------------------------------------------------------
 
 
@@ -694,3 +772,13 @@ QUERIES |= {
     "customers_by_state": lambda spark, sf_dir: marts.customers_by_state(_star(spark, sf_dir)),
     "delivery_performance": lambda spark, sf_dir: marts.delivery_performance(_star(spark, sf_dir)),
 }
+
+QUERIES |= {
+    "orders_by_status_filtered": lambda spark, sf_dir: marts.orders_by_status(_star(spark, sf_dir), month=5, state="EU"),
+    "top5_categories_filtered": lambda spark, sf_dir: marts.top_categories(_star(spark, sf_dir), year=1997, category="PROMO"),
+    "top5_sellers_filtered": lambda spark, sf_dir: marts.top_sellers(_star(spark, sf_dir), month=5),
+    "top5_cities_filtered": lambda spark, sf_dir: marts.top_cities(_star(spark, sf_dir), state="AS"),
+    "payments_by_type_filtered": lambda spark, sf_dir: marts.payments_by_type(_star(spark, sf_dir), year=1996, state="AF"),
+    "customers_by_state_filtered": lambda spark, sf_dir: marts.customers_by_state(_star(spark, sf_dir), year=1997, state="AS"),
+    "delivery_performance_filtered": lambda spark, sf_dir: marts.delivery_performance(_star(spark, sf_dir), year=1997, month=5),
+}

@@ -7,7 +7,7 @@ from stratamart.operators import checks
 from stratamart.operators.increments import probe, watermark_value
 from stratamart.operators.keys import assign_keys
 from stratamart.operators.latest import latest, newest_first
-from stratamart.operators.upsert import change_counts, insert_absent, upsert, upsert_few
+from stratamart.operators.upsert import change_counts, changes, insert_absent, upsert
 
 
 def plan(df):
@@ -56,16 +56,14 @@ def test_upsert_against_brute_force(spark, seed):
     expected = model_upsert(target, source)
     merged = upsert(*frames, ["k"], newer="load").select("k", "v", "load", "change_type")
     assert rows(merged) == expected
-    assert rows(upsert_few(*frames, ["k"], newer="load").select("k", "v", "load", "change_type")) == expected
-    spread = [f.withColumn("b", (F.col("k") % 5).cast("int")) for f in frames]
-    assert rows(upsert(*spread, ["k"], newer="load", spread=("b", 5)).select("k", "v", "load", "change_type")) == expected
+    marked = changes(frames[0].select("k", "load"), frames[1], ["k"], newer="load").where("change_type <> 'stale'")
+    assert rows(marked.select("k", "v", "load", "change_type")) == [e for e in expected if e[3] != "kept"]
     counts = change_counts(merged).first()
     assert counts.rows_updated == sum(e[3] == "updated" for e in expected)
     assert counts.rows_inserted == sum(e[3] == "inserted" for e in expected)
     assert counts.rows_loaded == counts.rows_updated + counts.rows_inserted
     fresh = sorted((k, v, n) for k, (v, n) in source.items() if k not in target)
     assert rows(insert_absent(*frames, ["k"])) == fresh
-    assert rows(insert_absent(*frames, ["k"], few=True)) == fresh
 
 
 def test_upsert_keeps_the_surrogate_key(spark):

@@ -15,7 +15,7 @@ def write(folder, text, name="a.csv"):
 
 
 def sellers(spark, path, mode):
-    return [tuple(r) for r in read_raw(spark, "sellers", path, mode).orderBy("seller_id").collect()]
+    return [tuple(r)[:4] for r in read_raw(spark, "sellers", path, mode).orderBy("seller_id").collect()]
 
 
 def test_quoted(spark, tmp_path):
@@ -49,6 +49,23 @@ def test_header_of_every_file_is_skipped(spark, tmp_path):
         assert [r[0] for r in sellers(spark, str(tmp_path), mode)] == ["s1", "s2"]
 
 
+@pytest.mark.parametrize("mode", ["quoted", "split"])
+def test_odd_rows_are_kept_with_their_line(spark, tmp_path, mode):
+    path = write(tmp_path, f"{HEADER}\ns1,1,a,SP\ns2,2\ns3,3,c,d,RJ\ns4,4,x\x01y,SP\n")
+    read = {r.seller_id: r for r in read_raw(spark, "sellers", path, mode, with_file=True).collect()}
+    assert sorted(read) == ["s1", "s2", "s3", "s4"]
+    assert read["s1"].malformed_line is None and read["s2"].malformed_line == "s2,2"
+    assert read["s3"].malformed_line == ("s3,3,c,d,RJ" if mode == "quoted" else None), "the last column of a split takes the rest"
+    assert read["s4"].seller_city == "x\x01y" and read["s4"].seller_state == "SP" and read["s4"].malformed_line is None
+    assert {r._row_file for r in read.values()} == {"a.csv"}
+
+
+def test_header_in_another_order_fails(spark, tmp_path):
+    path = write(tmp_path, "seller_state,seller_id,seller_zip_code_prefix,seller_city\nSP,s1,1,a\n")
+    with pytest.raises(Exception, match="header"):
+        read_raw(spark, "sellers", path).collect()
+
+
 def test_multiline(spark, tmp_path):
     head = "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp"
     path = write(tmp_path, head + '\nr1,o1,5,"a, b","line one\nline ""two"", end\n\nlast",2018-01-01,2018-01-02\nr2,o2,1,,,x,y\n')

@@ -9,13 +9,14 @@ from stratamart.plans import warehouse as module
 from stratamart.plans.warehouse import NullBusinessKey, Warehouse
 from stratamart.schemas import BRONZE
 from stratamart.session import new_folder
-from stratamart.sources.ledger import NO_NEW_DATA, BatchAlreadyLoaded, BatchRunning
+from stratamart.sources import ledger as ledger_module
+from stratamart.sources.ledger import NO_NEW_DATA, BatchAlreadyLoaded, BatchRunning, ConcurrentLoad
 from stratamart.sources.raw import EmptySource, UnknownTable
 
 
 @pytest.fixture
 def wh(spark):
-    return Warehouse(spark, new_folder(spark, "test"), buckets=3)
+    return Warehouse(spark, new_folder(spark, "test"))
 
 
 def frame(spark, table, *rows):
@@ -75,22 +76,78 @@ def test_rejected_newer_version_leaves_the_old_row(wh, spark):
     assert [(r.product_id, r.source_load_id) for r in wh.silver("order_items").collect()] == [("p1", 1)]
 
 
-def test_small_and_large_increments_give_the_same_table(wh, spark, monkeypatch):
-    other = Warehouse(spark, new_folder(spark, "test"), buckets=3)
-    monkeypatch.setattr(module, "SMALL_ROWS", 10**6)
-    for target, limit in ((wh, 10**6), (other, 0)):
-        monkeypatch.setattr(module, "SMALL_ROWS", limit)
-        for load in range(3):
-            rows = [order(n, status=f"s{load}") for n in range(load * 7, load * 7 + 20)]
-            target.load_bronze_rows("orders", frame(spark, "orders", *rows), f"b{load}", "x.csv")
-            target.load_silver("orders")
-    columns = ["order_id", "order_status", "source_load_id"]
-    few, many = (sorted(map(tuple, w.silver("orders").select(*columns).collect())) for w in (wh, other))
-    assert few == many and len(few) == 34
+def test_increments_write_what_they_bring_and_compaction_keeps_the_rows(wh, spark):
+    for load in range(3):
+        rows = [order(n, status=f"s{load}") for n in range(load * 7, load * 7 + 20)]
+        wh.load_bronze_rows("orders", frame(spark, "orders", *rows), f"b{load}", "x.csv")
+        wh.load_silver("orders")
+    wh.load_bronze_rows("orders", frame(spark, "orders", order(3, status="last")), "one", "x.csv")
+    one = wh.load_silver("orders")
+    assert (one["rows_updated"], one["rows_inserted"]) == (1, 0)
+    assert spark.read.parquet(f"{wh.root}/silver/orders/version={one['run_id']}").count() == 1
+    before = orders(wh)
+    assert len(before) == 34 and before["3"] == "LAST"
+    wh.compact_silver("orders")
+    assert orders(wh) == before
+    files = wh.silver("orders").inputFiles()
+    assert files and len({f.split("version=")[1].split("/")[0] for f in files}) == 1
+    assert wh.load_silver("orders")["status"] == NO_NEW_DATA
+
+
+def test_facts_read_only_versions_they_have_not_seen(wh, spark):
+    base(wh, spark)
+    wh.load_bronze_rows("orders", frame(spark, "orders", order(1), order(2)), "o", "o.csv")
+    wh.load_bronze_rows("order_items", frame(spark, "order_items", item(1)), "i", "i.csv")
+    wh.refresh()
+    wh.load_bronze_rows("order_items", frame(spark, "order_items", item(2), item(1, price="7.00")), "i2", "i2.csv")
+    new = wh.load_silver("order_items")
+    commits = wh.ledger.commits("gold_fact_sales")
+    files = wh._to_try("fact_sales", commits)[0].inputFiles()
+    assert {f.split("version=")[1].split("/")[0] for f in files if "/silver/order_items/" in f} == {str(new["run_id"])}
+    assert wh.load_fact("fact_sales")["rows_inserted"] == 1
+    assert {(r.order_id, str(r.price)) for r in wh.gold("fact_sales").collect()} == {("1", "5.00"), ("2", "5.00")}
+    keys = {r.order_id: r.sales_key for r in wh.gold("fact_sales").collect()}
+    rebuilt = wh.load_fact("fact_sales", refresh=True)
+    assert (rebuilt["rows_updated"], rebuilt["rows_inserted"]) == (2, 0)
+    assert {(r.order_id, str(r.price)) for r in wh.gold("fact_sales").collect()} == {("1", "7.00"), ("2", "5.00")}
+    assert {r.order_id: r.sales_key for r in wh.gold("fact_sales").collect()} == keys
+    again = wh.load_fact("fact_sales")
+    assert again["status"] == NO_NEW_DATA and again["rows_extracted"] == 2
+
+
+def test_a_clock_that_goes_back_hides_nothing(wh, spark, monkeypatch):
+    wh.load_bronze_rows("orders", frame(spark, "orders", order(1)), "b1", "1.csv")
+    wh.load_silver("orders")
+    real = ledger_module.time.time_ns
+    monkeypatch.setattr(ledger_module.time, "time_ns", lambda: real() - 3600 * 10**9)
+    wh.load_bronze_rows("orders", frame(spark, "orders", order(1, status="paid")), "b2", "2.csv")
+    assert wh.load_silver("orders")["rows_updated"] == 1
+    assert orders(wh) == {"1": "PAID"}
+
+
+def test_second_writer_of_a_number_fails(wh, spark):
+    wh.load_bronze_rows("orders", frame(spark, "orders", order(1)), "b1", "1.csv")
+    other = Warehouse(spark, wh.root)
+    assert other.ledger.commits("silver_orders") == []
+    wh.load_silver("orders")
+    with pytest.raises(ConcurrentLoad):
+        other.ledger.commit("silver_orders", 1, [1], 1)
+    other.ledger.commits("silver_orders")
+    other.ledger.commit("silver_orders", None, [], 1)
+
+
+def test_rows_without_a_key_are_all_kept(wh, spark):
+    rows = [order("", customer=f"c{n}") for n in range(3)] + [order("", customer="c0"), order(1)]
+    wh.load_bronze_rows("orders", frame(spark, "orders", *rows), "b1", "1.csv")
+    done = wh.load_silver("orders")
+    assert (done["rows_rejected"], done["rows_inserted"]) == (1, 1)
+    assert wh.quarantine("orders").count() == 4
+    plan = wh.quarantine("orders")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(data_quality_status" in plan
 
 
 def test_two_increments_equal_one_load(wh, spark):
-    one = Warehouse(spark, new_folder(spark, "test"), buckets=3)
+    one = Warehouse(spark, new_folder(spark, "test"))
     parts = [[order(n, status="a") for n in range(10)], [order(n, status="b") for n in range(5, 15)]]
     for number, part in enumerate(parts):
         wh.load_bronze_rows("orders", frame(spark, "orders", *part), f"b{number}", "x.csv")
@@ -171,8 +228,20 @@ def test_a_load_that_dies_leaves_the_last_state(wh, spark, monkeypatch):
     assert "Failed" in {r.status for r in wh.ledger.runs().collect()}
 
 
-def test_buckets_are_settled_once(wh, spark):
-    assert Warehouse(spark, wh.root, buckets=9).buckets == 3
+def test_key_digits_are_settled_once(wh, spark):
+    assert Warehouse(spark, wh.root, key_digits=5).key_digits == 3
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+def test_keys_are_dense_with_any_number_of_slots(spark, digits):
+    wh = Warehouse(spark, new_folder(spark, "test"), key_digits=digits)
+    base(wh, spark)
+    wh.load_silver("customers")
+    wh.load_bronze_rows("orders", frame(spark, "orders", order(1)), "o", "o.csv")
+    wh.load_silver("orders")
+    wh.load_dim("dim_customer")
+    assert sorted(r.customer_key for r in wh.gold("dim_customer").collect()) == [1, 2]
+    assert wh.load_dim("dim_customer")["status"] == NO_NEW_DATA
 
 
 def test_star(wh, spark):
@@ -248,3 +317,11 @@ def test_date_dimension(wh):
     assert (first.quarter, first.month_name, first.week_of_year, first.day_of_week, first.day_name) == (
         1, "January", 53, 6, "Friday",
     )
+    assert wh.load_date_dim()["status"] == NO_NEW_DATA, "bounds once given stay"
+    assert wh.load_date_dim(start=date(2017, 1, 1))["rows_loaded"] == 730
+
+
+def test_calendar_without_bounds_or_purchases_fails(wh):
+    with pytest.raises(EmptySource):
+        wh.load_date_dim(start=date(2016, 1, 1))
+    assert wh.gold("dim_date").count() == 0
