@@ -78,7 +78,8 @@ def in_ranges(docs: DataFrame) -> DataFrame:
     around = Window.orderBy("bucket")
     firsts = firsts.select("first_id", F.coalesce(F.lag("bucket").over(around), F.max("bucket").over(Window.partitionBy())).alias("bucket"))
     ghosts = docs.join(F.broadcast(firsts), F.col("doc_id") == F.col("first_id")).select("doc_id", "text", "bucket", F.lit(True).alias("ghost"))
-    dealt = own.withColumn("ghost", F.lit(False)).unionByName(ghosts).repartition(n, "bucket")
+    # each range to a task of its own: by hash, several would meet in one
+    dealt = own.withColumn("ghost", F.lit(False)).unionByName(ghosts).repartitionById(n, F.col("bucket"))
     order = Window.partitionBy("bucket").orderBy("ghost", "doc_id", "text")
     return dealt.select("*", F.row_number().over(order).alias("row"), F.lead("text", 1, "").over(order).alias("next_text"))
 
