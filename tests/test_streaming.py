@@ -23,7 +23,7 @@ def states(warehouse):
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    streamed = Warehouse(spark, new_folder(spark, "test"), buckets=2)
+    streamed = Warehouse(spark, new_folder(spark, "test"))
     checkpoint = new_folder(spark, "checkpoint")
     arrive(tmp_path, "a.csv", "s1,00001,x,SP", "s2,00002,x,SP")
     taken(streamed, tmp_path, checkpoint)
@@ -31,7 +31,7 @@ def test_stream_equals_batch(spark, tmp_path):
     arrive(tmp_path, "b.csv", "s2,00002,x,RJ", "s3,00003,x,RJ")
     taken(streamed, tmp_path, checkpoint)
     taken(streamed, tmp_path, checkpoint)
-    batch = Warehouse(spark, new_folder(spark, "test"), buckets=2)
+    batch = Warehouse(spark, new_folder(spark, "test"))
     for name in ("a.csv", "b.csv"):
         batch.load_bronze("sellers", str(tmp_path / name), name, name)
         batch.load_silver("sellers")
@@ -40,7 +40,7 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_replayed_epoch_is_not_loaded_twice(spark, tmp_path, monkeypatch):
-    warehouse = Warehouse(spark, new_folder(spark, "test"), buckets=2)
+    warehouse = Warehouse(spark, new_folder(spark, "test"))
     checkpoint = new_folder(spark, "checkpoint")
     arrive(tmp_path, "a.csv", "s1,00001,x,SP")
 
