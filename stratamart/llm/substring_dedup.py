@@ -1,7 +1,7 @@
 """Removal of word sequences that an earlier document holds, by a compacted de Bruijn graph.
 
 A window of WINDOW words is an edge from its first WINDOW - 1 words to its last ones. Only edges
-that may repeat are built. Five-word hashes are sampled so that equal windows sample the same one
+that may repeat are built. Hashes of SAMPLE words are sampled so that equal windows sample the same one
 (the least of each window); windows whose sample occurs in one text only can't repeat. The other
 windows are dealt by hash, and each occurrence gets a source: the first occurrence in a smaller
 doc_id. Where a document follows its source from edge to edge without a branch, the edges are
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from stratamart.llm.common import Batches, text_bytes, written
 
 WINDOW = 13
-SAMPLE = 5
+SAMPLE = 7
 _FACTS = "doc_id long, copy long, check long, n_words long, words_sha256 string"
 _SAMPLES = "sample long, salt long, copy long, known boolean"
 _EDGES = "edge long, check int, salt long, doc_id long, part int, at int, src_id long, src_at int"
@@ -55,7 +55,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 
 def samples(hashes: np.ndarray) -> np.ndarray:
-    """For each window the least hash of the five-word runs in it."""
+    """For each window the least hash of the runs of SAMPLE words in it."""
     if len(hashes) < WINDOW:
         return np.zeros(0, np.uint64)
     runs = _mixed(hashes, SAMPLE, 0x9E3779B97F4A7C15)
