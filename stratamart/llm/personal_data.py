@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
