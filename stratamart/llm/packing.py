@@ -14,6 +14,7 @@ read.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
@@ -43,10 +44,14 @@ class WordIds:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.of_stem, self.of_word = Cache(self._encoded), Cache(self._joined)
+        self.of_stem, self.of_word = Cache(self._encoded), Cache(self._joined, 260_000)
 
     def _encoded(self, part: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(part.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        if part.isalpha() and part.islower():  # ASCII letters: one pre-token, as it stands
+            ids = [token.id for token in self.tokenizer.model.tokenize(part.decode())]
+        else:
+            ids = self.tokenizer.encode(part.decode(), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _joined(self, word: bytes) -> bytes:
         if any(x in word.lower() for x in self.added):
