@@ -28,6 +28,7 @@ from tokenizers import Tokenizer
 from stratamart.llm.common import Batches, Cache, partitions, text_bytes
 
 OVER_LIMIT = 2048
+_TRAILING = b".,;:!?*&$%#"
 #: One packed entry: the document's place in its block, and a count.
 _ENTRY = np.dtype([("place", "<u4"), ("count", "<u4")])
 _FREQUENCIES = "block long, pretoken string, entries binary, doc_id long, place int, n_bytes long"
@@ -42,7 +43,14 @@ class Pieces:
         added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.added = set(added)
         self._cut = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
-        self.of_word = Cache(self._pretokens, 100_000)
+        self.of_word, self.of_tail = Cache(self._of_word, 100_000), Cache(self._pretokens, 10_000)
+
+    def _of_word(self, word: bytes) -> list[str]:
+        """ASCII letters are one pre-token in lower case, and punctuation never joins a letter before it."""
+        stem = word.rstrip(_TRAILING)
+        if stem.isalpha():
+            return [stem.decode().lower(), *(self.of_tail[word[len(stem) :]] if len(stem) < len(word) else [])]
+        return self._pretokens(word)
 
     def _pretokens(self, word: bytes) -> list[str]:
         text, out = word.decode(), []
