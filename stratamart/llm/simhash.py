@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.llm import near_copies
 from stratamart.llm.common import Batches, partitions, text_bytes, written
 from stratamart.llm.components import roots
 
@@ -160,27 +161,16 @@ def component_ids(docs: DataFrame) -> DataFrame:
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """One document of each group, that with the least doc_id, with all its columns.
+    """One document of each group of near copies, that with the least doc_id, with all its columns.
 
-    Of rows that share this doc_id one stays; rows without doc_id stay if no row of their group has one.
+    Groups are those of near_copies (five-word shingles, similarity 0.8), not of fingerprints. Of rows
+    that share this doc_id one stays; rows without doc_id stay if no row of their group has one.
     """
-    found = components(docs)
+    found = near_copies.components(docs)
     first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
     named = docs.join(first, F.col("doc_id") == F.col("__kept")).drop("__kept").dropDuplicates(["doc_id"])
     nameless = docs.where("doc_id is null")
     if not nameless.take(1):
         return named
-    alone = found.where("component_id is null").select(F.col("simhash").alias("__kept")).distinct()
-    hashed = _with_fingerprint(nameless).join(alone, F.col("__simhash") == F.col("__kept"), "left_semi").drop("__simhash")
-    return named.unionByName(hashed)
-
-
-def _with_fingerprint(docs: DataFrame) -> DataFrame:
-    schema = docs.select("*", F.lit(None).cast("long").alias("__simhash")).schema
-
-    def run(batches: Batches):
-        for batch in batches:
-            found = np.array([fingerprint(x) for x in text_bytes(batch)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], schema.names)
-
-    return docs.mapInArrow(run, schema)
+    alone = found.where("component_id is null").select(F.col("copy").alias("__kept")).distinct()
+    return named.unionByName(near_copies.with_copy(nameless).join(alone, F.col("__copy") == F.col("__kept"), "left_semi").drop("__copy"))

@@ -1,0 +1,78 @@
+"""Near copies against brute force over all pairs."""
+
+import random
+from itertools import combinations
+
+import pytest
+
+from stratamart.llm import near_copies, simhash
+from tests.llm.conftest import SCHEMA
+
+
+def brute_similarity(a, b):
+    def cut(text):
+        words = text.lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    a, b = cut(a), cut(b)
+    return len(a & b) / len(a | b)
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for at in rng.sample(range(len(words)), n):
+        words[at] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(5)
+    out = []
+    for size in (30, 120, 248, 600):
+        for _ in range(4):
+            text = " ".join(f"w{rng.randrange(900)}" for _ in range(size))
+            out += [text, *(edited(rng, text, rng.randrange(1, max(2, size // 30))) for _ in range(6))]
+            out.append(edited(rng, out[-1], max(1, size // 60)))  # in reach of one copy only
+    return out + ["a b c", "A  b C", "a b d", "", " "]
+
+
+def brute_least(texts):
+    root = list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        if brute_similarity(texts[i], texts[j]) >= 0.8:
+            a, b = sorted((root[i], root[j]))
+            root = [a if x == b else x for x in root]
+    return root
+
+
+def test_near_copies(spark, docs, texts):
+    found = {r.doc_id: r.component_id for r in near_copies.components(_frame(spark, texts)).collect()}
+    expected = brute_least(texts)
+    assert found == dict(enumerate(expected))
+    fingers = [simhash.fingerprint(x.encode()) for x in texts]
+    far = [i for i, j in enumerate(expected) if i != j and all((fingers[i] ^ fingers[k]).bit_count() > 2 for k in range(len(texts)) if k != i)]
+    assert len(far) > 20, "fingerprints leave these apart"
+    assert {r.doc_id for r in simhash.kept(_frame(spark, texts)).collect()} == set(expected)
+
+
+def _frame(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "s1", len(t), "", "", None) for i, t in enumerate(texts)], SCHEMA)
+
+
+def test_pairs_apart_from_the_least_copy_are_compared(spark, docs, monkeypatch):
+    """One bucket for all: what the least copy is not similar to must still be found."""
+    monkeypatch.setattr(near_copies, "_own", _in_one_bucket(near_copies._own))
+    rng = random.Random(8)
+    texts = []
+    for _ in range(5):
+        text = " ".join(f"v{rng.randrange(900)}" for _ in range(100))
+        texts += [text, *(edited(rng, text, 2) for _ in range(3))]
+    found = {r.doc_id: r.component_id for r in near_copies.components(_frame(spark, texts)).collect()}
+    assert found == dict(enumerate(brute_least(texts))) and len(set(found.values())) == 5
+
+
+def _in_one_bucket(own):
+    from pyspark.sql import functions as F
+
+    return lambda docs: own(docs).withColumn("buckets", F.expr("if(buckets is null, null, array(1L))"))
