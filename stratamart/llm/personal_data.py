@@ -6,7 +6,7 @@ the text share a chain potential; nodes with the same or similar characters, how
 share a skip potential (equal but for signs, or numbers with the same last seven digits). Base spans are observed. Loopy belief propagation settles the rest, and a
 look-alike whose likeliest label is a kind of personal data becomes a span: a number that stands
 with its country code in one place is found without it in another. Potentials are log shares counted
-over the base spans of a bounded sample of documents.
+over the base spans of all documents.
 
 A long document is no danger: nodes are only base spans and look-alikes, a node asks for at most
 two skip edges, to the first observed node of each group of similar ones, and the number of message
@@ -31,7 +31,6 @@ from stratamart.llm.common import Batches
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
-MAX_TRAINING_DOCUMENTS = 2_000
 ROUNDS = 8
 SIMILAR_DIGITS = 7
 PRIOR_NONE = 20.0
@@ -221,9 +220,8 @@ def evidence(text: str) -> tuple[np.ndarray, np.ndarray, int, int]:
     return unary, chain, equal, other
 
 
-def trained(docs: DataFrame, most: int = MAX_TRAINING_DOCUMENTS) -> SkipChain:
-    """A field counted on at most `most` documents, chosen by a hash of their ids."""
-    chosen = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def trained(docs: DataFrame) -> SkipChain:
+    """A field counted on all documents."""
     width = N_SIGNS * (NONE + 1) + (NONE + 1) ** 2 + 2
 
     def run(batches: Batches):
@@ -234,8 +232,7 @@ def trained(docs: DataFrame, most: int = MAX_TRAINING_DOCUMENTS) -> SkipChain:
                 total += np.concatenate([unary.ravel(), chain.ravel(), [equal, other]])
         yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(total)], ["at", "n"])
 
-    seen = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text")
-    sums = {r.at: r.n for r in seen.mapInArrow(run, "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).collect()}
+    sums = {r.at: r.n for r in docs.select("text").mapInArrow(run, "at int, n double").groupBy("at").agg(F.sum("n").alias("n")).collect()}
     total = np.array([sums.get(i, 0.0) for i in range(width)])
     if not total.any():
         return DEFAULT_FIELD
