@@ -163,12 +163,13 @@ def component_ids(docs: DataFrame) -> DataFrame:
 def kept(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies, that with the least doc_id, with all its columns.
 
-    Groups are those of near_copies (five-word shingles, similarity 0.8), not of fingerprints. Of rows
-    that share this doc_id one stays; rows without doc_id stay if no row of their group has one.
+    Groups are those of near_copies (five-word shingles, similarity 0.8), not of fingerprints. Of texts of
+    a group that share this doc_id the one of the least copy stays, and one of its rows; rows without doc_id stay if no row of their group has one.
     """
     found = near_copies.components(docs)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.join(first, F.col("doc_id") == F.col("__kept")).drop("__kept").dropDuplicates(["doc_id"])
+    first = found.where("doc_id = component_id").groupBy("root").agg(F.first("doc_id").alias("__id"), F.min("copy").alias("__kept"))
+    here = (F.col("doc_id") == F.col("__id")) & (F.col("__copy") == F.col("__kept"))
+    named = near_copies.with_copy(docs).join(first, here).dropDuplicates(["doc_id", "__copy"]).select(*docs.columns)
     nameless = docs.where("doc_id is null")
     if not nameless.take(1):
         return named

@@ -76,3 +76,12 @@ def _in_one_bucket(own):
     from pyspark.sql import functions as F
 
     return lambda docs: own(docs).withColumn("buckets", F.expr("if(buckets is null, null, array(1L))"))
+
+
+def test_repeated_ids_with_other_texts(spark, docs):
+    rng = random.Random(2)
+    a, b, c, d, e = (" ".join(f"u{rng.randrange(900)}" for _ in range(60)) for _ in range(5))
+    rows = [(1, a), (2, edited(rng, a, 1)), (2, b), (2, b), (3, b), (4, c), (4, edited(rng, c, 1)), (5, d), (5, e)]
+    found = simhash.kept(spark.createDataFrame([(i, t, "en", "s1", len(t), "", "", None) for i, t in rows], SCHEMA)).collect()
+    assert sorted(r.doc_id for r in found) == [1, 2, 4, 5, 5], "no text of a group of its own is lost"
+    assert {(1, a), (2, b)} <= {(r.doc_id, r.text) for r in found}
