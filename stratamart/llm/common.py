@@ -47,6 +47,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be no column of df."""
+    taken, out = {x.lower() for x in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 class Cache(dict):
     """Values by key, made on first use. At most 2 * `most` stay: when the younger half is full it
     becomes the older one, and keys that are not asked for again are dropped with it."""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratamart.llm import byte_bpe, fingerprints, line_dedup, packing, personal_data, prefix_trie, quality_classifier, quality_rules, simhash, substring_dedup, token_counts
+from stratamart.llm import bottom_k, byte_bpe, fingerprints, line_dedup, packing, personal_data, prefix_trie, quality_classifier, quality_rules, simhash, substring_dedup, token_counts
 from stratamart.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottom_k.near_duplicates(table(spark, sf_dir, "documents"))

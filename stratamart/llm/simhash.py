@@ -26,8 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm import near_copies
-from stratamart.llm.common import Batches, partitions, text_bytes, written
+from stratamart.llm import bottom_k
+from stratamart.llm.common import Batches, partitions, text_bytes, unused, written
 from stratamart.llm.components import roots
 
 RADIUS = 2
@@ -163,15 +163,16 @@ def component_ids(docs: DataFrame) -> DataFrame:
 def kept(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies, that with the least doc_id, with all its columns.
 
-    Groups are those of near_copies (five-word shingles, similarity 0.8), not of fingerprints. Of texts of
+    Groups are those of bottom_k (five-word shingles, similarity 0.8), not of fingerprints; texts without words are one group. Of texts of
     a group that share this doc_id the one of the least copy stays, and one of its rows; rows without doc_id stay if no row of their group has one.
     """
-    found = near_copies.components(docs)
-    first = found.where("doc_id = component_id").groupBy("root").agg(F.first("doc_id").alias("__id"), F.min("copy").alias("__kept"))
-    here = (F.col("doc_id") == F.col("__id")) & (F.col("__copy") == F.col("__kept"))
-    named = near_copies.with_copy(docs).join(first, here).dropDuplicates(["doc_id", "__copy"]).select(*docs.columns)
+    found = bottom_k.components(docs, 5)
+    copy, first_id, first_copy = unused(docs, "copy", "first_id", "first_copy")
+    first = found.where("doc_id = component_id").groupBy("root").agg(F.first("doc_id").alias(first_id), F.min("copy").alias(first_copy))
+    here = (F.col("doc_id") == F.col(first_id)) & (F.col(copy) == F.col(first_copy))
+    named = bottom_k.with_copy(docs, copy).join(first.drop("root"), here).dropDuplicates(["doc_id", copy]).select(*docs.columns)
     nameless = docs.where("doc_id is null")
     if not nameless.take(1):
         return named
-    alone = found.where("component_id is null").select(F.col("copy").alias("__kept")).distinct()
-    return named.unionByName(near_copies.with_copy(nameless).join(alone, F.col("__copy") == F.col("__kept"), "left_semi").drop("__copy"))
+    alone = found.where("component_id is null").select(F.col("copy").alias(first_copy)).distinct()
+    return named.unionByName(bottom_k.with_copy(nameless, copy).join(alone, F.col(copy) == F.col(first_copy), "left_semi").drop(copy))

@@ -47,5 +47,5 @@ def test_every_query_is_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert set(QUERIES) | {"pipeline"} <= names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 10
-    assert packing.SIZE == 2048 and quality_rules.MIN_WORDS == 10
+    assert set(QUERIES) | {"pipeline"} <= names and sum(n.startswith("op") and n[2].isdigit() for n in names) >= 10
+    assert packing.SIZE == 2048 and quality_rules.MIN_WORDS >= 10
