@@ -1,38 +1,31 @@
 """Token counts without token ids: pieces per distinct pre-token, joined to pre-token frequencies.
 
-Texts are read in blocks. A block gives one row for each of its distinct pre-tokens, with the
-documents that hold it and how often, packed. Rows are dealt by pre-token and sorted, so each
-pre-token's rows meet its pieces, counted once, in one merge pass; the products go back to documents
-as partial sums. A pre-token in every document has one row for each block, not for each document.
+Blocks of documents give how often each document holds each of the block's distinct pre-tokens. The pieces of each
+distinct pre-token of the corpus are counted once; that table is joined to the blocks' frequencies, and the products
+are added up for each document (see block_sums).
 
 Defined cases: null is the empty text, with no tokens; strings of added tokens inside texts count as
 one token each, as the tokenizer's default has it; repeated rows each give a row, and a null doc_id
-stays null; other columns are not read. A block's number comes from its task and place, so documents
-should come from files or a written table, which read the same again if an executor is lost.
+stays null; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stratamart.llm.common import Batches, Cache, partitions, text_bytes
+from stratamart.llm.block_sums import in_blocks, keys, numbering, packed, summed
+from stratamart.llm.common import Batches, Cache, text_bytes
 
 OVER_LIMIT = 2048
 _TRAILING = b".,;:!?*&$%#"
-#: One packed entry: the document's place in its block, and a count.
-_ENTRY = np.dtype([("place", "<u4"), ("count", "<u4")])
-_FREQUENCIES = "block long, pretoken string, entries binary, doc_id long, place int, n_bytes long"
-_SUMS = "block long, place int, tokens long, doc_id long, n_bytes long"
+_OWN = "doc_id long, n_bytes long"
 
 
 class Pieces:
@@ -43,7 +36,7 @@ class Pieces:
         added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.added = set(added)
         self._cut = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
-        self.of_word, self.of_tail = Cache(self._of_word, 100_000), Cache(self._pretokens, 10_000)
+        self.of_word, self.of_tail = Cache(self._of_word, 40_000), Cache(self._pretokens, 5_000)
 
     def _of_word(self, word: bytes) -> list[str]:
         """ASCII letters are one pre-token in lower case, and punctuation never joins a letter before it."""
@@ -71,113 +64,54 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def numbering() -> defaultdict:
-    """Numbers for keys, from 0, in the order in which they are first asked for."""
-    numbers: defaultdict = defaultdict()
-    numbers.default_factory = numbers.__len__
-    return numbers
-
-
-def block_frequencies(texts: list[bytes], known: Pieces) -> tuple[list[str], pa.Array]:
-    """The distinct pre-tokens of a block and, for each, the packed places of documents and counts.
+def block_frequencies(texts: list[bytes], known: Pieces) -> tuple[list[str], pa.Array, np.ndarray]:
+    """The distinct pre-tokens of a block and, for each, its packed entries and its occurrences.
 
     White space is dropped by this tokenizer, so a text's pre-tokens are those of its words.
     """
-    words, pretokens, own, counts, sizes = numbering(), numbering(), [], [], []
+    words, pretokens, found, sizes = numbering(), numbering(), [], []
     for text in texts:
-        found = Counter(text.split())
-        own.append(np.fromiter(map(words.__getitem__, found), np.int32, len(found)))
-        counts.append(np.fromiter(found.values(), np.uint32, len(found)))
-        sizes.append(len(found))
-    parts = [known.of_word[word] for word in words]
-    length = np.fromiter(map(len, parts), np.int64, len(parts))
-    flat = np.array([pretokens[x] for part in parts for x in part], np.int64)
-    starts = np.cumsum(length) - length
-    word = np.concatenate(own) if own else np.zeros(0, np.int32)
-    count, place = (np.concatenate(counts) if counts else np.zeros(0, np.uint32)), np.repeat(np.arange(len(sizes)), sizes)
+        own = text.split()
+        found.append(np.fromiter(map(words.__getitem__, own), np.int32, len(own)))
+    parts = [[pretokens[x] for x in known.of_word[word]] for word in words]
+    del words
+    length = np.fromiter(map(len, parts), np.int32, len(parts))
+    flat = np.fromiter((x for part in parts for x in part), np.int32, int(length.sum()))
+    starts = np.cumsum(length, dtype=np.int32) - length
+    sizes = [int(length[x].sum()) for x in found]
+    word = np.concatenate(found) if found else np.zeros(0, np.int32)
+    del found, parts
     each = length[word]  # from words to their pre-tokens
-    inside = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-    key = flat[np.repeat(starts[word], each) + inside] * max(1, len(texts)) + np.repeat(place, each)
-    order = np.argsort(key, kind="stable")
-    key, count = key[order], np.repeat(count, each)[order]
-    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
-    entries = np.empty(len(heads), _ENTRY)
-    entries["place"] = key[heads] % max(1, len(texts))
-    entries["count"] = np.add.reduceat(count, heads) if len(heads) else 0
-    per_pretoken = np.bincount(key[heads] // max(1, len(texts)), minlength=len(pretokens))
-    ends = np.concatenate([[0], np.cumsum(per_pretoken * _ENTRY.itemsize)]).astype(np.int32)
-    packed = pa.Array.from_buffers(pa.binary(), len(pretokens), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(entries.tobytes())])
-    return list(pretokens), packed
+    inside = np.arange(each.sum(), dtype=np.int32) - np.repeat(np.cumsum(each, dtype=np.int32) - each, each)
+    return list(pretokens), *packed(flat[np.repeat(starts[word], each) + inside], sizes, len(pretokens))
 
 
 def frequencies(docs: DataFrame, path: str) -> DataFrame:
-    """A row for each block and pre-token, and one without pre-token for each document."""
-
-    def run(batches: Batches):
-        known = pieces(path)
-        for number, batch in enumerate(batches):
-            block, texts = (TaskContext.get().partitionId() << 32) + number, text_bytes(batch)
-            names, entries = block_frequencies(texts, known)
-            yield _rows(block, pretoken=pa.array(names, pa.string()), entries=entries)
-            sizes = pa.array(map(len, texts), pa.int64())
-            yield _rows(block, doc_id=batch.column("doc_id").cast(pa.int64()), place=pa.array(range(len(texts)), pa.int32()), n_bytes=sizes)
+    """The documents' blocks, with pre-tokens as keys."""
 
-    return docs.select("doc_id", "text").mapInArrow(run, _FREQUENCIES)
+    def read(part: pa.RecordBatch):
+        texts = text_bytes(part)
+        names, entries, totals = block_frequencies(texts, pieces(path))
+        columns = {"doc_id": part.column("doc_id"), "n_bytes": pa.array(map(len, texts), pa.int64())}
+        return pa.array([x.encode() for x in names], pa.binary()), entries, totals, columns
 
+    return in_blocks(docs, read, _OWN, "pretokens")
 
-_KINDS = {"block": pa.int64(), "pretoken": pa.string(), "entries": pa.binary(), "doc_id": pa.int64(), "place": pa.int32(), "n_bytes": pa.int64()}
 
-
-def _rows(block: int, **columns: pa.Array) -> pa.RecordBatch:
-    n = len(next(iter(columns.values())))
-    columns["block"] = pa.array(np.full(n, block), pa.int64())
-    return pa.RecordBatch.from_arrays([columns.get(k, pa.nulls(n, kind)) for k, kind in _KINDS.items()], list(_KINDS))
-
-
-def _multiplied(path: str):
-    """For rows sorted by pre-token: each pre-token's pieces, times its count in each document."""
+def counted(pretokens: DataFrame, path: str) -> DataFrame:
+    """The number of pieces of each pre-token."""
 
     def run(batches: Batches):
-        known, last, n_pieces = pieces(path), None, 0
+        known = pieces(path)
         for batch in batches:
-            seen = batch.filter(batch.column("pretoken").is_valid())
-            if seen.num_rows:
-                names, per_row = seen.column("pretoken").to_pylist(), np.empty(seen.num_rows, np.int64)
-                for i, name in enumerate(names):
-                    if name != last:
-                        last, n_pieces = name, known.count(name)
-                    per_row[i] = n_pieces
-                packed = seen.column("entries")
-                entries = np.frombuffer(b"".join(packed.to_pylist()), _ENTRY)
-                counts = pc.binary_length(packed).to_numpy() // _ENTRY.itemsize
-                key = np.stack([np.repeat(seen.column("block").to_numpy(), counts), entries["place"].astype(np.int64)])
-                yield _summed(key, np.repeat(per_row, counts) * entries["count"])
-            own = batch.filter(batch.column("pretoken").is_null())
-            if own.num_rows:
-                zeros = pa.array(np.zeros(own.num_rows, np.int64))
-                yield pa.RecordBatch.from_arrays([own.column("block"), own.column("place"), zeros, own.column("doc_id"), own.column("n_bytes")], _SUM_NAMES)
-
-    return run
-
-
-_SUM_NAMES = ["block", "place", "tokens", "doc_id", "n_bytes"]
-
-
-def _summed(key: np.ndarray, tokens: np.ndarray) -> pa.RecordBatch:
-    order = np.lexsort(key[::-1])
-    key, tokens = key[:, order], tokens[order]
-    starts = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)]))
-    block, place = key[:, starts]
-    none = pa.nulls(len(starts), pa.int64())
-    sums = np.add.reduceat(tokens, starts)
-    return pa.RecordBatch.from_arrays([pa.array(block), pa.array(place.astype(np.int32)), pa.array(sums), none, none], _SUM_NAMES)
+            found = [known.count(x.decode()) for x in batch.column("key").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.int64())], ["key", "n_tokens"])
+
+    return pretokens.select("key").mapInArrow(run, "key binary, n_tokens long")
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = OVER_LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens and whether they are over the limit, for each document."""
-    found = frequencies(docs, path)
-    # rows without a pre-token are dealt by their block and place, so that they don't meet in one task
-    dealt = found.repartition(partitions(docs.sparkSession), F.coalesce("pretoken", F.concat_ws(":", "block", "place")))
-    sums = dealt.sortWithinPartitions("pretoken").mapInArrow(_multiplied(path), _SUMS)
-    totals = sums.groupBy("block", "place").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens"))
-    return totals.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    blocks = frequencies(docs, path)
+    found = summed(blocks, counted(keys(blocks), path), _OWN)
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

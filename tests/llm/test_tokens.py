@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from stratamart.llm import byte_bpe, packing, token_counts
+from stratamart.llm import block_sums, byte_bpe, packing, token_counts
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -45,11 +45,12 @@ def test_token_counts_without_documents_or_ids(no_docs, nameless):
 
 def test_added_tokens_inside_texts(own):
     texts = ["a<|endoftext|>b <|startoftext|>", "<|ENDOFTEXT|> <|endoftext|>.", "x\x1cy it's 12 IT'LL é"]
-    names, packed = token_counts.block_frequencies([t.encode() for t in texts], known := token_counts.pieces(WORDS))
+    names, packed, occurrences = token_counts.block_frequencies([t.encode() for t in texts], known := token_counts.pieces(WORDS))
     totals = np.zeros(len(texts), int)
     for name, entries in zip(names, packed.to_pylist(), strict=True):
-        for place, n in np.frombuffer(entries, token_counts._ENTRY):
+        for place, n in np.frombuffer(entries, block_sums.ENTRY):
             totals[place] += n * known.count(name)
+        assert occurrences[names.index(name)] == np.frombuffer(entries, block_sums.ENTRY)["count"].sum()
     assert totals.tolist() == [len(ids_of(own, t)) for t in texts]
     packed_ids = packing._word_ids(WORDS)
     for text in texts:
