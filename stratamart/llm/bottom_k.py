@@ -12,7 +12,7 @@ of the retained values hold every link; the counters only keep frequent passages
 Overlaps. Values that two texts retain give candidates, if sizes and places leave a link possible. In a list
 of at most SMALL texts all pairs are candidates. In a longer list, each text is held against one hub of the
 list; then, round by round, against new hubs in another component than its own. When few pairs remain that
-lie in two components, or hubs bring nothing more, exactly those are taken. Only which texts belong together is asked for,
+lie in two components, or a round doesn't halve them, exactly those are taken. Only which texts belong together is asked for,
 so pairs within a component needn't be compared, and none that could join two components is left out.
 
 Estimate. The bottom SKETCH hashes, of 32 bits, of a candidate pair's union are a random sample of it. If less than
@@ -44,8 +44,8 @@ SMALL = 32
 SEED = 42
 COUNTERS, _SLICES = 1 << 20, 64
 _SHIFT = np.uint64(44)  # a hash's upper 20 bits are its counter
-#: A longer list gets this many new hubs in each further round, for so many rounds at most.
-_HUBS, _ROUNDS = 4, 6
+#: A longer list gets this many new hubs in each further round.
+_HUBS = 4
 _SPLIT = 1_000
 _SEEN = 100_000
 
@@ -210,9 +210,13 @@ class _Judge:
 
 
 def _possible(a: str, b: str) -> Column:
-    """Whether sizes, and places at a first common value, leave room for a link."""
+    """Whether a pair may be linked if this is its first common value.
+
+    What lies before it isn't shared, so the intersection has at most the rest of the shorter remainder, and 5 * intersection
+    >= 4 * union is 9 * intersection >= 4 * (both sizes).
+    """
     n_a, n_b, at_a, at_b = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.place", f"{b}.place"))
-    return (5 * F.least(n_a, n_b) >= 4 * F.greatest(n_a, n_b)) & (9 * (at_a + at_b) <= n_a + n_b)
+    return 9 * F.least(n_a - at_a, n_b - at_b) >= 4 * (n_a + n_b)
 
 
 def _ends(a: str, b: str) -> list[Column]:
@@ -254,14 +258,16 @@ def _components(docs: DataFrame, own: DataFrame, width: int) -> DataFrame:
     links = judge.links(pairs.union(_against_hubs(large, 0, 1)))
     found = written(roots(links), "near-roots")
 
-    for turn in range(1, _ROUNDS + 1):
-        root = found.withColumnRenamed("node", "copy")
+    before, turn = float("inf"), 0
+    while True:
+        root, turn = found.withColumnRenamed("node", "copy"), turn + 1
         named = written(large.join(root, "copy", "left").withColumn("root", F.coalesce("root", "copy")), "near-named")
         lists, n_rows, apart = _spread(named)
         if not apart:
-            break
+            return found
         here = named.join(lists, "value")
-        last = apart <= 2 * n_rows or turn == _ROUNDS
+        last = apart <= 2 * n_rows or 2 * apart > before  # few are left, or hubs don't halve them
+        before = apart
         if last:
             strays = here.where("root <> largest")  # a pair of two strays comes up twice, which distinct() undoes
             rest = strays.alias("x").join(here.alias("y"), "value").where("x.root <> y.root").where(_possible("x", "y"))
@@ -271,8 +277,7 @@ def _components(docs: DataFrame, own: DataFrame, width: int) -> DataFrame:
         if new.take(1):
             found = written(roots(new.union(found.select(F.col("node").alias("a"), F.col("root").alias("b")))), "near-roots")
         if last:
-            break
-    return found
+            return found
 
 
 def components(docs: DataFrame, width: int) -> DataFrame:
