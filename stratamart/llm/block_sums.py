@@ -91,11 +91,6 @@ def in_blocks(docs: DataFrame, read: Callable, own: str, label: str) -> DataFram
     return written(docs.select("doc_id", "text").mapInArrow(run, f"{_SCHEMA}, {own}"), label)
 
 
-def keys(blocks: DataFrame) -> DataFrame:
-    """key and how often it occurs, for each distinct key."""
-    return blocks.where("key is not null").groupBy("key").agg(F.sum("total").alias("total"))
-
-
 def summed(blocks: DataFrame, values: DataFrame, own: str) -> DataFrame:
     """For each document its own columns and, for each column of `values` but the key, the sum over its keys."""
     sums = [c for c in values.columns if c != "key"]

@@ -38,6 +38,16 @@ def test_token_counts(docs, rows, own):
     assert found == sorted(expected) and any(x[3] for x in expected)
 
 
+@pytest.mark.parametrize("known", [0, 400])
+def test_token_counts_with_a_shuffled_tail(docs, rows, own, monkeypatch, known):
+    """Few or no pre-tokens are broadcast, and blocks are small."""
+    monkeypatch.setattr(token_counts, "MOST_KNOWN", known)
+    monkeypatch.setattr(block_sums, "MOST_BYTES", 3000)
+    found = sorted((r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts.token_counts(docs, WORDS).collect())
+    expected = [(r[0], len((r[1] or "").encode()), n := len(ids_of(own, r[1])), n > 2048) for r in rows]
+    assert found == sorted(expected)
+
+
 def test_token_counts_without_documents_or_ids(no_docs, nameless):
     assert token_counts.token_counts(no_docs, WORDS).collect() == []
     assert sorted(str(r.doc_id) for r in token_counts.token_counts(nameless, WORDS).collect()) == ["7", "None", "None"]
@@ -45,13 +55,22 @@ def test_token_counts_without_documents_or_ids(no_docs, nameless):
 
 def test_added_tokens_inside_texts(own):
     texts = ["a<|endoftext|>b <|startoftext|>", "<|ENDOFTEXT|> <|endoftext|>.", "x\x1cy it's 12 IT'LL é"]
-    names, packed, occurrences = token_counts.block_frequencies([t.encode() for t in texts], known := token_counts.pieces(WORDS))
+    known, none = token_counts.pieces(WORDS), token_counts.Known(*(np.zeros(0, x) for x in (np.uint64, np.uint32, np.int32)))
+    names, packed, occurrences, n_known = token_counts.block_frequencies([t.encode() for t in texts], known, none)
     totals = np.zeros(len(texts), int)
     for name, entries in zip(names, packed.to_pylist(), strict=True):
         for place, n in np.frombuffer(entries, block_sums.ENTRY):
-            totals[place] += n * known.count(name)
+            totals[place] += n * known.count(name.decode())
         assert occurrences[names.index(name)] == np.frombuffer(entries, block_sums.ENTRY)["count"].sum()
-    assert totals.tolist() == [len(ids_of(own, t)) for t in texts]
+    assert totals.tolist() == [len(ids_of(own, t)) for t in texts] and not n_known.any()
+    low, high = token_counts.hashes(names)
+    table = token_counts.Known(low[::2], high[::2], np.array([known.count(x.decode()) for x in names[::2]], np.int32))
+    rest, packed, _, n_known = token_counts.block_frequencies([t.encode() for t in texts], known, table)
+    assert rest == names[1::2] and table.of(names)[1::2].max() == -1
+    for name, entries in zip(rest, packed.to_pylist(), strict=True):
+        for place, n in np.frombuffer(entries, block_sums.ENTRY):
+            n_known[place] += n * known.count(name.decode())
+    assert n_known.tolist() == totals.tolist()
     packed_ids = packing._word_ids(WORDS)
     for text in texts:
         assert np.frombuffer(b"".join(packed_ids[w] for w in text.encode().split()), "<u4").tolist() == ids_of(own, text)
