@@ -54,6 +54,28 @@ def check_fk(label: str, fact: DataFrame, column: str, dim: DataFrame, key: str,
     )
 
 
+def check_links(facts: Sequence[tuple[DataFrame, Sequence[tuple]]], dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """check_name, invalid_rows for all links of several facts, from one scan of each fact and dimension.
+
+    A fact's links are (label, column, dimension, optional); an optional link tests only keys that are there. A fact
+    row becomes a short row for each link, counted per link and key before any shuffle, so a hot key is one row for
+    each task, and what is left meets one stacked table of all dimensions' keys.
+    """
+    counted = []
+    for rows, links in facts:
+        each = [
+            F.struct(F.lit(label).alias("check_name"), F.lit(dim).alias("_dim"), F.col(column).cast("bigint").alias("_key"), F.lit(optional).alias("_optional"))
+            for label, column, dim, optional in links
+        ]
+        linked = rows.select(F.explode(F.array(*each)).alias("_link")).select("_link.*").where("_key IS NOT NULL OR NOT _optional")
+        counted.append(linked.groupBy("check_name", "_dim", "_key").agg(F.count(F.lit(1)).alias("_rows")))
+    known = stack([dim.select(F.lit(name).alias("_dim"), F.col(key).cast("bigint").alias("_key")) for name, (dim, key) in dims.items()])
+    orphans = stack(counted).join(known, ["_dim", "_key"], "left_anti").groupBy("check_name").agg(F.sum("_rows").alias("_rows"))
+    labels = [(label,) for _, links in facts for label, *_ in links]
+    names = facts[0][0].sparkSession.createDataFrame(labels, "check_name string")
+    return names.join(orphans, "check_name", "left").select("check_name", F.coalesce("_rows", F.lit(0)).alias("invalid_rows"))
+
+
 def check_grain(label: str, fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     """fact_table, total_rows, distinct_grain; rows are pre-counted per key before the final sums."""
     per_key = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))

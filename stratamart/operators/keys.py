@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOT_DIGITS = 3
+#: A million slots, of some 30 bytes each, are the most whose sizes are broadcast.
+MOST_DIGITS = 5
 
 
 def key_slot(keys: Sequence[str], digits: int = SLOT_DIGITS) -> Column:
@@ -27,6 +29,8 @@ def assign_keys(
     stored table. The numbering depends on the keys and digits alone, so a recomputed task gives the
     same numbers.
     """
+    if not 1 <= digits <= MOST_DIGITS:
+        raise ValueError(f"1 to {MOST_DIGITS} digits, not {digits}: the sizes of 16^digits slots are broadcast")
     slotted = new.withColumn("_slot", key_slot(keys, digits))
     before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     sizes = slotted.groupBy("_slot").agg(F.count(F.lit(1)).alias("_size"))

@@ -15,6 +15,8 @@ from stratamart.schemas import GOLD
 
 REASON = "reject_reason"
 LOADABLE = "loadable"
+#: The partner rows that a candidate's outcome rests on, each as table:key.
+DEPENDS_ON = "depends_on"
 
 
 def _not_rejected(df: DataFrame) -> DataFrame:
@@ -119,13 +121,30 @@ def customer_lookup(customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
 
 
 def order_lookup(orders: DataFrame, customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """order_id to customer_key and date key: three narrow columns for the wide fact join."""
+    """order_id to the customer's ids and key and the date key: narrow columns for the wide fact join.
+
+    A customer that is not there leaves its columns NULL, so that an item can tell what it lacks.
+    """
     bought = orders.select("order_id", "customer_id", date_key(F.col(PURCHASE)).alias("order_date_key"))
-    return bought.join(customer_lookup(customers, dim_customer), "customer_id").select(
-        "order_id", "customer_key", "order_date_key"
+    return bought.join(_customers(customers, dim_customer), "customer_id", "left").select(
+        "order_id", "customer_id", "customer_unique_id", "customer_key", "order_date_key"
     )
 
 
+def _customers(customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    keys = dim_customer.select("customer_unique_id", "customer_key")
+    return customers.select("customer_id", "customer_unique_id").join(keys, "customer_unique_id", "left")
+
+
+def _rests_on(orders: bool, **members: tuple[str, str]) -> Column:
+    """The order, its customer and the members whose key is not there."""
+    parts = [F.concat(F.lit("orders:"), F.col("order_id"))] if orders else []
+    parts.append(F.concat(F.lit("customers:"), F.col("customer_id")))
+    members = {"dim_customer": ("customer_unique_id", "customer_key"), **members}
+    parts += [F.when(F.col(key).isNull(), F.concat(F.lit(f"{dim}:"), F.col(natural))) for dim, (natural, key) in members.items()]
+    return F.array_compact(F.array(*parts)).alias(DEPENDS_ON)
+
+
 def _reasons(*tests: tuple[str, str]) -> Column:
     reason = None
     for column, text in tests:
@@ -156,7 +175,8 @@ def sales_candidates(
         ("seller_key", "No seller"),
         ("order_date_key", "No purchase date"),
     )
-    return keyed.withColumn(REASON, reason).select(*_attributes("fact_sales"), REASON)
+    rests_on = _rests_on(True, dim_product=("product_id", "product_key"), dim_seller=("seller_id", "seller_key"))
+    return keyed.withColumn(REASON, reason).select(*_attributes("fact_sales"), REASON, rests_on)
 
 
 def payment_candidates(payments: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -164,12 +184,12 @@ def payment_candidates(payments: DataFrame, lookup: DataFrame) -> DataFrame:
         "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"
     ).join(lookup, "order_id", "left")
     reason = _reasons(("customer_key", "No order or customer"), ("order_date_key", "No purchase date"))
-    return keyed.withColumn(REASON, reason).select(*_attributes("fact_payments"), REASON)
+    return keyed.withColumn(REASON, reason).select(*_attributes("fact_payments"), REASON, _rests_on(True))
 
 
 def delivery_candidates(delivery: DataFrame, customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Deliveries with their customer and four date keys, each NULL where the date is."""
-    keyed = delivery.join(customer_lookup(customers, dim_customer), "customer_id", "left").withColumns(
+    keyed = delivery.join(_customers(customers, dim_customer), "customer_id", "left").withColumns(
         {
             "purchase_date_key": date_key(F.col(PURCHASE)),
             "carrier_date_key": date_key(F.col(CARRIER)),
@@ -178,7 +198,7 @@ def delivery_candidates(delivery: DataFrame, customers: DataFrame, dim_customer:
         }
     )
     return keyed.withColumn(REASON, _reasons(("customer_key", "No customer"))).select(
-        *_attributes("fact_delivery"), REASON
+        *_attributes("fact_delivery"), REASON, _rests_on(False)
     )
 
 
@@ -192,7 +212,7 @@ def loadable(candidates: DataFrame) -> DataFrame:
     complete = candidates
     for key in needed:
         complete = complete.where(F.col(key).isNotNull())
-    return complete.where(F.col(REASON) == LOADABLE).drop(REASON)
+    return complete.where(F.col(REASON) == LOADABLE).drop(REASON, DEPENDS_ON)
 
 
 def order_month(key: Column) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stratamart.operators import checks
-from stratamart.schemas import GOLD, SILVER
+from stratamart.schemas import GOLD, SILVER, TOTAL, TOTALS
 
 Tables = Mapping[str, DataFrame]
 
@@ -30,7 +31,6 @@ _SILVER_LABELS = {
     "Payments": "order_payments",
     "Delivery": "delivery",
 }
-# Declared text lengths that the loads do not enforce.
 #: Declared lengths of the text columns of gold.
 DECLARED_LENGTHS = {
     "dim_date": {"month_name": 20, "day_name": 20},
@@ -80,34 +80,42 @@ def delivery_totals(silver: Tables, gold: Tables) -> DataFrame:
     )
 
 
+# The labels of the links, mandatory and optional.
+_LINKS = {
+    "fact_sales": [
+        ("FactSales - Customer", "customer_key", "dim_customer"),
+        ("FactSales - Product", "product_key", "dim_product"),
+        ("FactSales - Seller", "seller_key", "dim_seller"),
+        ("FactSales - Date", "order_date_key", "dim_date"),
+    ],
+    "fact_payments": [
+        ("FactPayments - Customer", "customer_key", "dim_customer"),
+        ("FactPayments - Date", "order_date_key", "dim_date"),
+    ],
+    "fact_delivery": [("FactDelivery - Customer", "customer_key", "dim_customer")],
+}
+_DATE_ROLES = [
+    ("FactDelivery - Purchase Date", "purchase_date_key"),
+    ("FactDelivery - Delivered Date", "delivered_date_key"),
+    ("FactDelivery - Carrier Date", "carrier_date_key"),
+    ("FactDelivery - Estimated Date", "estimated_delivery_date_key"),
+]
+
+
+def _member_keys(gold: Tables, names) -> dict:
+    return {name: (gold[name], GOLD[name].surrogate or GOLD[name].keys[0]) for name in names}
+
+
 def foreign_keys(gold: Tables) -> DataFrame:
     """The mandatory links; every count should be 0."""
-    links = [
-        ("FactSales - Customer", "fact_sales", "customer_key", "dim_customer", "customer_key"),
-        ("FactSales - Product", "fact_sales", "product_key", "dim_product", "product_key"),
-        ("FactSales - Seller", "fact_sales", "seller_key", "dim_seller", "seller_key"),
-        ("FactSales - Date", "fact_sales", "order_date_key", "dim_date", "date_key"),
-        ("FactPayments - Customer", "fact_payments", "customer_key", "dim_customer", "customer_key"),
-        ("FactPayments - Date", "fact_payments", "order_date_key", "dim_date", "date_key"),
-        ("FactDelivery - Customer", "fact_delivery", "customer_key", "dim_customer", "customer_key"),
-    ]
-    return checks.stack([checks.check_fk(label, gold[f], column, gold[d], key) for label, f, column, d, key in links])
+    facts = [(gold[name], [(*link, False) for link in links]) for name, links in _LINKS.items()]
+    return checks.check_links(facts, _member_keys(gold, ("dim_customer", "dim_product", "dim_seller", "dim_date")))
 
 
 def delivery_dates(gold: Tables) -> DataFrame:
     """The optional date links of deliveries; only present keys are tested."""
-    roles = [
-        ("FactDelivery - Purchase Date", "purchase_date_key"),
-        ("FactDelivery - Delivered Date", "delivered_date_key"),
-        ("FactDelivery - Carrier Date", "carrier_date_key"),
-        ("FactDelivery - Estimated Date", "estimated_delivery_date_key"),
-    ]
-    return checks.stack(
-        [
-            checks.check_fk(label, gold["fact_delivery"], column, gold["dim_date"], "date_key", optional=True)
-            for label, column in roles
-        ]
-    )
+    links = [(label, column, "dim_date", True) for label, column in _DATE_ROLES]
+    return checks.check_links([(gold["fact_delivery"], links)], _member_keys(gold, ("dim_date",)))
 
 
 def fact_grain(gold: Tables) -> DataFrame:
@@ -151,3 +159,18 @@ def length_contracts(gold: Tables) -> DataFrame:
     return checks.stack(
         [checks.check_length(f"gold.{name}", gold[name], limits) for name, limits in DECLARED_LENGTHS.items()]
     )
+
+
+def state_audit(state: DataFrame, silver: Tables, gold: Tables) -> DataFrame:
+    """The totals that the commits carry beside those of a full scan; they must agree.
+
+    ``state`` has table_name, status, measure and state_value, as the warehouse's own ``state`` gives it.
+    """
+    scanned = []
+    for name, columns in TOTALS.items():
+        layer, status = (silver, F.col("data_quality_status")) if name in SILVER else (gold, F.lit(""))
+        sums = [F.sum(c).cast(TOTAL).alias(c) for c in columns]
+        totals = layer[name].groupBy(status.alias("status")).agg(F.count(F.lit(1)).cast(TOTAL).alias("rows"), *sums)
+        pairs = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("scan_value")) for c in ("rows", *columns)])
+        scanned.append(totals.select(F.lit(name).alias("table_name"), "status", F.explode(pairs).alias("_pair")).select("table_name", "status", "_pair.*"))
+    return state.join(checks.stack(scanned), ["table_name", "status", "measure"], "full")

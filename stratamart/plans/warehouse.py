@@ -13,9 +13,9 @@ from collections import Counter
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,13 +23,15 @@ from stratamart.operators.increments import watermark_value
 from stratamart.operators.keys import SLOT_DIGITS, assign_keys
 from stratamart.operators.latest import latest
 from stratamart.operators.rules import CHECK, REJECTED, VALID
-from stratamart.operators.upsert import CHANGE, INSERTED, KEPT, STALE, UPDATED, changes, insert_absent, upsert
+from stratamart.operators.upsert import CHANGE, INSERTED, UPDATED, insert_absent, upsert
 from stratamart.plans import gold as star
 from stratamart.plans import silver as refined
-from stratamart.schemas import BRONZE, GOLD, INT, SILVER, TEXT, bronze_schema, table
+from stratamart.schemas import BRONZE, GOLD, INT, LONG, SILVER, TEXT, TOTAL, TOTALS, bronze_schema, table
+from stratamart.session import new_folder
 from stratamart.sources import tables
 from stratamart.sources.ledger import FAILED, NO_NEW_DATA, SUCCESS, Ledger, Run, no_rows
 from stratamart.sources.raw import MALFORMED, ROW_FILE, EmptySource, UnknownTable, read_raw, stamp
+from stratamart.sources.versions import MOST_PROBED, PLACE, REPLACED, Versions, folded_totals, notes, signed_totals, sources
 
 STATUS = "data_quality_status"
 SILVER_ORDER = ("orders", "order_items", "order_payments", "customers", "sellers", "products", "delivery")
@@ -45,9 +47,11 @@ SOURCES = {
     "fact_payments": ("silver_orders", "silver_customers", "gold_dim_customer"),
     "fact_delivery": ("silver_customers", "gold_dim_customer"),
 }
-_LEFT_OUT = "left_out"
+_LEFT, _LEFT_ROWS, _TOTALS = "_left", "_left_rows", "_totals"
 _SETTINGS = table(key_digits=INT)
 _CHANGE = T.StructField(CHANGE, TEXT)
+_DIGEST = T.StructField("attributes_digest", T.BinaryType())
+_DEPENDS_ON = T.StructField(star.DEPENDS_ON, T.ArrayType(TEXT))
 _MONTH = T.StructField("order_month", INT)
 
 
@@ -100,36 +104,39 @@ class Warehouse:
         return stored.where(F.col(MALFORMED).isNotNull())
 
     def silver(self, name: str) -> DataFrame:
-        """Current rows of a silver table: of each key the version with the newest load."""
-        versions = tables.current(self.ledger.commits(f"silver_{name}"))
-        rows = self._changes(name, versions)
-        if len(versions) > 1:  # keys are unique within a version
-            rows = latest(rows, SILVER[name].keys, [F.col("source_load_id").desc(), F.col("_version").desc()])
-        return rows.select(*SILVER[name].schema.fieldNames())
+        """Current rows of a silver table: those that no later load replaced."""
+        return self._silver_rows(name).select(*SILVER[name].schema.fieldNames())
 
-    def _changes(self, name: str, versions: list, rejected: bool = False) -> DataFrame:
-        """Stored rows of some versions of a silver table, by change; status folders are pruned."""
-        root = f"{self.root}/silver/{name}"
-        schema = T.StructType([*SILVER[name].schema.fields, _CHANGE, T.StructField("version", T.LongType())])
-        if not versions:
-            return no_rows(self.spark, schema).withColumnRenamed("version", "_version")
-        stored = self.spark.read.schema(schema).option("basePath", root).parquet(*tables.folders(root, versions))
-        wanted = F.col(STATUS) == REJECTED if rejected else F.col(STATUS).isin(VALID, CHECK) & (F.col(CHANGE) != STALE)
-        return stored.where(wanted).withColumnRenamed("version", "_version")
+    def _versions(self, layer: str, name: str) -> Versions:
+        if layer == "silver":
+            return Versions(self.spark, self.root, layer, name, SILVER[name].schema, SILVER[name].keys, part=STATUS)
+        return Versions(self.spark, self.root, layer, name, T.StructType([*GOLD[name].schema.fields, _DIGEST]), GOLD[name].keys)
+
+    def _silver_rows(self, name: str, files: list[str] | None = None) -> DataFrame:
+        """Current rows with their place, of all files or of some; status folders are pruned."""
+        versions = tables.current(self.ledger.commits(f"silver_{name}"))
+        return refined.accepted(self._versions("silver", name).current(versions, files))
 
     def quarantine(self, name: str) -> DataFrame:
         """Rejected rows of every committed silver load, with their reason."""
-        versions = tables.published(self.ledger.commits(f"silver_{name}"))
-        return self._changes(name, versions, rejected=True).select(*SILVER[name].schema.fieldNames())
+        versions = [c for c in tables.published(self.ledger.commits(f"silver_{name}")) if not c.whole]
+        rows = self._versions("silver", name).stored(versions).where(F.col(STATUS) == REJECTED)
+        return rows.select(*SILVER[name].schema.fieldNames())
 
     def gold(self, name: str) -> DataFrame:
         """Current rows of a gold table; facts carry their ``order_month`` folder as well."""
         root = f"{self.root}/gold/{name}"
+        if GOLD[name].surrogate and not name.startswith("fact"):
+            return self._dim_rows(name).select(*GOLD[name].schema.fieldNames())
         extra = [_MONTH] if name.startswith("fact") else []
         schema = T.StructType(GOLD[name].schema.fields + extra)
         paths = tables.folders(root, tables.current(self.ledger.commits(f"gold_{name}")))
         return tables.read_folders(self.spark, root, paths, schema)
 
+    def _dim_rows(self, name: str) -> DataFrame:
+        """Current members of a dimension with their digest and place."""
+        return self._versions("gold", name).current(tables.current(self.ledger.commits(f"gold_{name}")))
+
     def silver_tables(self) -> Mapping[str, DataFrame]:
         return Layer(self.silver, SILVER_ORDER)
 
@@ -228,11 +235,14 @@ class Warehouse:
         Only the folders of these versions are read.
         """
         commits = tables.published(self.ledger.commits(f"silver_{source}"))
-        versions = [c for c in commits if not done.issuperset(c.load_ids)]
+        return self._brought(source, [c for c in commits if not done.issuperset(c.load_ids)])
+
+    def _brought(self, source: str, versions: list) -> DataFrame:
+        """Newest rows of some versions of a silver table, and whether their key came with them."""
         keys = list(SILVER[source].keys)
-        rows = self._changes(source, versions).withColumn("_new", F.col(CHANGE) == INSERTED)
+        rows = refined.accepted(self._versions("silver", source).brought(versions))
         if len(versions) > 1:
-            # a key has one row for each unseen version at most
+            # a key has one row for each of the versions at most
             rows = rows.withColumn("_new", F.max("_new").over(Window.partitionBy(*keys)))
             rows = latest(rows, keys, [F.col("source_load_id").desc(), F.col("_version").desc()])
         return rows.select(*SILVER[source].schema.fieldNames(), "_new")
@@ -257,49 +267,41 @@ class Warehouse:
                 self.ledger.commit(f"silver_{name}", None, loads, mark)
                 return run.summary()
             judged = refined.build_delivery(source) if name == "delivery" else refined.build_stored(source, name)
-            self._write_changes(name, judged, run)
-            self.ledger.commit(f"silver_{name}", run.run_id, loads, mark)
+            noted = self._write_changes(name, judged, run)
+            self.ledger.commit(f"silver_{name}", run.run_id, loads, mark, seen=noted)
             return run.summary()
 
-    def _write_changes(self, name: str, judged: DataFrame, run: Run) -> None:
-        """Store the accepted rows with what they change and the rejected ones, by status; count them there.
+    def _write_changes(self, name: str, judged: DataFrame, run: Run) -> dict:
+        """Store the judged rows by status, count them there, and mark what the accepted ones replace.
 
-        A load writes what it brings and nothing else: readers pick the newest version of a key.
+        A load writes what it brings and nothing else, and of the stored rows it reads only keys, from
+        files that may hold one of its own.
         """
-        keys = list(SILVER[name].keys)
-        versions = tables.current(self.ledger.commits(f"silver_{name}"))
-        accepted = refined.accepted(judged)
-        if versions:
-            marked = changes(self._changes(name, versions).select(*keys, "source_load_id"), accepted, keys, newer="source_load_id")
-        else:
-            marked = accepted.withColumn(CHANGE, F.lit(INSERTED))
-        rejected = judged.where(F.col(STATUS) == REJECTED).withColumn(CHANGE, F.lit(None).cast("string"))
-        folder = f"{self.root}/silver/{name}/version={run.run_id}"
-        marked.unionByName(rejected).write.mode("overwrite").partitionBy(STATUS).parquet(folder)
-        schema = T.StructType([*SILVER[name].schema.fields, _CHANGE])
-        stored = self.spark.read.schema(schema).parquet(folder)
+        kept = self._versions("silver", name)
+        stored = kept.write(judged, run.run_id)
         whole_key = refined.complete_key(name)
-        summary = stored.groupBy(STATUS, CHANGE, whole_key.alias("complete")).count().collect()
-        by_change, by_status = Counter(), Counter()
-        for row in summary:
-            by_change[row[CHANGE]] += row["count"]
-            if row.complete:
-                by_status[row[STATUS]] += row["count"]
-        run.rows_updated, run.rows_inserted = by_change[UPDATED], by_change[INSERTED]
+        summary = stored.groupBy(STATUS, whole_key.alias("complete")).count().collect()
+        by_status = Counter({row[STATUS]: row["count"] for row in summary if row.complete})
+        accepted = sum(row["count"] for row in summary if row[STATUS] != REJECTED)
+        versions = tables.current(self.ledger.commits(f"silver_{name}"))
+        noted, run.rows_updated, stale = kept.settle(run.run_id, refined.accepted(stored), accepted, versions, "source_load_id", TOTALS[name])
+        run.rows_inserted = accepted - run.rows_updated - stale
         run.rows_check = by_status[CHECK]
         # rows without a complete key count once for each such key, as the latest of them
+        keys = list(SILVER[name].keys)
         incomplete = stored.where(~whole_key).select(*keys).distinct().count() if any(not r.complete for r in summary) else 0
         run.rows_rejected = by_status[REJECTED] + incomplete
+        return noted
 
     def compact_silver(self, name: str) -> dict:
         """Fold all versions of a silver table into one; its rows stay the same. Never done by itself."""
         with self.ledger.run(f"silver_{name}") as run:
             commits = self.ledger.commits(f"silver_{name}")
-            folder = f"{self.root}/silver/{name}/version={run.run_id}"
-            rows = self.silver(name).withColumn(CHANGE, F.lit(KEPT))
-            rows.write.mode("overwrite").partitionBy(STATUS).parquet(folder)
+            kept = self._versions("silver", name)
+            stored = kept.write(self.silver(name), run.run_id)
+            noted = kept.settle(run.run_id, stored, stored.count(), [], "source_load_id", TOTALS[name])[0]
             mark = watermark_value(commits[-1].watermark_value) if commits else 0
-            self.ledger.commit(f"silver_{name}", run.run_id, [], mark, whole=True)
+            self.ledger.commit(f"silver_{name}", run.run_id, [], mark, whole=True, seen=noted)
             return run.summary()
 
     # -- gold dimensions -----------------------------------------------------------------------
@@ -336,42 +338,111 @@ class Warehouse:
             return run.summary()
 
     def dim_source(self, name: str) -> DataFrame:
+        """All members of a dimension, as the current silver rows have them."""
         if name == "dim_customer":
             return star.customer_source(self.silver("customers"), self.silver("orders"))
         if name == "dim_product":
             return star.product_source(self.silver("products"), self.bronze("category_translation"))
         return star.seller_source(self.silver("sellers"))
 
+    def _after(self, source: str, seen: int) -> list:
+        """Versions of a silver table after the first `seen` ones that brought loads."""
+        return [c for c in tables.published(self.ledger.commits(f"silver_{source}")) if c.load_ids][seen:]
+
+    def dim_changes(self, name: str, seen: Mapping[str, int]) -> DataFrame:
+        """The members that changes after `seen` may have touched, as they are now; for a new translation all members."""
+        if name == "dim_customer":
+            return self._customer_changes(seen)
+        if name == "dim_seller":
+            return star.seller_source(self._brought("sellers", self._after("sellers", seen["silver_sellers"])))
+        if seen["bronze_category_translation"] != self._sources(name)["bronze_category_translation"]:
+            return self.dim_source(name)
+        products = self._brought("products", self._after("products", seen["silver_products"]))
+        return star.product_source(products, self.bronze("category_translation"))
+
+    def _customer_changes(self, seen: Mapping[str, int]) -> DataFrame:
+        """Customers whose group changed: changed orders lead to customer ids, these to unique ids, these to whole groups.
+
+        A changed row leads there with its old values too, for the group that it may have left. Old values are
+        read from files that may hold the changed keys; groups and their purchases are read by semi-joins.
+        """
+        ids = self._values("orders", "customer_id", self._after("orders", seen["silver_orders"]))
+        ids = self._kept(ids.unionByName(self._values("customers", "customer_id", self._after("customers", seen["silver_customers"]))).distinct(), "ids")
+        customers = self._versions("silver", "customers")
+        versions = self._since("customers", self._after("customers", seen["silver_customers"]))
+        files = customers.files_with(ids, ids.count(), versions)
+        of_ids = refined.accepted(customers.stored(versions, files)).join(ids, "customer_id", "left_semi")
+        unique = self._kept(of_ids.select("customer_unique_id").distinct(), "unique")
+        groups = self._kept(self.silver("customers").join(unique, "customer_unique_id", "left_semi"), "groups")
+        bought = self.silver("orders").select("customer_id", star.PURCHASE).join(groups.select("customer_id"), "customer_id", "left_semi")
+        return star.customer_source(groups, bought)
+
+    def _values(self, source: str, column: str, versions: list) -> DataFrame:
+        """The values of a column in the rows of some versions and in all older rows of their keys."""
+        kept, keys = self._versions("silver", source), list(SILVER[source].keys)
+        new = refined.accepted(kept.stored(versions))
+        older = [c for c in self._since(source, versions) if c.version not in {x.version for x in versions}]
+        if column in keys or not older or not versions:
+            return new.select(column)
+        n = sum(notes(c).get("_rows", 0) for c in versions)
+        old = refined.accepted(kept.stored(older, kept.files_with(new, n, older)))
+        return new.select(column).unionByName(old.join(new.select(*keys), keys, "left_semi").select(column))
+
+    def _since(self, source: str, versions: list) -> list:
+        """The versions that were current before the first of these, and all later ones that brought loads."""
+        commits = tables.published(self.ledger.commits(f"silver_{source}"))
+        at = [c.version for c in commits].index(versions[0].version) if versions else len(commits)
+        return tables.current(commits[:at]) + [c for c in commits[at:] if c.load_ids]
+
+    def _kept(self, rows: DataFrame, label: str) -> DataFrame:
+        """The same rows from a written table: computed once, and of a known size."""
+        folder = new_folder(self.spark, label)
+        rows.write.parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
+
     def load_dim(self, name: str) -> dict:
-        """Overwrite matched members, keep their surrogate keys, number the new ones."""
+        """Store changed members under their surrogate keys and new ones under new keys.
+
+        A member is compared by the digest of its attributes; one that stays as it is isn't written. The old
+        rows of changed members are marked in the versions that hold them.
+        """
         if name == "dim_date":
             return self.load_date_dim()
         spec = GOLD[name]
         with self.ledger.run(f"gold_{name}") as run:
             commits, seen = self.ledger.commits(f"gold_{name}"), self._sources(name)
-            if commits and json.loads(commits[-1].seen) == seen:
+            before = sources(commits[-1]) if commits else None
+            if before == seen:
                 run.status = NO_NEW_DATA
                 return run.summary()
-            current = self.gold(name)
-            merged = upsert(current, self.dim_source(name), spec.keys, carry=spec.surrogate)
+            kept, columns = self._versions("gold", name), spec.schema.fieldNames()
+            members = self.dim_changes(name, before) if commits else self.dim_source(name)
+            attributes = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns if c not in (*spec.keys, spec.surrogate)]
+            sized = [x for c in attributes for x in (F.octet_length(c).cast("string"), F.lit(":"), c)]  # null and empty text are told apart below
+            nulls = [F.col(c).isNull().cast("string") for c in columns if c not in (*spec.keys, spec.surrogate)]
+            members = members.withColumn(_DIGEST.name, F.unhex(F.md5(F.concat(*sized, *nulls).cast("binary"))))
+            held = self._dim_rows(name).select(*spec.keys, F.col(spec.surrogate).alias("_key"), F.col(_DIGEST.name).alias("_held"), *PLACE)
+            changed = members.join(held, list(spec.keys), "left").where(f"_key IS NULL OR _held <> {_DIGEST.name}")
             staging = f"{self.root}/staging/{name}/version={run.run_id}"
-            merged.write.mode("overwrite").parquet(staging)
-            staged = self.spark.read.schema(
-                T.StructType(spec.schema.fields + [T.StructField(CHANGE, TEXT)])
-            ).parquet(staging)
+            changed.write.mode("overwrite").parquet(staging)
+            staged = self.spark.read.schema(changed.schema).parquet(staging)
+            run.rows_inserted, both = staged.agg(F.count_if(F.col("_key").isNull()), F.count("*")).first()
+            run.rows_updated = both - run.rows_inserted
+            run.rows_extracted = both
             self._refuse_null_keys(staged, spec, run)
-            # Keys are dense and members are never dropped: the row count is the last key.
-            last = current.count()
-            fresh = staged.where(F.col(spec.surrogate).isNull())
-            kind = spec.schema[spec.surrogate].dataType.simpleString()
-            numbered = assign_keys(fresh, spec.surrogate, spec.keys, last, kind, self.key_digits)
-            columns = spec.schema.fieldNames()
-            complete = staged.where(F.col(spec.surrogate).isNotNull()).select(*columns).unionByName(numbered.select(*columns))
-            complete.write.mode("overwrite").parquet(f"{self.root}/gold/{name}/version={run.run_id}")
-            counts = {r[CHANGE]: r["count"] for r in staged.groupBy(CHANGE).count().collect()}
-            run.rows_updated, run.rows_inserted = counts.get(UPDATED, 0), counts.get(INSERTED, 0)
-            run.rows_extracted = run.rows_loaded
-            self.ledger.commit(f"gold_{name}", run.run_id, [], 0, whole=True, seen=seen)
+            noted = notes(commits[-1]) if commits else {}
+            last = noted.get("_last", 0)  # keys are dense and members are never dropped
+            noted = {"_last": last + run.rows_inserted, "_marks": 0, "_rows": 0, "_depth": 0}
+            if both:
+                kind = spec.schema[spec.surrogate].dataType.simpleString()
+                fresh = assign_keys(staged.where("_key IS NULL"), spec.surrogate, spec.keys, last, kind, self.key_digits)
+                old = staged.where("_key IS NOT NULL").withColumn(spec.surrogate, F.col("_key"))
+                out = [*columns, _DIGEST.name]
+                stored = kept.write(old.select(*out).unionByName(fresh.select(*out)), run.run_id)
+                noted |= kept.settle(run.run_id, stored, both, [], newer=spec.surrogate)[0]
+            if run.rows_updated:
+                noted["_marks"] = kept.mark(run.run_id, staged.where("_key IS NOT NULL").select(F.lit(REPLACED).alias("kind"), *PLACE))[0]
+            self.ledger.commit(f"gold_{name}", run.run_id if both else None, [], 0, seen=seen | noted)
             return run.summary()
 
     @staticmethod
@@ -385,45 +456,106 @@ class Warehouse:
 
     def fact_candidates(self, name: str) -> DataFrame:
         """Silver rows the fact does not hold, with their keys or the reason they lack one."""
-        commits = self.ledger.commits(f"gold_{name}")
-        rows, left = self._to_try(name, commits)
-        return self._star_join(name, rows.unionByName(left))
+        commits, columns = self.ledger.commits(f"gold_{name}"), SILVER[FACT_SOURCE[name]].schema.fieldNames()
+        rows, tried = self._to_try(name, commits)
+        waiting = self._left_out(name, commits).join(tried, list(PLACE), "left_anti")
+        return self._star_join(name, rows.unionByName(waiting.select(*columns)))
+
+    def _left_versions(self, name: str) -> Versions:
+        source = SILVER[FACT_SOURCE[name]]
+        return Versions(self.spark, self.root, "left_out", name, T.StructType([*source.schema.fields, _DEPENDS_ON]), source.keys)
+
+    @staticmethod
+    def _left_commits(commits: list) -> list[Row]:
+        """The versions of left-out rows, which a fact's own commits publish."""
+        found = [notes(c)[_LEFT] for c in commits if notes(c).get(_LEFT)]
+        return tables.current([Row(version=x["version"], whole=x["whole"], seen=json.dumps(x)) for x in found])
 
     def _left_out(self, name: str, commits: list) -> DataFrame:
-        """The silver rows that the last load of a fact left out, whole."""
-        schema = SILVER[FACT_SOURCE[name]].schema
-        if not commits:
-            return no_rows(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/left_out/{name}/version={json.loads(commits[-1].seen)[_LEFT_OUT]}")
+        """The silver rows that the fact lacks, with what they rest on and their place."""
+        return self._left_versions(name).current(self._left_commits(commits))
+
+    def _arrived(self, name: str, commits: list) -> DataFrame | None:
+        """Partner rows that came or changed after the last load, as table:key; None if there are none."""
+        found = []
+        for source, seen in sources(commits[-1]).items() if commits else ():
+            layer, _, partner = source.partition("_")
+            if layer == "silver":
+                key, versions = SILVER[partner].keys[0], self._after(partner, seen)
+            else:
+                key, versions = GOLD[partner].keys[0], tables.published(self.ledger.commits(source))[seen:]
+            if versions:
+                rows = self._versions(layer, partner).stored(versions)
+                found.append(rows.select(F.concat(F.lit(f"{partner}:"), F.col(key)).alias("arrived")))
+        return reduce(DataFrame.unionByName, found) if found else None
 
     def _to_try(self, name: str, commits: list) -> tuple[DataFrame, DataFrame]:
-        """Rows that changed and that the fact does not hold, and rows left out before that did not change.
+        """Rows that the fact may now take, and the places of left-out rows among them or replaced by them.
 
         A row that is new to silver can't be in the fact, and one that was updated is in the fact or
-        among those left out, so neither the fact nor the rest of silver is read.
+        among those left out, so neither the fact nor the rest of silver is read. Of the rows left out
+        only those are tried again that rest on a partner row that came or changed.
         """
         source = FACT_SOURCE[name]
-        keys = list(SILVER[source].keys)
+        keys, columns = list(SILVER[source].keys), SILVER[source].schema.fieldNames()
         changed = self._unseen(source, {i for c in commits for i in c.load_ids})
-        left = self._left_out(name, commits)
+        if not self._left_commits(commits):
+            return changed.where("_new").select(*columns), no_rows(self.spark, table(_version=LONG, _part=TEXT, _file=TEXT, _row=LONG))
+        left, arrived = self._left_out(name, commits), self._arrived(name, commits)
         before = changed.join(left.select(*keys, F.lit(True).alias("_left")), keys, "left")
-        rows = before.where("_new or _left").select(*SILVER[source].schema.fieldNames())
-        return rows, insert_absent(changed, left, keys)
+        rows = before.where("_new or _left").select(*columns)
+        tried = left.join(changed.select(*keys), keys, "left_semi").select(*PLACE)
+        if arrived is not None:
+            again = left.select(*keys, *PLACE, F.explode(star.DEPENDS_ON).alias("arrived")).join(arrived, "arrived", "left_semi")
+            again = again.drop("arrived").distinct()
+            tried = tried.unionByName(again.select(*PLACE)).distinct()
+            rows = rows.unionByName(insert_absent(changed, left.join(again, list(PLACE), "left_semi"), keys).select(*columns))
+        return rows, tried
+
+    def _near(self, layer: str, name: str, wanted: DataFrame | None) -> tuple[DataFrame, bool]:
+        """Current rows of a partner table, and whether only those with a wanted key, from files that may hold one."""
+        kept, versions = self._versions(layer, name), tables.current(self.ledger.commits(f"{layer}_{name}"))
+        if wanted is None:
+            return (self.silver(name) if layer == "silver" else self.gold(name)), False
+        ids = self._kept(wanted.toDF(*kept.keys).where(F.col(kept.keys[0]).isNotNull()).distinct(), "wanted")
+        files = kept.files_with(ids, ids.count(), versions)
+        rows = kept.current(versions, files)
+        rows = refined.accepted(rows) if layer == "silver" else rows
+        return (rows, False) if files is None else (rows.join(ids, kept.keys, "left_semi"), True)
+
+    def _star_join(self, name: str, rows: DataFrame, few: bool = False) -> DataFrame:
+        """Rows with their dimension keys. Few rows, which should be a stored table, read only the partner files that may concern them."""
+
+        def near(layer: str, partner: str, of: DataFrame, column: str, pruned: bool) -> tuple[DataFrame, bool]:
+            return self._near(layer, partner, of.select(column) if pruned else None)
 
-    def _star_join(self, name: str, rows: DataFrame) -> DataFrame:
-        """Rows with their dimension keys."""
-        customers, dim_customer = self.silver("customers"), self.gold("dim_customer")
         if name == "fact_delivery":
+            customers, pruned = near("silver", "customers", rows, "customer_id", few)
+            dim_customer, _ = near("gold", "dim_customer", customers, "customer_unique_id", pruned)
             return star.delivery_candidates(rows, customers, dim_customer)
-        lookup = star.order_lookup(self.silver("orders"), customers, dim_customer)
+        orders, pruned = near("silver", "orders", rows, "order_id", few)
+        customers, pruned = near("silver", "customers", orders, "customer_id", pruned)
+        dim_customer, _ = near("gold", "dim_customer", customers, "customer_unique_id", pruned)
+        lookup = star.order_lookup(orders, customers, dim_customer)
         if name == "fact_payments":
             return star.payment_candidates(rows, lookup)
-        return star.sales_candidates(rows, lookup, self.gold("dim_product"), self.gold("dim_seller"))
+        dims = [near("gold", f"dim_{x}", rows, f"{x}_id", few)[0] for x in ("product", "seller")]
+        return star.sales_candidates(rows, lookup, *dims)
+
+    def _few(self, name: str, commits: list) -> bool:
+        """Whether the rows that a fact has not seen are so few that reading their partners by key pays."""
+        source = FACT_SOURCE[name]
+        done = {i for c in commits for i in c.load_ids}
+        unseen = [c for c in tables.published(self.ledger.commits(f"silver_{source}")) if not done.issuperset(c.load_ids)]
+        n = sum(notes(c).get("_rows", 0) for c in unseen)
+        partner = "customers" if name == "fact_delivery" else "orders"
+        held = sum(notes(c).get("_rows", 0) for c in tables.current(self.ledger.commits(f"silver_{partner}")))
+        return bool(commits) and n <= MOST_PROBED * held
 
     def _staged(self, name: str, version: int) -> DataFrame:
         """Candidates of one fact load, by outcome."""
         columns = [f for f in GOLD[name].schema.fields if f.name != GOLD[name].surrogate]
-        schema = T.StructType(columns + [T.StructField(star.REASON, TEXT)])
+        schema = T.StructType(columns + [T.StructField(star.REASON, TEXT), _DEPENDS_ON])
         return self.spark.read.schema(schema).parquet(f"{self.root}/staging/{name}/version={version}")
 
     def load_fact(self, name: str, refresh: bool = False) -> dict:
@@ -439,31 +571,23 @@ class Warehouse:
             commits, partners = self.ledger.commits(f"gold_{name}"), self._sources(name)
             done = {i for c in commits for i in c.load_ids}
             loads = {i for c in self.ledger.commits(f"silver_{FACT_SOURCE[name]}") for i in c.load_ids}
-            seen = json.loads(commits[-1].seen) if commits else {}
-            same_partners = {k: v for k, v in seen.items() if k != _LEFT_OUT} == partners
+            before = notes(commits[-1]).get(_LEFT_ROWS, 0) if commits else 0
+            same_partners = bool(commits) and sources(commits[-1]) == partners
             run.rows_extracted = held
-            if commits and same_partners and loads <= done and not refresh:
-                run.rows_rejected = self._left_out(name, commits).count()
+            if same_partners and loads <= done and not refresh:
+                run.rows_rejected = before
                 run.status = NO_NEW_DATA
                 return run.summary()
-            if refresh:
-                rows, waiting = self.silver(FACT_SOURCE[name]), None
-            else:
-                rows, waiting = self._to_try(name, commits)
-                if not same_partners:
-                    rows, waiting = rows.unionByName(waiting), None
-            self._star_join(name, rows).write.mode("overwrite").parquet(f"{self.root}/staging/{name}/version={run.run_id}")
+            few = not refresh and self._few(name, commits)
+            rows, tried = (self.silver(FACT_SOURCE[name]), None) if refresh else self._to_try(name, commits)
+            rows = self._kept(rows, "to-try") if few else rows
+            self._star_join(name, rows, few).write.mode("overwrite").parquet(f"{self.root}/staging/{name}/version={run.run_id}")
             staged = self._staged(name, run.run_id)
             by_reason = {r[star.REASON]: r["count"] for r in staged.groupBy(star.REASON).count().collect()}
             n_loadable = by_reason.pop(star.LOADABLE, 0)
             if not held and not n_loadable:
                 raise EmptySource(f"{name} source returned zero rows; check its dimension and order joins")
-            lost = staged.where(F.col(star.REASON) != star.LOADABLE).select(*spec.keys)
-            left = rows.join(insert_absent(self.gold(name), lost, spec.keys) if refresh else lost, list(spec.keys), "left_semi")
-            left = left.unionByName(waiting) if waiting is not None else left
-            folder = f"{self.root}/left_out/{name}/version={run.run_id}"
-            left.write.mode("overwrite").parquet(folder)
-            run.rows_rejected = self.spark.read.schema(left.schema).parquet(folder).count()
+            left, run.rows_rejected = self._write_left_out(spec, run.run_id, rows, staged, tried, refresh, before)
             if refresh:
                 self._rebuild_fact(spec, star.loadable(staged), held, run)
             elif n_loadable:
@@ -472,10 +596,26 @@ class Warehouse:
                 self._write_fact(spec, numbered, run)
             run.rows_extracted = held + run.rows_inserted
             version = run.run_id if n_loadable or refresh else None
-            state = partners | {_LEFT_OUT: run.run_id}
+            state = partners | {_LEFT: left, _LEFT_ROWS: run.rows_rejected, _TOTALS: self._fact_totals(name, version)}
             self.ledger.commit(f"gold_{name}", version, sorted(loads - done), max(loads, default=0), whole=refresh, seen=state)
             return run.summary()
 
+    def _write_left_out(self, spec, version: int, rows: DataFrame, staged: DataFrame, tried: DataFrame | None, refresh: bool, before: int) -> tuple[dict | None, int]:
+        """Store the rows that this load leaves out and mark those it tried; notes for the commit and how many are left out now."""
+        keys, kept = list(spec.keys), self._left_versions(spec.name)
+        lost = staged.where(F.col(star.REASON) != star.LOADABLE).select(*keys, star.DEPENDS_ON)
+        lost = insert_absent(self.gold(spec.name), lost, keys) if refresh else lost
+        stored = kept.write(rows.join(lost, keys).select(*kept.schema.fieldNames()), version)
+        n = stored.count()
+        noted = kept.settle(version, stored, n, [], newer="source_load_id")[0]
+        gone = 0
+        if tried is not None and before:
+            noted["_marks"], kinds = kept.mark(version, tried.select(F.lit(REPLACED).alias("kind"), *PLACE))
+            gone = kinds.get(REPLACED, 0)
+        if not (n or gone or refresh):
+            return None, before
+        return noted | {"version": version, "whole": refresh}, (0 if refresh else before) - gone + n
+
     def _write_fact(self, spec, numbered: DataFrame, run: Run) -> None:
         """Write rows by month; rebalancing splits a month that is too big."""
         day = "purchase_date_key" if spec.name == "fact_delivery" else "order_date_key"
@@ -484,6 +624,22 @@ class Warehouse:
         folder = f"{self.root}/gold/{spec.name}/version={run.run_id}"
         placed.write.mode("overwrite").partitionBy(_MONTH.name).parquet(folder)
 
+    def _fact_totals(self, name: str, version: int | None) -> dict:
+        """Rows and sums of a version, read back from it."""
+        if version is None:
+            return {}
+        stored = self.spark.read.schema(GOLD[name].schema).parquet(f"{self.root}/gold/{name}/version={version}")
+        return signed_totals([stored.select(F.lit("").alias("_part"), F.lit(1).alias("sign"), *TOTALS[name])], TOTALS[name])
+
+    def state(self) -> DataFrame:
+        """Rows and sums of silver tables, by status, and of facts, from the commits alone: table_name, status, measure, state_value."""
+        found = []
+        for name in TOTALS:
+            layer = "silver" if name in SILVER else "gold"
+            totals = folded_totals(tables.current(self.ledger.commits(f"{layer}_{name}")))
+            found += [(name, status, measure, value) for (status, measure), value in totals.items() if totals[status, "rows"]]
+        return self.spark.createDataFrame(found, f"table_name string, status string, measure string, state_value {TOTAL}")
+
     def _rebuild_fact(self, spec, loadable: DataFrame, held: int, run: Run) -> None:
         """All fact rows, with the values of the loadable candidates where there are any."""
         merged = upsert(self.gold(spec.name).drop(_MONTH.name), loadable, spec.keys, carry=spec.surrogate)

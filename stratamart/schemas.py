@@ -268,6 +268,17 @@ GOLD: dict[str, GoldTable] = {
     )
 }
 
+#: Columns whose sums each commit carries, beside its rows.
+TOTALS: dict[str, tuple[str, ...]] = {name: () for name in SILVER} | {
+    "order_items": ("price", "freight_value"),
+    "order_payments": ("payment_value",),
+    "delivery": ("delivery_days", "delivery_delay_days"),
+    "fact_sales": ("price", "freight_value"),
+    "fact_payments": ("payment_value",),
+    "fact_delivery": ("delivery_days", "delivery_delay_days"),
+}
+TOTAL = "decimal(38,2)"
+
 # --- load control -----------------------------------------------------------------------------
 
 BATCH_CONTROL = table(

@@ -4,6 +4,11 @@ The three control tables are append-only Parquet. A row is never changed; the la
 batch, run or table is its state. Rows are numbered within their pipeline, and the number is the
 only order: clocks of different machines are not compared. A number can be written once, so a second
 writer that did not see the last row fails. The tables grow with the number of loads, not with the data.
+
+Each row is a folder of its own, so a table is opened from a snapshot: before a row is added, all rows up to the
+last one are put into one file if there are SNAPSHOT_EVERY of them behind the last snapshot. A reader takes the newest
+snapshot and asks for the numbers after it, one by one, as they have no gaps. A snapshot that is lost is only a
+longer way from the one before it, and the next row brings a new one.
 """
 
 from __future__ import annotations
@@ -21,8 +26,11 @@ from pyspark.sql import types as T
 
 from stratamart.operators.latest import latest
 from stratamart.schemas import BATCH_CONTROL, LONG, PIPELINE_CONTROL, RUN_LOG
+from stratamart.sources.files import children, has_rows
 
 SEQ = "seq"
+SNAPSHOT_EVERY = 16
+# The status words of the control tables.
 RUNNING, SUCCESS, FAILED = "Running", "Success", "Failed"
 NO_NEW_DATA = "Success - No New Data"
 
@@ -95,39 +103,93 @@ class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._last: dict[str, int] = {}
+        self._known: dict[str, list[Row]] = {}
+        self._covered: dict[str, int] = {}  # by the newest snapshot seen
 
     # -- storage -------------------------------------------------------------------------------
 
     def append(self, name: str, schema: T.StructType, **values) -> None:
         """One row under the number after the last one that this ledger has seen of the table."""
         row = [_literal(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
-        if name not in self._last:
+        if name not in self._known:
             self._history(name, schema)
-        seq = self._last[name] + 1
+        last = self._last(name)
+        if last - self._covered.get(name, 0) >= SNAPSHOT_EVERY:
+            self._snapshot(name, schema, last)
         try:
-            self.spark.range(1, numPartitions=1).select(*row).write.parquet(f"{self.root}/{name}/{SEQ}={seq}")
+            self.spark.range(1, numPartitions=1).select(*row).write.parquet(self._place(name, last + 1))
         except AnalysisException as error:
             if error.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
-            del self._last[name]
-            raise ConcurrentLoad(f"{name}: row {seq} was written by another job") from error
-        self._last[name] = seq
-
-    def events(self, name: str, schema: T.StructType) -> DataFrame:
-        numbered = T.StructType(schema.fields + [T.StructField(SEQ, LONG)])
+            del self._known[name]
+            raise ConcurrentLoad(f"{name}: row {last + 1} was written by another job") from error
+        self._known[name].append(Row(**{f.name: values.get(f.name) for f in schema.fields}, **{SEQ: last + 1}))
+
+    def _last(self, name: str) -> int:
+        return self._known[name][-1][SEQ] if self._known[name] else 0
+
+    def _place(self, name: str, seq: int) -> str:
+        return f"{self.root}/{name}/{SEQ}={seq}"
+
+    def _snapshots(self, name: str) -> str:
+        return f"{self.root}/snapshots/{name}"
+
+    def parts(self, name: str) -> tuple[int, list[int]]:
+        """The last number in the newest snapshot, 0 without one, and the numbers of the rows after it."""
+        numbers = sorted((int(x.removeprefix("upto=")) for x in children(self.spark, self._snapshots(name))), reverse=True)
+        upto = next((n for n in numbers if has_rows(self.spark, f"{self._snapshots(name)}/upto={n}")), 0)
+        return upto, self._after(name, upto)
+
+    def _after(self, name: str, seq: int) -> list[int]:
+        found = []
+        while has_rows(self.spark, self._place(name, seq + 1)):
+            found.append(seq := seq + 1)
+        return found
+
+    def _snapshot(self, name: str, schema: T.StructType, last: int) -> None:
+        """Put all rows up to the last one into one file, unless another job has just done so."""
+        self._covered[name] = self.parts(name)[0]
+        if last - self._covered[name] < SNAPSHOT_EVERY:
+            return
+        rows = self.events(name, schema).where(F.col(SEQ) <= last)
         try:
-            return self.spark.read.schema(numbered).parquet(f"{self.root}/{name}").select(*numbered.fieldNames())
+            rows.coalesce(1).sortWithinPartitions(SEQ).write.parquet(f"{self._snapshots(name)}/upto={last}")
         except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
+        self._covered[name] = last
+
+    def events(self, name: str, schema: T.StructType) -> DataFrame:
+        """All rows of a control table, of one pipeline or of all: the newest snapshots and the rows after them."""
+        below = children(self.spark, f"{self.root}/{name}")
+        names = [name] if any(x.startswith(f"{SEQ}=") for x in below) else [f"{name}/{x}" for x in below if "=" in x]
+        found = {x: self.parts(x) for x in names}
+        snapshots = [f"{self._snapshots(x)}/upto={upto}" for x, (upto, _) in found.items() if upto]
+        rows = [self._place(x, seq) for x, (_, tail) in found.items() for seq in tail]
+        return self._read(name, schema, snapshots, rows)
+
+    def _read(self, name: str, schema: T.StructType, snapshots: list[str], rows: list[str]) -> DataFrame:
+        numbered = T.StructType(schema.fields + [T.StructField(SEQ, LONG)])
+        reader, columns = self.spark.read.schema(numbered), numbered.fieldNames()
+        parts = [reader.parquet(*snapshots).select(*columns)] if snapshots else []
+        parts += [reader.option("basePath", f"{self.root}/{name}").parquet(*rows).select(*columns)] if rows else []
+        if not parts:
             return no_rows(self.spark, numbered)
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def _history(self, name: str, schema: T.StructType) -> list[Row]:
-        """All rows of a control table by number: a few per load, so they fit the driver."""
-        rows = sorted(self.events(name, schema).collect(), key=lambda row: row[SEQ])
-        self._last[name] = rows[-1][SEQ] if rows else 0
-        return rows
+        """All rows of a control table by number; what this ledger has seen before isn't read again."""
+        known = self._known.get(name)
+        if known is None:
+            self._covered[name], tail = upto, tail = self.parts(name)
+            snapshots = [f"{self._snapshots(name)}/upto={upto}"] if upto else []
+        else:
+            snapshots, tail = [], self._after(name, self._last(name))
+        new = []
+        if snapshots or tail:
+            new = self._read(name, schema, snapshots, [self._place(name, seq) for seq in tail]).collect()
+        self._known[name] = (known or []) + sorted(new, key=lambda row: row[SEQ])
+        return list(self._known[name])
 
     # -- batches -------------------------------------------------------------------------------
 

@@ -486,6 +486,14 @@ oracle(
 )
 oracle("inc_two_batches", "SELECT * EXCLUDE (change_type) FROM merged_order_items")
 oracle("inc_compaction", "SELECT * EXCLUDE (change_type) FROM merged_order_items")
+oracle(
+    "inc_pruned_merge",
+    """SELECT s.source_load_id, s.rows_stored, c.rows_current FROM
+       (SELECT source_load_id, count(*) AS rows_stored FROM (SELECT source_load_id FROM silver_order_items_1
+        UNION ALL SELECT source_load_id FROM silver_order_items_2) GROUP BY ALL) s
+       LEFT JOIN (SELECT source_load_id, count(*) AS rows_current FROM merged_order_items GROUP BY ALL) c
+       ON s.source_load_id = c.source_load_id""",
+)
 PIECES["sales_first"] = PIECES["sales_source"].replace("silver_order_items", "silver_order_items_1")
 PIECES["sales_merged"] = PIECES["sales_source"].replace("silver_order_items", "merged_order_items")
 oracle(
@@ -518,6 +526,7 @@ oracle(
 oracle("lookup_translation", "SELECT * FROM category_names")
 oracle("dim_customer_latest", "SELECT customer_unique_id, customer_id FROM customer_source")
 oracle("dim_customer", "SELECT * FROM customer_source")
+oracle("dim_customer_delta", "SELECT * FROM customer_source")
 oracle("dim_product", "SELECT * FROM product_source")
 oracle("dim_seller", "SELECT * FROM seller_source")
 oracle("dim_date", "SELECT * FROM dim_date")
@@ -705,6 +714,26 @@ oracle(
     ),
 )
 
+AUDITED = {f"silver_{n}": (n, "data_quality_status") for n in SUMMARY.values()} | {n: (n, "''") for n in ("fact_sales", "fact_payments", "fact_delivery")}
+AUDITED_SUMS = {
+    "order_items": ["price", "freight_value"], "order_payments": ["payment_value"], "delivery": ["delivery_days", "delivery_delay_days"],
+    "fact_sales": ["price", "freight_value"], "fact_payments": ["payment_value"], "fact_delivery": ["delivery_days", "delivery_delay_days"],
+}
+
+
+def audited(piece: str, name: str, status: str, measure: str) -> str:
+    value = f"CAST({'count(*)' if measure == 'rows' else f'sum({measure})'} AS DECIMAL(38,2))"
+    return (
+        f"SELECT '{name}' AS table_name, {status} AS status, '{measure}' AS measure, {value} AS state_value, {value} AS scan_value "
+        f"FROM {piece} GROUP BY 1, 2"
+    )
+
+
+oracle(
+    "val_state_audit",
+    " UNION ALL ".join(audited(p, n, s, m) for p, (n, s) in AUDITED.items() for m in ["rows", *AUDITED_SUMS.get(n, [])]),
+)
+
 
 def repeated(label: str, source: str, keys: str) -> str:
     return (

@@ -472,6 +472,17 @@ def inc_compaction(spark, sf_dir):
     return warehouse.silver("order_items")
 
 
+@query
+def inc_pruned_merge(spark, sf_dir):
+    """The same two increments by load: rows that were stored, and rows that no later load replaced."""
+    warehouse = _two_item_loads(spark, sf_dir)
+    versions = warehouse.ledger.commits("silver_order_items")
+    kept = silver.accepted(warehouse._versions("silver", "order_items").stored(versions))
+    stored_rows = kept.groupBy("source_load_id").agg(F.count(F.lit(1)).alias("rows_stored"))
+    current = warehouse.silver("order_items").groupBy("source_load_id").agg(F.count(F.lit(1)).alias("rows_current"))
+    return stored_rows.join(current, "source_load_id", "left")
+
+
 def _star_of_first_items(spark, sf_dir):
     """A warehouse with everything but the second delivery of the items, which follows."""
     warehouse = empty_warehouse(spark)
@@ -606,6 +617,20 @@ def scd1_customer(spark, sf_dir):
     return merged.where(F.col("customer_key").isNotNull()).unionByName(fresh)
 
 
+@query
+def dim_customer_delta(spark, sf_dir):
+    """The stored dimension after a second delivery of orders, of which only touched groups were ranked anew."""
+    warehouse = empty_warehouse(spark)
+    deliver(warehouse, sf_dir, "customers")
+    warehouse.load_silver("customers")
+    for load in (1, 2):
+        part = rows_of_loads(fixtures.bronze(spark, sf_dir, "orders"), [load])
+        warehouse.load_bronze_rows("orders", part, f"orders_{load}", f"orders_{load}.csv", load_time(load))
+        warehouse.load_silver("orders")
+        warehouse.load_dim("dim_customer")
+    return warehouse.gold("dim_customer").drop("customer_key")
+
+
 @query
 def anti_new_customers(spark, sf_dir):
     customers = accepted(spark, sf_dir, "customers")
@@ -749,6 +774,7 @@ QUERIES |= {
     "val_fact_grain": lambda spark, sf_dir: validation.fact_grain(_star(spark, sf_dir)),
     "val_dim_unique": lambda spark, sf_dir: validation.dimension_uniqueness(_star(spark, sf_dir)),
     "val_dq_summary": lambda spark, sf_dir: validation.quality_summary(_layers(spark, sf_dir)[0]),
+    "val_state_audit": lambda spark, sf_dir: validation.state_audit(loaded_warehouse(spark, sf_dir).state(), *_layers(spark, sf_dir)),
     "contract_unique": lambda spark, sf_dir: validation.unique_contracts(*_layers(spark, sf_dir)),
     "contract_not_null": lambda spark, sf_dir: validation.not_null_contracts(*_layers(spark, sf_dir)),
     "contract_length": lambda spark, sf_dir: validation.length_contracts(_star(spark, sf_dir)),

@@ -215,7 +215,7 @@ def test_a_load_that_dies_leaves_the_last_state(wh, spark, monkeypatch):
     wh.load_silver("orders")
     wh.load_bronze_rows("orders", frame(spark, "orders", order(1, status="paid"), order(2)), "b2", "2.csv")
 
-    def broken(*args):
+    def broken(*args, **named):
         raise OSError("lost")
 
     monkeypatch.setattr(wh.ledger, "commit", broken)
