@@ -1,7 +1,7 @@
 """Byte-level BPE by monoid tree reduction.
 
 The encodings of byte strings form a monoid: the encoding of a concatenation follows from the
-encodings of both parts. A match of the pattern is halved down to short leaves, whose bytes are
+encodings of both parts. A match of the pattern is halved down to leaves of LEAF_BYTES, whose bytes are
 merged directly. Two neighbours are joined by encoding a window anew: some tokens on either side of
 the border, twice as many at each try. Tokens outside the window are final as soon as the token on
 each side of each window edge is a stable pair, that is, encoding the bytes of the two alone gives
@@ -15,6 +15,7 @@ as the text; repeated rows each give a row; other columns are not read.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from functools import lru_cache
@@ -25,8 +26,10 @@ from pyspark.sql import DataFrame
 
 from stratamart.llm.common import Batches, Cache
 
-LEAF_BYTES = 32
+LEAF_BYTES = 4
 FIRST_WINDOW = 2
+#: Parts and windows up to this length are remembered.
+_SHORT = 12
 #: A space between two other characters, of which neither is white space, always begins a match.
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -37,7 +40,12 @@ class TreeBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.stable = Cache(lambda pair: self._merged(pair[0] + pair[1]) == [*pair])
+        self.stable = Cache(lambda pair: self.merged(pair[0] + pair[1]) == [*pair], 100_000)
+        self.windows, self.trees = Cache(self._merged, 60_000), Cache(self.tree, 60_000)
+        self.joins = 0
+
+    def merged(self, data: bytes) -> list[bytes]:
+        return self.windows[data] if len(data) <= _SHORT else self._merged(data)
 
     def _merged(self, data: bytes) -> list[bytes]:
         """Merge the pair of lowest rank, the leftmost of equals, until none is left."""
@@ -55,22 +63,24 @@ class TreeBpe:
         return parts
 
     def tree(self, data: bytes) -> list[bytes]:
-        """The tokens of one match: halves, then their join."""
+        """The tokens of one match: halves, then their join. Short parts recur and are remembered."""
         if data in self.ranks:  # each token of the vocabulary is its own encoding
             return [data]
         if len(data) <= LEAF_BYTES:
             return self._merged(data)
         half = len(data) // 2
-        return self.join(self.tree(data[:half]), self.tree(data[half:]))
+        parts = data[:half], data[half:]
+        return self.join(*(self.trees[x] if len(x) <= _SHORT else self.tree(x) for x in parts))
 
     def join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
         """The encoding of the concatenation of two encoded byte strings."""
+        self.joins += 1
         if not left or not right or self.stable[left[-1], right[0]]:
             return left + right
         take = FIRST_WINDOW
         while True:
             start, end = max(0, len(left) - take), min(len(right), take)
-            window = self._merged(b"".join(left[start:] + right[:end]))
+            window = self.merged(b"".join(left[start:] + right[:end]))
             settled_left = start == 0 or self.stable[left[start - 1], window[0]]
             settled_right = end == len(right) or self.stable[window[-1], right[end]]
             if settled_left and settled_right:
@@ -82,7 +92,7 @@ class TreeBpe:
         return [self.ranks[token] for match in self.pattern.findall(text) for token in self.tree(match.encode())]
 
     def decode(self, ids: list[int]) -> bytes:
-        if len(ids) <= LEAF_BYTES:
+        if len(ids) <= 32:
             return b"".join(map(self.bytes_of.__getitem__, ids))
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
@@ -106,14 +116,24 @@ class Stretches:
     """
 
     def __init__(self, bpe: TreeBpe):
+        def of_match(match: str) -> tuple[bytes, bytes]:
+            ids = [bpe.ranks[token] for token in bpe.tree(match.encode())]
+            return b"".join(map(written.__getitem__, ids)), bpe.decode(ids)
+
+        written = [b"%d " % i for i in range(len(bpe.ranks))]
+        matches, cut = Cache(of_match, 100_000), bpe.pattern.findall
+
         def made(stretch: str) -> tuple[bytes, bytes]:
-            ids = bpe.encode(stretch)
-            return b"%d " * len(ids) % tuple(ids), bpe.decode(ids)
+            found = cut(stretch)
+            if len(found) == 1:
+                return of_match(stretch)
+            ids, decoded = zip(*map(matches.__getitem__, found), strict=True)
+            return b"".join(ids), b"".join(decoded)
 
         def spaced(word: str) -> tuple[bytes, bytes]:
             return UNSAFE if not word or word[0].isspace() or word[-1].isspace() else made(" " + word)
 
-        self.any, self.spaced = Cache(made, 20_000), Cache(spaced)
+        self.any, self.spaced = Cache(made, 20_000), Cache(spaced, 120_000)
 
     def of(self, text: str) -> list[tuple[bytes, bytes]]:
         if not text:
@@ -132,22 +152,30 @@ def _stretches(path: str, pattern: str) -> Stretches:
     return Stretches(vocabulary(path, pattern))
 
 
+def _digests(batch: pa.RecordBatch, known: Stretches) -> pa.RecordBatch:
+    rows = []
+    for text in batch.column("text").to_pylist():
+        parts = known.of(text or "")
+        ids, decoded = map(b"".join, zip(*parts)) if parts else (b"", b"")
+        rows.append((ids.count(b" "), *(hashlib.sha256(x).hexdigest() for x in (ids.rstrip(), decoded))))
+    columns = list(zip(*rows, strict=True)) or [()] * 3
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id").cast(pa.int64()), pa.array(columns[0], pa.int64()), *(pa.array(x, pa.string()) for x in columns[1:])],
+        ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    )
+
+
 def round_trips(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Number of tokens, and digests of the ids and of the bytes they decode to, for each document."""
 
     def run(batches: Batches):
         known = _stretches(path, pattern)
-        for batch in batches:
-            rows = []
-            for text in batch.column("text").to_pylist():
-                parts = known.of(text or "")
-                ids, decoded = map(b"".join, zip(*parts)) if parts else (b"", b"")
-                rows.append((ids.count(b" "), *(hashlib.sha256(x).hexdigest() for x in (ids.rstrip(), decoded))))
-            columns = list(zip(*rows, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(columns[0], pa.int64()), *(pa.array(x, pa.string()) for x in columns[1:])],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        gc.disable()  # caches hold very many lists and no cycles
+        try:
+            for batch in batches:
+                yield _digests(batch, known)
+        finally:
+            gc.enable()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

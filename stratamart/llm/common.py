@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -14,15 +15,21 @@ from stratamart.session import new_folder
 Batches = Iterator[pa.RecordBatch]
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The same rows from a table in the folder that all executors share; cuts the lineage.
 
-    The shuffle files behind it are no longer needed; Spark drops them when the driver collects its
-    garbage, so it is asked to do that now.
+    The shuffle files behind it are no longer needed, so Spark is told to drop those of this write when it ends.
     """
     spark, path = df.sparkSession, new_folder(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,6 +65,23 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable Latin-1 stands for itself, the others follow from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+#: Letters that one lower-case letter stands for, whatever the version of Unicode; none combines with another.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
+_LETTERS = byte_letters()
+
+
+def latin_pretoken(word: str) -> str | None:
+    """A word of Latin letters as a lower-casing byte-level tokenizer cuts and writes it: as one pre-token."""
+    return word.lower().encode().decode("latin-1").translate(_LETTERS) if _LATIN.fullmatch(word) else None
+
+
 class Cache(dict):
     """Values by key, made on first use. At most 2 * `most` stay: when the younger half is full it
     becomes the older one, and keys that are not asked for again are dropped with it."""

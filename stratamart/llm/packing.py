@@ -14,6 +14,7 @@ read.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from bisect import bisect_left, insort
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stratamart.llm.common import Batches, Cache, partitions, text_bytes, written
+from stratamart.llm.common import Batches, Cache, latin_pretoken, partitions, text_bytes, written
 
 SIZE = 2048
 END_ID = 0
@@ -44,20 +45,23 @@ class WordIds:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.mark = os.path.commonprefix(self.added)  # no word without it holds one
         self.of_stem, self.of_word = Cache(self._encoded), Cache(self._joined, 260_000)
 
     def _encoded(self, part: bytes) -> bytes:
-        if part.isalpha() and part.islower():  # ASCII letters: one pre-token, as it stands
-            ids = [token.id for token in self.tokenizer.model.tokenize(part.decode())]
+        text = part.decode()
+        one = text if part.isalpha() and part.islower() else latin_pretoken(text)
+        if one is not None:  # one pre-token
+            ids = [token.id for token in self.tokenizer.model.tokenize(one)]
         else:
-            ids = self.tokenizer.encode(part.decode(), add_special_tokens=False).ids
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _joined(self, word: bytes) -> bytes:
-        if any(x in word.lower() for x in self.added):
+        if self.mark in word.lower() and any(x in word.lower() for x in self.added):
             return self._encoded(word)
         stem = word.rstrip(_TRAILING)
-        if stem[-1:].isalnum():  # for bytes these are ASCII letters and digits
+        if stem[-1:].isalnum() or latin_pretoken(stem.decode()):  # for bytes these are ASCII letters and digits
             return self.of_stem[stem.lower()] + (self.of_stem[word[len(stem) :]] if len(stem) < len(word) else b"")
         return self.of_stem[word]
 
@@ -136,8 +140,12 @@ def planned(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, in
 
 
 def ranked(pieces: DataFrame, slots: int) -> DataFrame:
-    """Adds the rank of each piece among those of its length, from 0, without gaps."""
-    slotted = pieces.withColumn("slot", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(slots)))
+    """Adds the rank of each piece among those of its length, from 0, without gaps.
+
+    Slots go by the pieces' own checksum as well, so that rows without doc_id don't meet in one; repeated rows
+    of one text do, and rank in any order, as they are alike.
+    """
+    slotted = pieces.withColumn("slot", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(slots)))
     before = Window.partitionBy("length").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     sums = slotted.groupBy("length", "slot").count().withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
     inside = Window.partitionBy("length", "slot").orderBy("doc_id", "piece", "ids_crc32")

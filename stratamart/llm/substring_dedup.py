@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratamart.llm.block_sums import sliced
 from stratamart.llm.common import Batches, text_bytes, written
 
 WINDOW = 13
@@ -94,7 +95,7 @@ def _sampled(docs: DataFrame) -> DataFrame:
     """Samples with the texts they occur in; salt 0 goes to the sample's group, others are known to recur."""
 
     def run(batches: Batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             found, copies = [np.zeros((2, 0), np.int64)], set()
             for text in text_bytes(batch):
                 words = text.split()
@@ -125,22 +126,23 @@ def _shared(docs: DataFrame) -> DataFrame:
 def _candidates(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, part, text and samples of one document of each text that shares a sample."""
     one = known.where("doc_id is not null and part is not null")
-    found = one.join(_shared(docs), "copy").select(F.col("doc_id").alias("__id"), "part", "copy", "samples")
-    joined = docs.where("doc_id is not null").join(found, F.col("doc_id") == F.col("__id")).select("doc_id", "part", "copy", "samples", "text")
+    found = one.join(_shared(docs), "copy").select("doc_id", "part", "copy", "samples")
 
     def run(batches: Batches):
-        for batch in batches:  # rows that share a doc_id may have other texts
-            own = [_digest(text.split())[1] == copy for text, copy in zip(text_bytes(batch), batch.column("copy").to_pylist(), strict=True)]
-            yield batch.filter(pa.array(own, pa.bool_())).select(["doc_id", "part", "samples", "text"])
+        for batch in batches:
+            copies = [_digest(text.split())[1] for text in text_bytes(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(copies, pa.int64()), batch.column("text").cast(pa.string())], ["doc_id", "copy", "text"])
 
-    return joined.mapInArrow(run, "doc_id long, part int, samples array<long>, text string")
+    # rows that share a doc_id may have other texts, so both name the row
+    named = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "doc_id long, copy long, text string")
+    return named.join(found, ["doc_id", "copy"]).select("doc_id", "part", "samples", "text")
 
 
 def _edges(texts: DataFrame) -> DataFrame:
     """Occurrences of the edges that may repeat; src_id is set where the block has an earlier one."""
 
     def run(batches: Batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             parts = []
             rows = zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(), batch.column("samples"), text_bytes(batch), strict=True)
             for doc_id, part, shared, text in rows:

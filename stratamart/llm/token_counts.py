@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stratamart.llm.block_sums import in_blocks, numbering, packed, sliced, summed
-from stratamart.llm.common import Batches, Cache, text_bytes, written
+from stratamart.llm.common import Batches, Cache, latin_pretoken, text_bytes, written
 
 OVER_LIMIT = 2048
 #: Pre-tokens that are broadcast, 16 bytes each: 64 MB.
@@ -49,10 +49,11 @@ class Pieces:
         self.of_word, self.of_tail = Cache(self._of_word, 40_000), Cache(self._pretokens, 5_000)
 
     def _of_word(self, word: bytes) -> list[str]:
-        """ASCII letters are one pre-token in lower case, and punctuation never joins a letter before it."""
+        """Latin letters are one pre-token in lower case, and punctuation never joins a letter before it."""
         stem = word.rstrip(_TRAILING)
-        if stem.isalpha():
-            return [stem.decode().lower(), *(self.of_tail[word[len(stem) :]] if len(stem) < len(word) else [])]
+        one = stem.decode().lower() if stem.isalpha() else latin_pretoken(stem.decode())
+        if one is not None:
+            return [one, *(self.of_tail[word[len(stem) :]] if len(stem) < len(word) else [])]
         return self._pretokens(word)
 
     def _pretokens(self, word: bytes) -> list[str]:
