@@ -12,7 +12,7 @@ of the retained values hold every link; the counters only keep frequent passages
 Overlaps. Values that two texts retain give candidates, if sizes and places leave a link possible. In a list
 of at most SMALL texts all pairs are candidates. In a longer list, each text is held against one hub of the
 list; then, round by round, against new hubs in another component than its own. When few pairs remain that
-lie in two components, or a round doesn't halve them, exactly those are taken. Only which texts belong together is asked for,
+lie in two components, or hubs link few more, exactly those are taken. Only which texts belong together is asked for,
 so pairs within a component needn't be compared, and none that could join two components is left out.
 
 Estimate. The bottom SKETCH hashes, of 32 bits, of a candidate pair's union are a random sample of it. If less than
@@ -42,8 +42,8 @@ from stratamart.llm.components import roots
 SKETCH = 128
 SMALL = 32
 SEED = 42
-COUNTERS, _SLICES = 1 << 20, 64
-_SHIFT = np.uint64(44)  # a hash's upper 20 bits are its counter
+COUNTERS, _SLICES = 1 << 23, 64
+_SHIFT = np.uint64(41)  # a hash's upper 23 bits are its counter
 #: A longer list gets this many new hubs in each further round.
 _HUBS = 4
 _SPLIT = 1_000
@@ -92,18 +92,20 @@ def rarity(docs: DataFrame, width: int) -> np.ndarray:
     per = COUNTERS // _SLICES
 
     def count(batches: Batches):
-        counts = np.zeros(COUNTERS, np.int64)
+        counts = np.zeros(COUNTERS, np.uint32)
         for batch in batches:
             for text in text_bytes(batch):
                 np.add.at(counts, (shingles(text.lower().split(), width) >> _SHIFT).astype(np.int64), 1)
-        packed = [zlib.compress(x.tobytes(), 1) for x in counts.reshape(_SLICES, per)]
+        packed = [zlib.compress(np.packbits(x > 0).tobytes() + x[x > 0].tobytes(), 1) for x in counts.reshape(_SLICES, per)]
         yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(packed)], ["slice", "counts"])
 
     def classed(batches: Batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for at, packed in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                sums[at] = sums.get(at, 0) + np.frombuffer(zlib.decompress(packed), np.int64)
+                data = np.frombuffer(zlib.decompress(packed), np.uint8)
+                own = sums.setdefault(at, np.zeros(per, np.int64))
+                own[np.unpackbits(data[: per // 8]).astype(bool)] += data[per // 8 :].view(np.uint32)
         classes = [np.frexp(x.astype(np.float64))[1].astype(np.uint8).tobytes() for x in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array(classes, pa.binary())], ["slice", "classes"])
 
@@ -219,6 +221,12 @@ def _possible(a: str, b: str) -> Column:
     return 9 * F.least(n_a - at_a, n_b - at_b) >= 4 * (n_a + n_b)
 
 
+def _sized(a: str, b: str) -> Column:
+    """Whether the sizes alone leave room for a link."""
+    n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return 5 * F.least(n_a, n_b) >= 4 * F.greatest(n_a, n_b)
+
+
 def _ends(a: str, b: str) -> list[Column]:
     a, b = F.col(f"{a}.copy"), F.col(f"{b}.copy")
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
@@ -231,7 +239,7 @@ def _against_hubs(members: DataFrame, salt: int, hubs: int) -> DataFrame:
     salted = members.withColumn("salt", F.explode(F.array(*(F.lit(salt * _HUBS + i) for i in range(hubs))))) if hubs > 1 else members.withColumn("salt", F.lit(salt * _HUBS))
     least = salted.groupBy("value", "salt").agg(F.min(hub).alias("hub")).select("value", "hub.*").drop("by").distinct()
     pairs = members.alias("x").join(least.alias("y"), "value").where("x.copy <> y.copy" + " and x.root <> y.root" * rooted)
-    return pairs.where(_possible("x", "y")).select(*_ends("x", "y"))
+    return pairs.where(_sized("x", "y")).select(*_ends("x", "y"))  # a hub's value need not be the first in common
 
 
 def _spread(named: DataFrame) -> tuple[DataFrame, int, int]:
@@ -258,7 +266,7 @@ def _components(docs: DataFrame, own: DataFrame, width: int) -> DataFrame:
     links = judge.links(pairs.union(_against_hubs(large, 0, 1)))
     found = written(roots(links), "near-roots")
 
-    before, turn = float("inf"), 0
+    turn, joined = 0, None
     while True:
         root, turn = found.withColumnRenamed("node", "copy"), turn + 1
         named = written(large.join(root, "copy", "left").withColumn("root", F.coalesce("root", "copy")), "near-named")
@@ -266,15 +274,15 @@ def _components(docs: DataFrame, own: DataFrame, width: int) -> DataFrame:
         if not apart:
             return found
         here = named.join(lists, "value")
-        last = apart <= 2 * n_rows or 2 * apart > before  # few are left, or hubs don't halve them
-        before = apart
+        last = apart <= 2 * n_rows or (joined is not None and 100 * joined < n_rows)
         if last:
             strays = here.where("root <> largest")  # a pair of two strays comes up twice, which distinct() undoes
             rest = strays.alias("x").join(here.alias("y"), "value").where("x.root <> y.root").where(_possible("x", "y"))
             new = judge.links(rest.select(*_ends("x", "y")))
         else:
             new = judge.links(_against_hubs(here, turn, _HUBS))
-        if new.take(1):
+        joined = new.count()
+        if joined:
             found = written(roots(new.union(found.select(F.col("node").alias("a"), F.col("root").alias("b")))), "near-roots")
         if last:
             return found
