@@ -105,17 +105,17 @@ class Warehouse:
 
     def silver(self, name: str) -> DataFrame:
         """Current rows of a silver table: those that no later load replaced."""
-        return self._silver_rows(name).select(*SILVER[name].schema.fieldNames())
+        return self._silver_rows(name, place=False).select(*SILVER[name].schema.fieldNames())
 
     def _versions(self, layer: str, name: str) -> Versions:
         if layer == "silver":
-            return Versions(self.spark, self.root, layer, name, SILVER[name].schema, SILVER[name].keys, part=STATUS)
+            return Versions(self.spark, self.root, layer, name, SILVER[name].schema, SILVER[name].keys, part=STATUS, live=(VALID, CHECK))
         return Versions(self.spark, self.root, layer, name, T.StructType([*GOLD[name].schema.fields, _DIGEST]), GOLD[name].keys)
 
-    def _silver_rows(self, name: str, files: list[str] | None = None) -> DataFrame:
-        """Current rows with their place, of all files or of some; status folders are pruned."""
+    def _silver_rows(self, name: str, files: list[str] | None = None, place: bool = True) -> DataFrame:
+        """Current rows, of all files or of some; status folders are pruned."""
         versions = tables.current(self.ledger.commits(f"silver_{name}"))
-        return refined.accepted(self._versions("silver", name).current(versions, files))
+        return self._versions("silver", name).current(versions, files, place)
 
     def quarantine(self, name: str) -> DataFrame:
         """Rejected rows of every committed silver load, with their reason."""
@@ -127,15 +127,15 @@ class Warehouse:
         """Current rows of a gold table; facts carry their ``order_month`` folder as well."""
         root = f"{self.root}/gold/{name}"
         if GOLD[name].surrogate and not name.startswith("fact"):
-            return self._dim_rows(name).select(*GOLD[name].schema.fieldNames())
+            return self._dim_rows(name, place=False).select(*GOLD[name].schema.fieldNames())
         extra = [_MONTH] if name.startswith("fact") else []
         schema = T.StructType(GOLD[name].schema.fields + extra)
         paths = tables.folders(root, tables.current(self.ledger.commits(f"gold_{name}")))
         return tables.read_folders(self.spark, root, paths, schema)
 
-    def _dim_rows(self, name: str) -> DataFrame:
+    def _dim_rows(self, name: str, place: bool = True) -> DataFrame:
         """Current members of a dimension with their digest and place."""
-        return self._versions("gold", name).current(tables.current(self.ledger.commits(f"gold_{name}")))
+        return self._versions("gold", name).current(tables.current(self.ledger.commits(f"gold_{name}")), place=place)
 
     def silver_tables(self) -> Mapping[str, DataFrame]:
         return Layer(self.silver, SILVER_ORDER)
@@ -520,7 +520,6 @@ class Warehouse:
         ids = self._kept(wanted.toDF(*kept.keys).where(F.col(kept.keys[0]).isNotNull()).distinct(), "wanted")
         files = kept.files_with(ids, ids.count(), versions)
         rows = kept.current(versions, files)
-        rows = refined.accepted(rows) if layer == "silver" else rows
         return (rows, False) if files is None else (rows.join(ids, kept.keys, "left_semi"), True)
 
     def _star_join(self, name: str, rows: DataFrame, few: bool = False) -> DataFrame:

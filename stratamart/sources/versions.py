@@ -86,15 +86,16 @@ def _probe(i: int) -> Column:
 class Versions:
     """One table: its data, marks and key filters, below `root`."""
 
-    def __init__(self, spark: SparkSession, root: str, layer: str, name: str, schema: T.StructType, keys: tuple[str, ...], part: str | None = None):
-        self.spark, self.schema, self.keys, self.part = spark, schema, list(keys), part
+    def __init__(self, spark: SparkSession, root: str, layer: str, name: str, schema: T.StructType, keys: tuple[str, ...], part: str | None = None, live: tuple[str, ...] = ()):
+        """Rows lie in folders by `part`, if given; only those of the `live` parts are the table's."""
+        self.spark, self.schema, self.keys, self.part, self.live = spark, schema, list(keys), part, live
         self.folder = f"{root}/{layer}/{name}"
         self.marks_folder, self.filters_folder, self.matches_folder = (f"{root}/{x}/{layer}_{name}" for x in ("marks", "filters", "staging/matches"))
 
     # -- readers -------------------------------------------------------------------------------
 
-    def stored(self, versions: list[Row], files: list[str] | None = None) -> DataFrame:
-        """The rows as they lie in the versions, or in some of their files, with their place."""
+    def stored(self, versions: list[Row], files: list[str] | None = None, place: bool = True) -> DataFrame:
+        """The rows as they lie in the versions, or in some of their files, with their part and, if wanted, the rest of their place."""
         layout = T.StructType([*self.schema.fields, T.StructField("version", LONG)])
         paths = tables.folders(self.folder, versions) if files is None else files
         if not paths:
@@ -102,12 +103,14 @@ class Versions:
             return no_rows(self.spark, T.StructType([*self.schema.fields, *place.fields]))
         rows = self.spark.read.schema(layout).option("basePath", self.folder).parquet(*paths)
         part = F.col(self.part) if self.part else F.lit("")
-        place = {"_version": F.col("version"), "_part": part, "_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")}
-        return rows.select(*self.schema.fieldNames(), *(c.alias(x) for x, c in place.items()))
+        lies = {"_version": F.col("version"), "_part": part, "_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")}
+        return rows.select(*self.schema.fieldNames(), *(c.alias(x) for x, c in lies.items() if place or x == "_part"))
 
-    def current(self, versions: list[Row], files: list[str] | None = None) -> DataFrame:
+    def current(self, versions: list[Row], files: list[str] | None = None, place: bool = True) -> DataFrame:
         """The rows that no later load replaced and that were not older than what they met."""
-        return self._without(self.stored(versions, files), self.marks(versions, REPLACED, STALE))
+        marks = self.marks(versions, REPLACED, STALE)
+        rows = self.stored(versions, files, place or marks is not None)
+        return self._without(rows.where(F.col("_part").isin(*self.live)) if self.live else rows, marks)
 
     def marks(self, versions: list[Row], *kinds: str) -> DataFrame | None:
         """The bitmaps that these versions brought, None if there are none."""

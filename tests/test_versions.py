@@ -112,6 +112,14 @@ def test_random_loads_equal_a_dictionary(wh, spark, seed):
         assert all(state.get((r.data_quality_status, c), Decimal(0)) == (r[c] or 0) for c in TOTALS["order_items"])
 
 
+def test_a_rejected_row_holds_no_key(wh, spark):
+    load(wh, spark, "order_items", [item(1, product=""), item(2)], 0)
+    done = load(wh, spark, "order_items", [item(1), item(2)], 1)
+    assert (done["rows_updated"], done["rows_inserted"]) == (1, 1)
+    new = wh._brought("order_items", commits(wh, "order_items")[1:])
+    assert {r.order_id: r._new for r in new.collect()} == {"1": True, "2": False}
+
+
 def test_one_changed_city_writes_one_member(wh, spark):
     base(wh, spark)
     load(wh, spark, "orders", [order(1), order(2, "c2", day="2018-02-05"), order(3, "c3")], 0)
