@@ -30,13 +30,14 @@ _KINDS = {"block": pa.int64(), "key": pa.binary(), "entries": pa.binary(), "tota
 _SCHEMA = "block long, key binary, entries binary, total long, place int"
 
 
-def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of at most MOST_BYTES of text, or one text."""
+def sliced(batch: pa.RecordBatch, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most `most` bytes of text, MOST_BYTES if not given, or one text."""
+    most = most or MOST_BYTES
     sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends, start = np.cumsum(sizes), 0
     while start < len(sizes):
         before = ends[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(ends, before + MOST_BYTES, "right")))
+        end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
         end = min(end, start + MOST_ROWS)
         yield batch.slice(start, end - start)
         start = end

@@ -77,6 +77,10 @@ _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 _LETTERS = byte_letters()
 
 
+def latin(word: str) -> bool:
+    return _LATIN.fullmatch(word) is not None
+
+
 def latin_pretoken(word: str) -> str | None:
     """A word of Latin letters as a lower-casing byte-level tokenizer cuts and writes it: as one pre-token."""
     return word.lower().encode().decode("latin-1").translate(_LETTERS) if _LATIN.fullmatch(word) else None
