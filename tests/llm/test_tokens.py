@@ -53,6 +53,18 @@ def test_token_counts_without_documents_or_ids(no_docs, nameless):
     assert sorted(str(r.doc_id) for r in token_counts.token_counts(nameless, WORDS).collect()) == ["7", "None", "None"]
 
 
+def test_matches_outside_the_vocabulary_go_through_joins(reference):
+    rng = random.Random(9)
+    bpe = byte_bpe.TreeBpe(byte_bpe.vocabulary(BYTES, public_tokenizers.PATTERN).ranks, public_tokenizers.PATTERN)
+    matches = {(" " + "".join(rng.choice("aeiourstnlé") for _ in range(rng.randrange(1, 30)))).encode() for _ in range(1500)}
+    outside = [m for m in matches if m not in bpe.ranks and len(m) > byte_bpe.LEAF_BYTES]
+    for match in outside:
+        before = bpe.joins
+        assert [bpe.ranks[t] for t in bpe.tree(match)] == reference.encode_ordinary(match.decode())
+        assert bpe.joins > before
+    assert len(outside) > 500
+
+
 def test_added_tokens_inside_texts(own):
     texts = ["a<|endoftext|>b <|startoftext|>", "<|ENDOFTEXT|> <|endoftext|>.", "x\x1cy it's 12 IT'LL é"]
     known, none = token_counts.pieces(WORDS), token_counts.Known(*(np.zeros(0, x) for x in (np.uint64, np.uint32, np.int32)))
