@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import os
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratamart.session import new_folder
 
@@ -43,11 +46,33 @@ def text_bytes(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it, beside what was set before."""
-    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    """Lets Python workers import this package: from where the driver has it if they run on its machine, else as an archive."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
+    if not context.master.startswith("local"):
+        if _ARCHIVE not in map(os.path.basename, context.listFiles):
+            context.addPyFile(packed_package(root, tempfile.mkdtemp()))  # the driver serves it to the others
+        return
+    environment = context.environment
     paths = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    if str(root) not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([str(root), *paths])
+
+
+_ARCHIVE = "stratamart.zip"
+
+
+def packed_package(root: Path, folder: str) -> str:
+    """An archive of the package that Python can import from."""
+    with zipfile.ZipFile(path := os.path.join(folder, _ARCHIVE), "w") as archive:
+        for file in sorted(root.glob("stratamart/**/*.py")):
+            archive.write(file, file.relative_to(root))
+    return path
+
+
+def one_label(labels: DataFrame) -> DataFrame:
+    """doc_id and quality, once for each id that has a quality; ids with both are left out."""
+    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id")
+    return known.agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other").drop("other")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

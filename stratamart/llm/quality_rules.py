@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamart.llm.common import Batches, text_bytes
+from stratamart.llm.common import Batches, one_label, text_bytes
 from stratamart.llm.lines import count_symbols, repeated_words, word_ids
 
 SIGNS = 8
@@ -142,9 +142,8 @@ def retained(docs: DataFrame, field: LineField = DEFAULT_FIELD) -> DataFrame:
 
 
 def trained(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_DOCUMENTS) -> LineField:
-    """A field fitted on at most `most` labelled documents, chosen by a hash of their ids."""
-    chosen = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", "quality").dropDuplicates(["doc_id"])
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    """A field fitted on at most `most` labelled documents, chosen by a hash of their ids; contradictory labels are left out."""
+    chosen = one_label(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
     def run(batches: Batches):
         for batch in batches:

@@ -152,3 +152,29 @@ def test_personal_data(spark, docs, no_docs, rows):
     assert row.text == "x [phone] y [email] [ip]" and row.n_chars == len(row.text)
     assert masked.where("doc_id = 500").first().text is None
     assert personal_data.personal_data(no_docs, personal_data.trained(no_docs)).collect() == []
+
+
+def test_contradictory_and_repeated_labels(spark, docs, rows):
+    """Repeated labels count once, and an id with both labels counts as one without, whatever the order of rows."""
+    ids = sorted({r[0] for r in rows})
+    plain = [(i, n % 2) for n, i in enumerate(ids[:20])]
+    mixed = [*plain, *plain[:5], (ids[21], 0), (ids[21], 1), (None, 1), (ids[22], None)]
+    schema = "doc_id long, quality int"
+    for module in (quality_rules, quality_classifier):
+        expected = module.trained(docs, spark.createDataFrame(plain, schema))
+        assert module.trained(docs, spark.createDataFrame(mixed, schema)) == expected
+        assert module.trained(docs, spark.createDataFrame(mixed[::-1], schema)) == expected
+
+
+def test_the_package_as_an_archive(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    import stratamart
+    from stratamart.llm.common import packed_package
+
+    path = packed_package(Path(stratamart.__file__).resolve().parents[1], str(tmp_path))
+    code = f"import sys; sys.path.insert(0, {path!r}); import stratamart.llm.simhash as m; print(m.__file__)"
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path)
+    assert run.stdout.startswith(path), run.stderr
