@@ -136,11 +136,13 @@ def _customers(customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
     return customers.select("customer_id", "customer_unique_id").join(keys, "customer_unique_id", "left")
 
 
-def _rests_on(orders: bool, **members: tuple[str, str]) -> Column:
-    """The order, its customer and the members whose key is not there."""
+def _rests_on(keyed: DataFrame, orders: bool, **members: tuple[str, str]) -> Column:
+    """The order, its customer and the members whose key is not there; a lookup without the customer's ids names none."""
     parts = [F.concat(F.lit("orders:"), F.col("order_id"))] if orders else []
-    parts.append(F.concat(F.lit("customers:"), F.col("customer_id")))
-    members = {"dim_customer": ("customer_unique_id", "customer_key"), **members}
+    if "customer_id" in keyed.columns:
+        parts.append(F.concat(F.lit("customers:"), F.col("customer_id")))
+    if "customer_unique_id" in keyed.columns:
+        members = {"dim_customer": ("customer_unique_id", "customer_key"), **members}
     parts += [F.when(F.col(key).isNull(), F.concat(F.lit(f"{dim}:"), F.col(natural))) for dim, (natural, key) in members.items()]
     return F.array_compact(F.array(*parts)).alias(DEPENDS_ON)
 
@@ -175,7 +177,7 @@ def sales_candidates(
         ("seller_key", "No seller"),
         ("order_date_key", "No purchase date"),
     )
-    rests_on = _rests_on(True, dim_product=("product_id", "product_key"), dim_seller=("seller_id", "seller_key"))
+    rests_on = _rests_on(keyed, True, dim_product=("product_id", "product_key"), dim_seller=("seller_id", "seller_key"))
     return keyed.withColumn(REASON, reason).select(*_attributes("fact_sales"), REASON, rests_on)
 
 
@@ -184,7 +186,7 @@ def payment_candidates(payments: DataFrame, lookup: DataFrame) -> DataFrame:
         "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"
     ).join(lookup, "order_id", "left")
     reason = _reasons(("customer_key", "No order or customer"), ("order_date_key", "No purchase date"))
-    return keyed.withColumn(REASON, reason).select(*_attributes("fact_payments"), REASON, _rests_on(True))
+    return keyed.withColumn(REASON, reason).select(*_attributes("fact_payments"), REASON, _rests_on(keyed, True))
 
 
 def delivery_candidates(delivery: DataFrame, customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -198,7 +200,7 @@ def delivery_candidates(delivery: DataFrame, customers: DataFrame, dim_customer:
         }
     )
     return keyed.withColumn(REASON, _reasons(("customer_key", "No customer"))).select(
-        *_attributes("fact_delivery"), REASON, _rests_on(False)
+        *_attributes("fact_delivery"), REASON, _rests_on(keyed, False)
     )
 
 
