@@ -91,6 +91,35 @@ def test_classifier_edge_cases(docs, no_docs, nameless, rows, spark):
     assert not any(r.held_out for r in quality_classifier.scored(nameless, untrained).collect() if r.doc_id is None)
 
 
+def test_classifier_learns_from_every_pair(spark, docs, sf_dir, monkeypatch):
+    """The ranking is that of all pairs; in small tournaments every row still takes part, and the cut is the exact quantile."""
+    documents, labels = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("documents", "labels"))
+    chosen = documents.join(labels, "doc_id").where(~quality_classifier.held_out()).where("quality in (0, 1)")
+    rows = [(quality_classifier.features((r.text or "").encode()), r.quality) for r in chosen.collect()]
+    x, quality = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    scale = x.std(0)
+    scale[scale < 1e-9] = 1.0
+    z = (x - x.mean(0)) / scale
+    pairs = (z[quality == 1][:, None] - z[quality == 0]).reshape(-1, z.shape[1])
+    found = quality_classifier.trained(documents, labels)
+    p = 1 / (1 + np.exp(-np.clip(pairs @ np.array(found.weights), -30, 30)))
+    assert np.allclose(pairs.T @ (1 - p), found.weights, atol=1e-3), "the gradient over all pairs is that of the ridge"
+    assert np.isclose(found.cut, np.quantile(z @ np.array(found.weights), (quality == 0).mean()))
+
+    monkeypatch.setattr(quality_classifier, "PART", 8)
+    monkeypatch.setattr(quality_classifier, "_FEW", 3)
+    features = [(i, int(i % 9 > 0), [float((i * k) % 11) for k in range(quality_classifier.N_FEATURES)], 1 + i % 2) for i in range(300)]
+    frame = spark.createDataFrame(features, "doc_id long, quality int, x array<double>, times long")
+    parts = quality_classifier._tournaments(frame, 266, 34).collect()
+    sides = [[np.frombuffer(v) for v in r] for r in parts]
+    assert len(parts) > 8 and sum(s[1].sum() for s in sides) == sum(f[3] for f in features if f[1])
+    assert all(len(s[1]) and len(s[3]) for s in sides) and max(len(s[1]) for s in sides) < 40
+    ranking = quality_classifier.fitted(frame)
+    raw = np.repeat(ranking.raw(np.array([f[2] for f in features])), [f[3] for f in features])
+    bad = np.repeat([f[1] == 0 for f in features], [f[3] for f in features])
+    assert np.isclose(ranking.cut, np.quantile(raw, bad.mean()))
+
+
 EMAIL, IP = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 CARD, PHONE = r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"
 
