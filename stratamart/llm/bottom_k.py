@@ -33,7 +33,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratamart.llm.common import Batches, partitions, text_bytes, written
@@ -251,20 +251,40 @@ def _spread(named: DataFrame) -> tuple[DataFrame, int, int]:
     return lists.select("value", "largest"), rows or 0, apart or 0
 
 
-def _components(docs: DataFrame, own: DataFrame, width: int) -> DataFrame:
-    """(node, root) of all copies that are linked but the roots."""
-    first = own.where("retained is not null")
+def _shared(first: DataFrame) -> DataFrame:
+    """The retained values of at least two copies, with the size of their list; each retained value is moved once."""
     rows = first.select(F.posexplode("retained").alias("place", "value"), "copy", "n")
-    lists = rows.groupBy("value").agg(F.count("*").alias("size"), F.min("copy").alias("least"), F.max("copy").alias("most"))
-    shared = rows.join(lists.where("least <> most").select("value", "size"), "value").distinct()
-    shared = written(shared.select("value", "copy", "n", "place", "size"), "near-shared")
-    sketches = first.select("copy", F.col("sketch").alias("data")).join(shared.select("copy").distinct(), "copy", "left_semi").dropDuplicates(["copy"])
+    list_of = Window.partitionBy("value")
+    counted = rows.withColumns({"size": F.count("*").over(list_of), "least": F.min("copy").over(list_of), "most": F.max("copy").over(list_of)})
+    return counted.where("least <> most").select("value", "copy", "n", "place", "size").distinct()
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one component yet."""
+    for end in ("a", "b"):
+        pairs = pairs.join(found.toDF(end, f"{end}_root"), end, "left")
+    return pairs.where("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b")
+
+
+def _components(docs: DataFrame, own: DataFrame, width: int, given: DataFrame | None = None) -> DataFrame:
+    """(node, root) of all copies that are linked but the roots. Given pairs (a, b) of copies are held against each other first."""
+    first = own.where("retained is not null")
+    shared = written(_shared(first), "near-shared")
+    wanted = shared.select("copy").distinct()
+    if given is not None:
+        wanted = wanted.union(given.select("a")).union(given.select("b")).distinct()
+    sketches = first.select("copy", F.col("sketch").alias("data")).join(wanted, "copy", "left_semi").dropDuplicates(["copy"])
     judge = _Judge(docs, written(sketches, "near-sketches"), width)
 
     small, large = shared.where(F.col("size") <= SMALL), shared.where(F.col("size") > SMALL).select("value", "copy", "n", "place")
     pairs = small.alias("x").join(small.alias("y"), "value").where("x.copy < y.copy").where(_possible("x", "y")).select(*_ends("x", "y"))
-    links = judge.links(pairs.union(_against_hubs(large, 0, 1)))
-    found = written(roots(links), "near-roots")
+    pairs = pairs.union(_against_hubs(large, 0, 1))
+    if given is None:
+        found = written(roots(judge.links(pairs)), "near-roots")
+    else:
+        links = judge.links(given)
+        links = links.union(judge.links(_apart(pairs.distinct(), roots(links))))
+        found = written(roots(links), "near-roots")
 
     turn, joined = 0, None
     while True:
@@ -288,11 +308,14 @@ def _components(docs: DataFrame, own: DataFrame, width: int) -> DataFrame:
             return found
 
 
-def components(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, copy, root (the component's own name) and component_id, the least doc_id that can be reached over links."""
+def components(docs: DataFrame, width: int, given: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_shingles, copy, root (the component's own name) and component_id, the least doc_id that can be reached over links.
+
+    Pairs (a, b) of copies that another method gives are verified like all candidates, before the lists.
+    """
     own = written(_own(docs, width), "near-own")
     firsts = written(own.groupBy("copy").agg(F.min("doc_id").alias("first_id")), "near-ids")
-    found = _components(docs, own, width)
+    found = _components(docs, own, width, given)
     members = found.union(found.select("root", "root").distinct()).join(firsts, F.col("node") == F.col("copy"))
     least = members.groupBy("root").agg(F.min("first_id").alias("least_id"))
     named = members.join(least, "root").select("copy", "root", "least_id")

@@ -160,13 +160,32 @@ def component_ids(docs: DataFrame) -> DataFrame:
     return components(docs).select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def near_pairs(docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of copies with words: each copy of a component of fingerprints with the least one, never all pairs."""
+
+    def run(batches: Batches):
+        for batch in batches:
+            texts = [x for x in text_bytes(batch) if x.split()]
+            copies = pa.array([bottom_k.copy_of(x.lower().split()) for x in texts], pa.int64())
+            found = np.array([fingerprint(x) for x in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([copies, pa.array(found)], ["copy", "simhash"])
+
+    own = written(docs.select("text").mapInArrow(run, "copy long, simhash long").distinct(), "simhash-copies")
+    linked = written(roots(links(own.select("simhash").distinct())), "simhash-roots")
+    rooted = own.join(linked, F.col("simhash") == F.col("node"), "left").select("copy", F.coalesce("root", "simhash").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("copy").alias("a"))
+    return written(rooted.join(least, "root").where("a <> copy").select("a", F.col("copy").alias("b")), "simhash-pairs")
+
+
 def kept(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies, that with the least doc_id, with all its columns.
 
-    Groups are those of bottom_k (five-word shingles, similarity 0.8), not of fingerprints; texts without words are one group. Of texts of
+    Two texts are near copies if their five-word shingles have a similarity of 0.8. The trees of fingerprints give the first
+    pairs, which are verified on the full sets; as few texts of that similarity are within two bits, the lists of bottom_k
+    give those between groups that are still apart. Texts without words are one group. Of texts of
     a group that share this doc_id the one of the least copy stays, and one of its rows; rows without doc_id stay if no row of their group has one.
     """
-    found = bottom_k.components(docs, 5)
+    found = bottom_k.components(docs, 5, near_pairs(docs))
     copy, first_id, first_copy = unused(docs, "copy", "first_id", "first_copy")
     first = found.where("doc_id = component_id").groupBy("root").agg(F.first("doc_id").alias(first_id), F.min("copy").alias(first_copy))
     here = (F.col("doc_id") == F.col(first_id)) & (F.col(copy) == F.col(first_copy))

@@ -70,6 +70,23 @@ def test_two_words(spark, docs, texts):
     assert found[len(texts) - 1].component_id == len(texts) - 1 and found[len(texts) - 2].component_id == len(texts) - 2
 
 
+def test_fingerprint_trees_come_first(spark, docs, texts, monkeypatch):
+    """The pipeline's stage takes pairs from the trees of fingerprints, verifies them, and leaves only the others to the lists."""
+    import corpus_pipeline
+
+    asked, judged = [], []
+    links, judge = simhash.links, bottom_k._Judge.links
+    monkeypatch.setattr(simhash, "links", lambda *a: asked.append(1) or links(*a))
+    monkeypatch.setattr(bottom_k._Judge, "links", lambda self, pairs: judged.append(judge(self, pairs)) or judged[-1])
+    frame = _frame(spark, texts)
+    found = corpus_pipeline.near_duplicate_stage(spark, frame, "")
+    assert {r.doc_id for r in found.collect()} == set(brute_least(texts))
+    near = {frozenset((r.a, r.b)) for r in simhash.near_pairs(frame).collect()}
+    first = {frozenset((r.a, r.b)) for r in judged[0].collect()}
+    assert asked and first and first <= near
+    assert all(first.isdisjoint({frozenset((r.a, r.b)) for r in x.collect()}) for x in judged[1:])
+
+
 def test_long_lists(spark, docs, monkeypatch):
     """A large group of edits of one text, of which many are linked to few others or to none, and a passage that all other texts hold."""
     monkeypatch.setattr(bottom_k, "SMALL", 1)
