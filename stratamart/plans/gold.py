@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,8 @@ REASON = "reject_reason"
 LOADABLE = "loadable"
 #: The partner rows that a candidate's outcome rests on, each as table:key.
 DEPENDS_ON = "depends_on"
+#: The silver row of a candidate that lacks a key.
+SOURCE = "source_row"
 
 
 def _not_rejected(df: DataFrame) -> DataFrame:
@@ -155,18 +158,25 @@ def _reasons(*tests: tuple[str, str]) -> Column:
     return reason.otherwise(LOADABLE)
 
 
+def _lost(whole: Sequence[str]) -> list[Column]:
+    """The columns `whole` of a candidate that is not loadable, if any are wanted."""
+    return [F.when(F.col(REASON) != LOADABLE, F.struct(*whole)).alias(SOURCE)] if whole else []
+
+
 def sales_candidates(
-    items: DataFrame, lookup: DataFrame, dim_product: DataFrame, dim_seller: DataFrame
+    items: DataFrame, lookup: DataFrame, dim_product: DataFrame, dim_seller: DataFrame, whole: Sequence[str] = ()
 ) -> DataFrame:
     """Items with their dimension keys and, where a key is lost, the reason.
 
     Left joins instead of inner ones, so that rows without a partner are counted in the same
     pass. The items are the left side throughout: where a product or an order holds a large
     share of them, Spark splits that side of the join at run time, and a dimension below the
-    broadcast threshold is not shuffled at all.
+    broadcast threshold is not shuffled at all. An item that lacks a key takes its columns `whole` along,
+    so that nobody has to join it to the items again.
     """
+    narrow = ("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
     keyed = (
-        items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
+        items.select(*dict.fromkeys((*narrow, *whole)))
         .join(lookup, "order_id", "left")
         .join(dim_product.select("product_id", "product_key"), "product_id", "left")
         .join(dim_seller.select("seller_id", "seller_key"), "seller_id", "left")
@@ -178,18 +188,17 @@ def sales_candidates(
         ("order_date_key", "No purchase date"),
     )
     rests_on = _rests_on(keyed, True, dim_product=("product_id", "product_key"), dim_seller=("seller_id", "seller_key"))
-    return keyed.withColumn(REASON, reason).select(*_attributes("fact_sales"), REASON, rests_on)
+    return keyed.withColumn(REASON, reason).select(*_attributes("fact_sales"), REASON, rests_on, *_lost(whole))
 
 
-def payment_candidates(payments: DataFrame, lookup: DataFrame) -> DataFrame:
-    keyed = payments.select(
-        "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"
-    ).join(lookup, "order_id", "left")
+def payment_candidates(payments: DataFrame, lookup: DataFrame, whole: Sequence[str] = ()) -> DataFrame:
+    narrow = ("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value")
+    keyed = payments.select(*dict.fromkeys((*narrow, *whole))).join(lookup, "order_id", "left")
     reason = _reasons(("customer_key", "No order or customer"), ("order_date_key", "No purchase date"))
-    return keyed.withColumn(REASON, reason).select(*_attributes("fact_payments"), REASON, _rests_on(keyed, True))
+    return keyed.withColumn(REASON, reason).select(*_attributes("fact_payments"), REASON, _rests_on(keyed, True), *_lost(whole))
 
 
-def delivery_candidates(delivery: DataFrame, customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def delivery_candidates(delivery: DataFrame, customers: DataFrame, dim_customer: DataFrame, whole: Sequence[str] = ()) -> DataFrame:
     """Deliveries with their customer and four date keys, each NULL where the date is."""
     keyed = delivery.join(_customers(customers, dim_customer), "customer_id", "left").withColumns(
         {
@@ -200,7 +209,7 @@ def delivery_candidates(delivery: DataFrame, customers: DataFrame, dim_customer:
         }
     )
     return keyed.withColumn(REASON, _reasons(("customer_key", "No customer"))).select(
-        *_attributes("fact_delivery"), REASON, _rests_on(keyed, False)
+        *_attributes("fact_delivery"), REASON, _rests_on(keyed, False), *_lost(whole)
     )
 
 
@@ -214,7 +223,7 @@ def loadable(candidates: DataFrame) -> DataFrame:
     complete = candidates
     for key in needed:
         complete = complete.where(F.col(key).isNotNull())
-    return complete.where(F.col(REASON) == LOADABLE).drop(REASON, DEPENDS_ON)
+    return complete.where(F.col(REASON) == LOADABLE).drop(REASON, DEPENDS_ON, SOURCE)
 
 
 def order_month(key: Column) -> Column:

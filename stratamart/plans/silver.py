@@ -11,6 +11,10 @@ from stratamart.functions.text import clean, state_code
 from stratamart.operators.latest import latest, newest_first
 from stratamart.operators.rules import CHECK, CUSTOMER, ESTIMATE, FLAGGED, PURCHASE, RULES, VALID, classify, flag
 from stratamart.schemas import LOAD_COLUMNS, SILVER
+from stratamart.sources.versions import slot
+
+#: A key with more rows than this in an increment is thinned out before the shuffle; so many keys of that kind are looked for.
+HOT_ROWS, HOT_KEYS = 100_000, 1_000
 
 _CONVERT = {"int": to_int, "money": to_decimal, "stamp": to_timestamp_ntz, "state": state_code}
 _CASE = {"lower": "lower", "upper": "upper", "state": "upper"}
@@ -34,11 +38,20 @@ def cleaned(bronze: DataFrame, table: str) -> DataFrame:
     return text.select(*typed, *unreadable, *load)
 
 
+def _order(rows: DataFrame, table: str) -> list[Column]:
+    return newest_first([c for c in rows.columns if c not in SILVER[table].keys and c not in ("load_datetime", "load_id")])
+
+
 def newest(rows: DataFrame, table: str) -> DataFrame:
     """Latest version of every key of the increment, before any rule looks at it."""
-    spec = SILVER[table]
-    ties = [c for c in rows.columns if c not in spec.keys and c not in ("load_datetime", "load_id")]
-    return latest(rows, spec.keys, newest_first(ties))
+    return latest(rows, SILVER[table].keys, _order(rows, table))
+
+
+def hot_keys(rows: DataFrame, table: str) -> list[int]:
+    """Hashes of the keys that most likely have more than HOT_ROWS rows, from a sketch of the key columns."""
+    seen = rows.select(F.xxhash64(*SILVER[table].keys).alias("_hash"))
+    found = seen.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(_hash, {HOT_KEYS}, {16 * HOT_KEYS})").alias("top")).first()
+    return [x["item"] for x in found.top if x["count"] > HOT_ROWS] if found.n > HOT_ROWS else []
 
 
 def judged(rows: DataFrame, table: str) -> DataFrame:
@@ -53,12 +66,22 @@ def build(bronze: DataFrame, table: str) -> DataFrame:
 
 
 def build_stored(bronze: DataFrame, table: str) -> DataFrame:
-    """What a load stores: the latest version of every complete key, and every row without one.
+    """What a load stores: the latest version of every complete key, and every row without one, dealt for storing.
 
-    Rows whose key has a NULL are not versions of each other; all of them are kept for the quarantine.
+    Rows whose key has a NULL are not versions of each other; all of them are kept for the quarantine. Keys
+    are ranked where they are dealt to, so a row moves once and no scan task sorts its rows. Only the rows of a hot key are
+    first thinned out by each map task; which keys are taken as hot decides how rows move and never which of them are kept.
     """
-    rows, complete = cleaned(bronze, table), complete_key(table)
-    return judged(newest(rows.where(complete), table).unionByName(rows.where(~complete)), table)
+    rows, complete, keys = cleaned(bronze, table), complete_key(table), list(SILVER[table].keys)
+    hot = hot_keys(rows.where(complete), table)
+    known = F.xxhash64(*keys).isin(hot)
+    whole = rows.where(complete & ~known) if hot else rows.where(complete)
+    placed = whole.withColumn("_slot", slot(keys)).repartition("_slot")
+    kept = latest(placed, ["_slot", *keys], _order(rows, table)).drop("_slot")
+    if hot:
+        kept = kept.unionByName(newest(rows.where(complete & known), table).repartition(slot(keys)))
+    apart = rows.where(~complete).repartition(slot(rows.columns))
+    return judged(kept.unionByName(apart), table)
 
 
 def complete_key(table: str) -> Column:

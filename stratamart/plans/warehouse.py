@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 from collections import Counter
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import partial, reduce
@@ -267,18 +267,18 @@ class Warehouse:
                 self.ledger.commit(f"silver_{name}", None, loads, mark)
                 return run.summary()
             judged = refined.build_delivery(source) if name == "delivery" else refined.build_stored(source, name)
-            noted = self._write_changes(name, judged, run)
+            noted = self._write_changes(name, judged, run, dealt=name != "delivery")
             self.ledger.commit(f"silver_{name}", run.run_id, loads, mark, seen=noted)
             return run.summary()
 
-    def _write_changes(self, name: str, judged: DataFrame, run: Run) -> dict:
+    def _write_changes(self, name: str, judged: DataFrame, run: Run, dealt: bool) -> dict:
         """Store the judged rows by status, count them there, and mark what the accepted ones replace.
 
         A load writes what it brings and nothing else, and of the stored rows it reads only keys, from
         files that may hold one of its own.
         """
         kept = self._versions("silver", name)
-        stored = kept.write(judged, run.run_id)
+        stored = kept.write(judged, run.run_id, dealt)
         whole_key = refined.complete_key(name)
         summary = stored.groupBy(STATUS, whole_key.alias("complete")).count().collect()
         by_status = Counter({row[STATUS]: row["count"] for row in summary if row.complete})
@@ -522,8 +522,11 @@ class Warehouse:
         rows = kept.current(versions, files)
         return (rows, False) if files is None else (rows.join(ids, kept.keys, "left_semi"), True)
 
-    def _star_join(self, name: str, rows: DataFrame, few: bool = False) -> DataFrame:
-        """Rows with their dimension keys. Few rows, which should be a stored table, read only the partner files that may concern them."""
+    def _star_join(self, name: str, rows: DataFrame, few: bool = False, whole: Sequence[str] = ()) -> DataFrame:
+        """Rows with their dimension keys, those that lack one with their own columns `whole`.
+
+        Few rows, which should be a stored table, read only the partner files that may concern them.
+        """
 
         def near(layer: str, partner: str, of: DataFrame, column: str, pruned: bool) -> tuple[DataFrame, bool]:
             return self._near(layer, partner, of.select(column) if pruned else None)
@@ -531,15 +534,15 @@ class Warehouse:
         if name == "fact_delivery":
             customers, pruned = near("silver", "customers", rows, "customer_id", few)
             dim_customer, _ = near("gold", "dim_customer", customers, "customer_unique_id", pruned)
-            return star.delivery_candidates(rows, customers, dim_customer)
+            return star.delivery_candidates(rows, customers, dim_customer, whole)
         orders, pruned = near("silver", "orders", rows, "order_id", few)
         customers, pruned = near("silver", "customers", orders, "customer_id", pruned)
         dim_customer, _ = near("gold", "dim_customer", customers, "customer_unique_id", pruned)
         lookup = star.order_lookup(orders, customers, dim_customer)
         if name == "fact_payments":
-            return star.payment_candidates(rows, lookup)
+            return star.payment_candidates(rows, lookup, whole)
         dims = [near("gold", f"dim_{x}", rows, f"{x}_id", few)[0] for x in ("product", "seller")]
-        return star.sales_candidates(rows, lookup, *dims)
+        return star.sales_candidates(rows, lookup, *dims, whole)
 
     def _few(self, name: str, commits: list) -> bool:
         """Whether the rows that a fact has not seen are so few that reading their partners by key pays."""
@@ -554,7 +557,8 @@ class Warehouse:
     def _staged(self, name: str, version: int) -> DataFrame:
         """Candidates of one fact load, by outcome."""
         columns = [f for f in GOLD[name].schema.fields if f.name != GOLD[name].surrogate]
-        schema = T.StructType(columns + [T.StructField(star.REASON, TEXT), _DEPENDS_ON])
+        source = T.StructField(star.SOURCE, SILVER[FACT_SOURCE[name]].schema)
+        schema = T.StructType(columns + [T.StructField(star.REASON, TEXT), _DEPENDS_ON, source])
         return self.spark.read.schema(schema).parquet(f"{self.root}/staging/{name}/version={version}")
 
     def load_fact(self, name: str, refresh: bool = False) -> dict:
@@ -580,13 +584,14 @@ class Warehouse:
             few = not refresh and self._few(name, commits)
             rows, tried = (self.silver(FACT_SOURCE[name]), None) if refresh else self._to_try(name, commits)
             rows = self._kept(rows, "to-try") if few else rows
-            self._star_join(name, rows, few).write.mode("overwrite").parquet(f"{self.root}/staging/{name}/version={run.run_id}")
+            whole = SILVER[FACT_SOURCE[name]].schema.fieldNames()
+            self._star_join(name, rows, few, whole).write.mode("overwrite").parquet(f"{self.root}/staging/{name}/version={run.run_id}")
             staged = self._staged(name, run.run_id)
             by_reason = {r[star.REASON]: r["count"] for r in staged.groupBy(star.REASON).count().collect()}
             n_loadable = by_reason.pop(star.LOADABLE, 0)
             if not held and not n_loadable:
                 raise EmptySource(f"{name} source returned zero rows; check its dimension and order joins")
-            left, run.rows_rejected = self._write_left_out(spec, run.run_id, rows, staged, tried, refresh, before)
+            left, run.rows_rejected = self._write_left_out(spec, run.run_id, staged, tried, refresh, before)
             if refresh:
                 self._rebuild_fact(spec, star.loadable(staged), held, run)
             elif n_loadable:
@@ -599,12 +604,12 @@ class Warehouse:
             self.ledger.commit(f"gold_{name}", version, sorted(loads - done), max(loads, default=0), whole=refresh, seen=state)
             return run.summary()
 
-    def _write_left_out(self, spec, version: int, rows: DataFrame, staged: DataFrame, tried: DataFrame | None, refresh: bool, before: int) -> tuple[dict | None, int]:
+    def _write_left_out(self, spec, version: int, staged: DataFrame, tried: DataFrame | None, refresh: bool, before: int) -> tuple[dict | None, int]:
         """Store the rows that this load leaves out and mark those it tried; notes for the commit and how many are left out now."""
         keys, kept = list(spec.keys), self._left_versions(spec.name)
-        lost = staged.where(F.col(star.REASON) != star.LOADABLE).select(*keys, star.DEPENDS_ON)
+        lost = staged.where(F.col(star.REASON) != star.LOADABLE).select(f"{star.SOURCE}.*", star.DEPENDS_ON)
         lost = insert_absent(self.gold(spec.name), lost, keys) if refresh else lost
-        stored = kept.write(rows.join(lost, keys).select(*kept.schema.fieldNames()), version)
+        stored = kept.write(lost.select(*kept.schema.fieldNames()), version)
         n = stored.count()
         noted = kept.settle(version, stored, n, [], newer="source_load_id")[0]
         gone = 0

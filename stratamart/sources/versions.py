@@ -30,6 +30,8 @@ from stratamart.sources.ledger import no_rows
 REPLACED, STALE, UPDATED = "replaced", "stale", "updated"
 #: Rows of a file that one bitmap covers: as many as Spark's bitmaps have bits.
 BUCKET = 1 << 15
+#: Words of 64 bits that one row of a bitmap in the making holds.
+BLOCK_WORDS = 16
 MARKS_BROADCAST = 64 << 20
 KEYS_PER_PAGE, PROBES = 3_000, 4
 #: An increment with more than this share of the stored keys reads all files without asking the filters.
@@ -74,6 +76,33 @@ def bit(bits: str, position: str) -> Column:
     return F.expr(f"shiftright({byte}, cast(({position}) % 8 as int)) % 2 = 1")
 
 
+def bitmaps(rows: DataFrame, at: list[str], position: str) -> DataFrame:
+    """A row for each group of `at` with the bitmap `bits` of the positions, below BUCKET, that its rows have.
+
+    Bits are put together by a hash aggregate in blocks of BLOCK_WORDS words, so what a task holds grows with the bitmaps and not
+    with the rows. Spark's own aggregate for bitmaps would sort a row for each position, and spill.
+    """
+    # the first byte of a word is the highest of its number, as hex() writes it
+    spread = rows.select(*at, F.expr(f"cast({position} as int)").alias("_at")).select(
+        *at,
+        F.expr(f"_at div {64 * BLOCK_WORDS}").cast("int").alias("_block"),
+        F.expr(f"(_at div 64) % {BLOCK_WORDS}").cast("int").alias("_word"),
+        F.expr("shiftleft(1L, (_at & 63) ^ 56)").alias("_bit"),
+    )
+    words = [F.bit_or(F.when(F.col("_word") == i, F.col("_bit")).otherwise(F.lit(0).cast("long"))).alias(f"_w{i}") for i in range(BLOCK_WORDS)]
+    blocks = spread.groupBy(*at, "_block").agg(*words)
+    packed = F.unhex(F.concat(*(F.lpad(F.hex(f"_w{i}"), 16, "0") for i in range(BLOCK_WORDS))))
+    listed = blocks.groupBy(*at).agg(F.sort_array(F.collect_list(F.struct("_block", packed.alias("_bytes")))).alias("_blocks"))
+    gap = "x._block - if(i = 0, -1, _blocks[i - 1]._block) - 1"
+    joined = f"array_join(transform(_blocks, (x, i) -> concat(repeat('0', {16 * BLOCK_WORDS} * ({gap})), hex(x._bytes))), '')"
+    return listed.select(*at, F.expr(f"unhex(rpad({joined}, {BUCKET // 4}, '0'))").alias("bits"))
+
+
+def slot(keys: list[str]) -> Column:
+    """One of 4,096 places that rows are dealt to by the hash of their keys; the leading bits of it name their page."""
+    return F.shiftrightunsigned(F.xxhash64(*keys), 52)
+
+
 def _page(depth: int) -> Column:
     return F.shiftrightunsigned("_hash", 64 - depth) if depth else F.lit(0).cast("long")
 
@@ -173,30 +202,30 @@ class Versions:
         probes = F.explode(F.array(*(_probe(i) for i in range(PROBES)))).alias("probe")
         hashed = rows.select("_part", "_file", F.xxhash64(*self.keys).alias("_hash"))
         spread = hashed.select(_page(depth).alias("page"), F.col("_part").alias("f_part"), F.col("_file").alias("f_file"), probes)
-        pages = spread.groupBy("page", "f_part", "f_file").agg(F.bitmap_construct_agg("probe").alias("bits"))
+        pages = bitmaps(spread, ["page", "f_part", "f_file"], "probe")
         pages.select(F.lit(depth).alias("depth"), "page", "f_part", "f_file", "bits").write.mode("overwrite").parquet(f"{self.filters_folder}/version={version}")
         return depth
 
     # -- writers -------------------------------------------------------------------------------
 
-    def write(self, rows: DataFrame, version: int) -> DataFrame:
-        """Write a version, dealt by the hash of its keys; the rows as they lie there.
+    def write(self, rows: DataFrame, version: int, dealt: bool = False) -> DataFrame:
+        """Write a version, dealt by the hash of its keys unless that is done; the rows as they lie there.
 
         Rows without a whole key are dealt by all their columns, so that they don't meet in one file.
         """
         whole = F.lit(True)
         for key in self.keys:
             whole = whole & F.col(key).isNotNull()
-        spread = F.when(whole, F.xxhash64(*self.keys)).otherwise(F.xxhash64(*rows.columns))
-        writer = rows.repartition(F.shiftrightunsigned(spread, 52)).write.mode("overwrite")
+        place = F.when(whole, slot(self.keys)).otherwise(slot(rows.columns))
+        writer = (rows if dealt else rows.repartition(place)).write.mode("overwrite")
         (writer.partitionBy(self.part) if self.part else writer).parquet(f"{self.folder}/version={version}")
         return self.stored([Row(version=version)])
 
     def mark(self, version: int, places: DataFrame) -> tuple[int, dict[str, int]]:
         """Store marks for (kind, *PLACE); the number of bitmaps and of rows of each kind."""
         bucket = F.floor(F.col("_row") / BUCKET).cast("long")
-        found = places.groupBy("kind", *(F.col(f"_{x}").alias(f"m_{x}") for x in ("version", "part", "file")), bucket.alias("m_bucket"))
-        bits = found.agg(F.bitmap_construct_agg(F.col("_row") % BUCKET).alias("bits"))
+        found = places.select("kind", *(F.col(f"_{x}").alias(f"m_{x}") for x in ("version", "part", "file")), bucket.alias("m_bucket"), "_row")
+        bits = bitmaps(found, ["kind", "m_version", "m_part", "m_file", "m_bucket"], f"_row % {BUCKET}")
         folder = f"{self.marks_folder}/version={version}"
         bits.write.mode("overwrite").parquet(folder)
         written = self.spark.read.schema(_MARKS).parquet(folder)
