@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 from collections import Counter
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import partial, reduce
@@ -459,7 +459,7 @@ class Warehouse:
         commits, columns = self.ledger.commits(f"gold_{name}"), SILVER[FACT_SOURCE[name]].schema.fieldNames()
         rows, tried = self._to_try(name, commits)
         waiting = self._left_out(name, commits).join(tried, list(PLACE), "left_anti")
-        return self._star_join(name, rows.unionByName(waiting.select(*columns)))
+        return self._star_join(name, rows.unionByName(waiting.select(*columns))).drop(star.SOURCE)
 
     def _left_versions(self, name: str) -> Versions:
         source = SILVER[FACT_SOURCE[name]]
@@ -522,11 +522,12 @@ class Warehouse:
         rows = kept.current(versions, files)
         return (rows, False) if files is None else (rows.join(ids, kept.keys, "left_semi"), True)
 
-    def _star_join(self, name: str, rows: DataFrame, few: bool = False, whole: Sequence[str] = ()) -> DataFrame:
-        """Rows with their dimension keys, those that lack one with their own columns `whole`.
+    def _star_join(self, name: str, rows: DataFrame, few: bool = False) -> DataFrame:
+        """Rows with their dimension keys, those that lack one with all their own columns.
 
         Few rows, which should be a stored table, read only the partner files that may concern them.
         """
+        whole = SILVER[FACT_SOURCE[name]].schema.fieldNames()
 
         def near(layer: str, partner: str, of: DataFrame, column: str, pruned: bool) -> tuple[DataFrame, bool]:
             return self._near(layer, partner, of.select(column) if pruned else None)
@@ -584,8 +585,7 @@ class Warehouse:
             few = not refresh and self._few(name, commits)
             rows, tried = (self.silver(FACT_SOURCE[name]), None) if refresh else self._to_try(name, commits)
             rows = self._kept(rows, "to-try") if few else rows
-            whole = SILVER[FACT_SOURCE[name]].schema.fieldNames()
-            self._star_join(name, rows, few, whole).write.mode("overwrite").parquet(f"{self.root}/staging/{name}/version={run.run_id}")
+            self._star_join(name, rows, few).write.mode("overwrite").parquet(f"{self.root}/staging/{name}/version={run.run_id}")
             staged = self._staged(name, run.run_id)
             by_reason = {r[star.REASON]: r["count"] for r in staged.groupBy(star.REASON).count().collect()}
             n_loadable = by_reason.pop(star.LOADABLE, 0)
