@@ -24,12 +24,16 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from stratamart.llm.common import Batches, Cache
+from stratamart.llm.common import Batches, Cache, latin
 
 LEAF_BYTES = 4
 FIRST_WINDOW = 2
 #: Parts and windows up to this length are remembered.
 _SHORT = 12
+#: A single match is remembered up to this length.
+_LONGEST = 64
+#: Signs that, after letters, are a match of their own.
+_TRAILING = ".,;:!?*&$%#"
 #: A space between two other characters, of which neither is white space, always begins a match.
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -41,7 +45,7 @@ class TreeBpe:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.stable = Cache(lambda pair: self.merged(pair[0] + pair[1]) == [*pair], 100_000)
-        self.windows, self.trees = Cache(self._merged, 60_000), Cache(self.tree, 60_000)
+        self.windows, self.trees = Cache(self._merged, 100_000), Cache(self.tree, 100_000)
         self.joins = 0
 
     def merged(self, data: bytes) -> list[bytes]:
@@ -121,26 +125,34 @@ class Stretches:
             return b"".join(map(written.__getitem__, ids)), bpe.decode(ids)
 
         written = [b"%d " % i for i in range(len(bpe.ranks))]
-        matches, cut = Cache(of_match, 100_000), bpe.pattern.findall
+        matches, cut = Cache(of_match, 200_000), bpe.pattern.findall
 
         def made(stretch: str) -> tuple[bytes, bytes]:
             found = cut(stretch)
             if len(found) == 1:
-                return of_match(stretch)
+                return matches[stretch] if len(stretch) <= _LONGEST else of_match(stretch)
             ids, decoded = zip(*map(matches.__getitem__, found), strict=True)
             return b"".join(ids), b"".join(decoded)
 
         def spaced(word: str) -> tuple[bytes, bytes]:
-            return UNSAFE if not word or word[0].isspace() or word[-1].isspace() else made(" " + word)
-
-        self.any, self.spaced = Cache(made, 20_000), Cache(spaced, 120_000)
+            if not word or word[0].isspace() or word[-1].isspace():
+                return UNSAFE
+            stem = word.rstrip(_TRAILING)
+            if not latin(stem):
+                return made(" " + word)
+            if len(stem) == len(word):
+                return matches[" " + word]
+            (ids, decoded), (own, signs) = matches[" " + stem], matches[word[len(stem) :]]
+            return ids + own, decoded + signs
+
+        self.any, self.spaced = Cache(made, 20_000), Cache(spaced, 200_000)
 
     def of(self, text: str) -> list[tuple[bytes, bytes]]:
         if not text:
             return []
         first, *words = text.split(" ")
         if first and not first[-1].isspace():
-            parts = [self.spaced[x] for x in words]
+            parts = list(map(self.spaced.__getitem__, words))
             if UNSAFE not in parts:
                 return [self.any[first], *parts]
         first, *words = _SAFE.split(text)

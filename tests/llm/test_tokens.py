@@ -188,3 +188,13 @@ def test_packing(docs, rows, own):
 def test_packing_without_documents_or_ids(no_docs, nameless):
     assert packing.pack(no_docs, WORDS).collect() == []
     assert sorted(str(r.doc_id) for r in packing.pack(nameless, WORDS).collect()) == ["7", "None", "None"]
+
+
+def test_a_word_is_encoded_once_whatever_signs_follow(monkeypatch):
+    bpe = byte_bpe.TreeBpe(byte_bpe.vocabulary(BYTES, public_tokenizers.PATTERN).ranks, public_tokenizers.PATTERN)
+    asked, tree = [], bpe.tree
+    monkeypatch.setattr(bpe, "tree", lambda data: asked.append(data) or tree(data))
+    text = "a qwrtzpsd qwrtzpsd, qwrtzpsd. qwrtzpsd!? x\nqwrtzpsd qwrtzpsd's qwrtzpsd1 qwrtzpsd́"
+    parts = byte_bpe.Stretches(bpe).of(text)
+    assert asked.count(b" qwrtzpsd") == 1
+    assert b"".join(ids for ids, _ in parts).split() == [b"%d" % i for i in bpe.encode(text)] and b"".join(x for _, x in parts) == text.encode()
