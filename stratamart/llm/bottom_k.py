@@ -9,14 +9,17 @@ then by hash. A text of n shingles retains the bottom floor(n / 5) + 1. Two sets
 4 * union have a common value among those of both, whatever the order, so the inverted lists
 of the retained values hold every link; the counters only keep frequent passages out of them.
 
-Overlaps. Values that two texts retain give candidates, if sizes and places leave a link possible. In a list
-of at most SMALL texts all pairs are candidates. In a longer list, each text is held against one hub of the
+Overlaps. Values that two texts retain give candidates, if sizes, places and marks leave a link possible. In a list
+of at most SMALL texts all such pairs are candidates. In a longer list, each text is held against one hub of the
 list; then, round by round, against new hubs in another component than its own. When few pairs remain that
 lie in two components, or hubs link few more, exactly those are taken. Only which texts belong together is asked for,
 so pairs within a component needn't be compared, and none that could join two components is left out.
 
-Estimate. The bottom SKETCH hashes, of 32 bits, of a candidate pair's union are a random sample of it. If less than
-half of them are shared, the pair is dropped; at a similarity of 0.8 that happens with a chance of 4e-13.
+Estimates. A text's MARKS marks are a bit each of the least value under as many orders, and go into the lists with it. Texts that share
+a passage or a few words by chance differ in nearly half of their marks, so such pairs never leave their list; at a similarity of
+0.8 a tenth differ, and more than MARKS_APART with a chance of 2e-14. The bottom SKETCH hashes, of 32 bits, of a candidate
+pair's union are a random sample of it. If less than half of them are shared, the pair is dropped; at a similarity of 0.8
+that happens with a chance of 4e-13.
 
 Verification. What is left is compared on the full sets, made from the texts.
 
@@ -41,11 +44,17 @@ from stratamart.llm.components import roots
 
 SKETCH = 128
 SMALL = 32
+MARKS, MARKS_APART = 128, 44
+SIEVE = 1 << 26
 SEED = 42
 COUNTERS, _SLICES = 1 << 23, 64
 _SHIFT = np.uint64(41)  # a hash's upper 23 bits are its counter
 #: A longer list gets this many new hubs in each further round.
 _HUBS = 4
+_ORDERS = np.random.Generator(np.random.PCG64(SEED)).integers(0, 1 << 31, MARKS, np.uint32) * np.uint32(2) + np.uint32(1)
+_AT_ONCE = 4_096
+#: Lists are named by 40 bits of their value; where two share a name, some pairs more are compared.
+_LISTED = np.uint64(0xFFFFFFFFFF000000)
 _SPLIT = 1_000
 _SEEN = 100_000
 
@@ -81,9 +90,20 @@ def likely(a: np.ndarray, b: np.ndarray) -> bool:
     return 2 * int(np.searchsorted(both, union[-1], "right")) >= len(union) if len(union) else False
 
 
-def copy_of(words: list[bytes]) -> int:
-    """The hash of the words as a signed number."""
-    value = xxhash.xxh3_64_intdigest(b" ".join(words), SEED)
+def marks(values: np.ndarray) -> np.ndarray:
+    """MARKS bits as two signed numbers: of the least value in each order a bit of its hash."""
+    own, least = (values >> np.uint64(32)).astype(np.uint32) | np.uint32(1), np.full(MARKS, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(own), _AT_ONCE):
+        np.minimum(least, (own[at : at + _AT_ONCE, None] * _ORDERS).min(0), out=least)
+    for factor, shift in ((0x85EBCA6B, 13), (0xC2B2AE35, 16)):
+        least = (least ^ (least >> np.uint32(16))) * np.uint32(factor)
+        least ^= least >> np.uint32(shift)
+    return np.packbits((least & np.uint32(1)).astype(np.uint8), bitorder="little").view("<i8")
+
+
+def copy_of(words: list[bytes] | bytes) -> int:
+    """The hash of the words, in a list or joined by spaces, as a signed number."""
+    value = xxhash.xxh3_64_intdigest(words if isinstance(words, bytes) else b" ".join(words), SEED)
     return value - (1 << 64) if value >> 63 else value
 
 
@@ -121,13 +141,13 @@ def retained(values: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 def _own(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, copy and size of each row's set; sketch and retained values where a task meets a copy first."""
+    """doc_id, copy and size of each row's set; marks and retained values where a task meets a copy first."""
     classes = docs.sparkSession.sparkContext.broadcast(rarity(docs, width))
 
     def run(batches: Batches):
         seen = set()
         for batch in batches:
-            copies, sizes, sketches, values = [], [], [], []
+            copies, sizes, marked, values = [], [], [], []
             for text in text_bytes(batch):
                 words = text.lower().split()
                 found = shingles(words, width)
@@ -135,29 +155,48 @@ def _own(docs: DataFrame, width: int) -> DataFrame:
                 sizes.append(len(found))
                 first = len(found) > 0 and copy not in seen
                 seen.add(copy)
-                sketches.append(sketch(found).tobytes() if first else None)
-                values.append(retained(found, classes.value).view(np.int64) if first else None)
+                marked.append(marks(found).tolist() if first else (None, None))
+                values.append((retained(found, classes.value) & _LISTED).view(np.int64) if first else None)
             if len(seen) > _SEEN:
                 seen.clear()
             columns = [batch.column("doc_id").cast(pa.int64()), pa.array(copies, pa.int64()), pa.array(sizes, pa.int64())]
-            columns += [pa.array(sketches, pa.binary()), pa.array(values, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "copy", "n", "sketch", "retained"])
+            columns += [pa.array([x[i] for x in marked], pa.int64()) for i in range(2)]
+            columns.append(pa.array(values, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "copy", "n", "marks", "marks2", "retained"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, copy long, n long, marks long, marks2 long, retained array<long>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, copy long, n long, sketch binary, retained array<long>")
+def _sieve(wanted: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+    """Which copies may be wanted: a bit for each, at most SIEVE bits for all; joins need to move few others then."""
+    bits = max(64, min(SIEVE, 1 << (16 * wanted.count()).bit_length()))
+    at = F.col("copy").bitwiseAND(bits - 1)
+    words = wanted.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(copy & 63))")).alias("bits")).toArrow()
+    table = np.zeros(bits // 64, np.uint64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    known = wanted.sparkSession.sparkContext.broadcast(table)
+
+    def passes(copies: np.ndarray) -> np.ndarray:
+        at = copies.view(np.uint64) & np.uint64(bits - 1)
+        return (known.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+    return passes
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """copy and its words, once each, for the wanted copies."""
+    passes = _sieve(wanted)
 
     def run(batches: Batches):
         seen = set()
         for batch in batches:
+            joined = [b" ".join(x.lower().split()) for x in text_bytes(batch)]
+            copies = np.array([copy_of(x) for x in joined], np.int64)
             found = {}
-            for text in text_bytes(batch):
-                words = text.lower().split()
-                if (copy := copy_of(words)) not in seen:
+            for i in np.flatnonzero(passes(copies)).tolist():
+                if (copy := int(copies[i])) not in seen:
                     seen.add(copy)
-                    found[copy] = b" ".join(words)
+                    found[copy] = joined[i]
             if len(seen) > _SEEN:
                 seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.binary())], ["copy", "data"])
@@ -195,36 +234,51 @@ def _held(pairs: DataFrame, known: DataFrame, read: Callable, judge: Callable, l
 class _Judge:
     """Estimates and verifies candidates, and remembers which were held against each other."""
 
-    def __init__(self, docs: DataFrame, sketches: DataFrame, width: int):
-        self.docs, self.sketches, self.width, self.done = docs, sketches, width, None
+    def __init__(self, docs: DataFrame, width: int):
+        self.docs, self.width, self.done = docs, width, None
 
     def links(self, candidates: DataFrame) -> DataFrame:
         width = self.width
+
+        def read(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+            found = shingles(data.split(), width)
+            return sketch(found), found
+
         new = candidates.distinct()
         if self.done is not None:
             new = new.join(self.done, ["a", "b"], "left_anti")
         new = written(new, "near-candidates")
         self.done = new if self.done is None else self.done.union(new)
-        near = _held(new, self.sketches, lambda x: np.frombuffer(x, "<u4"), likely, "near-likely")
-        both = near.select(F.col("a").alias("copy")).union(near.select("b")).distinct()
+        both = written(new.select(F.col("a").alias("copy")).union(new.select("b")).distinct(), "near-wanted")
         texts = written(_texts(self.docs, both), "near-texts")
-        return _held(near, texts, lambda x: shingles(x.split(), width), linked, "near-links")
+        return _held(new, texts, read, lambda x, y: likely(x[0], y[0]) and linked(x[1], y[1]), "near-links")
+
+
+def _of(member: str | Column, *names: str) -> list[Column]:
+    """Columns of a row that goes by a name, or fields of a struct."""
+    return [F.col(f"{member}.{x}") if isinstance(member, str) else member[x] for x in names]
 
 
-def _possible(a: str, b: str) -> Column:
+def _possible(a: str, b: str | Column) -> Column:
     """Whether a pair may be linked if this is its first common value.
 
     What lies before it isn't shared, so the intersection has at most the rest of the shorter remainder, and 5 * intersection
     >= 4 * union is 9 * intersection >= 4 * (both sizes).
     """
-    n_a, n_b, at_a, at_b = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.place", f"{b}.place"))
+    (n_a, at_a), (n_b, at_b) = _of(a, "n", "place"), _of(b, "n", "place")
     return 9 * F.least(n_a - at_a, n_b - at_b) >= 4 * (n_a + n_b)
 
 
-def _sized(a: str, b: str) -> Column:
-    """Whether the sizes alone leave room for a link."""
-    n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return 5 * F.least(n_a, n_b) >= 4 * F.greatest(n_a, n_b)
+def _placed(a: str, b: str) -> Column:
+    """Whether a pair may be linked if this is any common value: before it and from it on the lesser number may be shared."""
+    (n_a, at_a), (n_b, at_b) = _of(a, "n", "place"), _of(b, "n", "place")
+    return 9 * (F.least(at_a, at_b) + F.least(n_a - at_a, n_b - at_b)) >= 4 * (n_a + n_b)
+
+
+def _alike(a: str, b: str | Column) -> Column:
+    """Whether the marks leave a link possible, but for a chance of 2e-14."""
+    both = zip(_of(a, "marks", "marks2"), _of(b, "marks", "marks2"), strict=True)
+    return sum(F.bit_count(x.bitwiseXOR(y)) for x, y in both) <= MARKS_APART
 
 
 def _ends(a: str, b: str) -> list[Column]:
@@ -235,11 +289,11 @@ def _ends(a: str, b: str) -> list[Column]:
 def _against_hubs(members: DataFrame, salt: int, hubs: int) -> DataFrame:
     """Each member of a list with the list's hubs, in another component if there are any yet."""
     rooted = "root" in members.columns
-    hub = F.struct(F.xxhash64("value", "copy", "salt").alias("by"), "copy", "n", "place", *(["root"] if rooted else []))
+    hub = F.struct(F.xxhash64("value", "copy", "salt").alias("by"), "copy", "n", "place", "marks", "marks2", *(["root"] if rooted else []))
     salted = members.withColumn("salt", F.explode(F.array(*(F.lit(salt * _HUBS + i) for i in range(hubs))))) if hubs > 1 else members.withColumn("salt", F.lit(salt * _HUBS))
     least = salted.groupBy("value", "salt").agg(F.min(hub).alias("hub")).select("value", "hub.*").drop("by").distinct()
     pairs = members.alias("x").join(least.alias("y"), "value").where("x.copy <> y.copy" + " and x.root <> y.root" * rooted)
-    return pairs.where(_sized("x", "y")).select(*_ends("x", "y"))  # a hub's value need not be the first in common
+    return pairs.where(_placed("x", "y") & _alike("x", "y")).select(*_ends("x", "y"))  # a hub's value need not be the first in common
 
 
 def _spread(named: DataFrame) -> tuple[DataFrame, int, int]:
@@ -252,11 +306,22 @@ def _spread(named: DataFrame) -> tuple[DataFrame, int, int]:
 
 
 def _shared(first: DataFrame) -> DataFrame:
-    """The retained values of at least two copies, with the size of their list; each retained value is moved once."""
-    rows = first.select(F.posexplode("retained").alias("place", "value"), "copy", "n")
+    """Of the retained values of at least two copies: in short lists the rows with the copies before them that may be linked, in
+    longer ones all rows.
+
+    Each retained value is moved once; short lists are paired where they lie.
+    """
+    rows = first.select("copy", "n", "marks", "marks2", F.posexplode("retained").alias("place", "value"))
+    packed = F.shiftleft("n", 32).bitwiseOR(F.col("place").cast("long")).alias("packed")  # these rows are most of what is moved
+    rows = rows.select(packed, "value", "copy", "marks", "marks2").repartition("value")
+    rows = rows.withColumns({"n": F.shiftright("packed", 32), "place": F.col("packed").bitwiseAND(0xFFFFFFFF)}).drop("packed")
     list_of = Window.partitionBy("value")
     counted = rows.withColumns({"size": F.count("*").over(list_of), "least": F.min("copy").over(list_of), "most": F.max("copy").over(list_of)})
-    return counted.where("least <> most").select("value", "copy", "n", "place", "size").distinct()
+    members = counted.where("least <> most").select("value", "copy", "n", "place", "marks", "marks2", (F.col("size") <= SMALL).alias("short")).distinct()
+    before = F.collect_list(F.struct("copy", "n", "place", "marks", "marks2")).over(list_of.orderBy("value").rowsBetween(1 - SMALL, -1))
+    x = members.withColumn("before", F.when(F.col("short"), before)).alias("x")
+    near = F.transform(F.filter("x.before", lambda y: _possible("x", y) & _alike("x", y)), lambda y: y["copy"])
+    return x.withColumn("near", near).drop("before").where("not short or size(near) > 0")
 
 
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -270,14 +335,9 @@ def _components(docs: DataFrame, own: DataFrame, width: int, given: DataFrame |
     """(node, root) of all copies that are linked but the roots. Given pairs (a, b) of copies are held against each other first."""
     first = own.where("retained is not null")
     shared = written(_shared(first), "near-shared")
-    wanted = shared.select("copy").distinct()
-    if given is not None:
-        wanted = wanted.union(given.select("a")).union(given.select("b")).distinct()
-    sketches = first.select("copy", F.col("sketch").alias("data")).join(wanted, "copy", "left_semi").dropDuplicates(["copy"])
-    judge = _Judge(docs, written(sketches, "near-sketches"), width)
-
-    small, large = shared.where(F.col("size") <= SMALL), shared.where(F.col("size") > SMALL).select("value", "copy", "n", "place")
-    pairs = small.alias("x").join(small.alias("y"), "value").where("x.copy < y.copy").where(_possible("x", "y")).select(*_ends("x", "y"))
+    judge = _Judge(docs, width)
+    found = shared.where("short").select("copy", F.explode("near").alias("other"))
+    pairs, large = found.select(F.least("copy", "other").alias("a"), F.greatest("copy", "other").alias("b")), shared.where("not short").drop("short", "near")
     pairs = pairs.union(_against_hubs(large, 0, 1))
     if given is None:
         found = written(roots(judge.links(pairs)), "near-roots")
@@ -297,7 +357,7 @@ def _components(docs: DataFrame, own: DataFrame, width: int, given: DataFrame |
         last = apart <= 2 * n_rows or (joined is not None and 100 * joined < n_rows)
         if last:
             strays = here.where("root <> largest")  # a pair of two strays comes up twice, which distinct() undoes
-            rest = strays.alias("x").join(here.alias("y"), "value").where("x.root <> y.root").where(_possible("x", "y"))
+            rest = strays.alias("x").join(here.alias("y"), "value").where("x.root <> y.root").where(_possible("x", "y") & _alike("x", "y"))
             new = judge.links(rest.select(*_ends("x", "y")))
         else:
             new = judge.links(_against_hubs(here, turn, _HUBS))

@@ -117,6 +117,28 @@ def test_sketches(spark):
     assert not bottom_k.likely(*map(bottom_k.sketch, far))
 
 
+def test_texts_that_share_a_little_by_chance_never_leave_their_lists(spark, docs, monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(25)}" for _ in range(60)) for _ in range(300)]
+    texts += [edited(rng, x, 1) for x in texts[:20]]
+    asked, held = [], bottom_k._held
+    monkeypatch.setattr(bottom_k, "_held", lambda pairs, *a: asked.append(pairs.count()) or held(pairs, *a))
+    found = {r.doc_id: r.component_id for r in bottom_k.components(_frame(spark, texts), 2).collect()}
+    assert found == dict(enumerate(brute_least(texts, 2))) and len(set(found.values())) == 300
+    assert max(asked) < 100, "candidates don't grow with the pairs of a list"
+
+
+def test_marks():
+    """A tenth of the marks differ at a similarity of 0.8, in small sets too; nearly half where little is shared."""
+    rng = random.Random(6)
+    for union in (5, 10, 45, 900):
+        values = np.array([[rng.getrandbits(64) for _ in range(union)] for _ in range(200)], np.uint64)
+        apart = [sum((int(x) & (1 << 64) - 1).bit_count() for x in bottom_k.marks(row[: union * 9 // 10]) ^ bottom_k.marks(row[union // 10 :])) for row in values]
+        assert max(apart) <= bottom_k.MARKS_APART
+    far = [bottom_k.marks(np.array([rng.getrandbits(64) for _ in range(5_000)], np.uint64)) for _ in range(2)]
+    assert sum((int(x) & (1 << 64) - 1).bit_count() for x in far[0] ^ far[1]) > bottom_k.MARKS_APART
+
+
 def test_no_documents_and_awkward_ones(spark, docs, no_docs, nameless, rows):
     assert bottom_k.near_duplicates(no_docs).collect() == []
     found = bottom_k.near_duplicates(docs).collect()
