@@ -171,15 +171,16 @@ def sales_candidates(
     Left joins instead of inner ones, so that rows without a partner are counted in the same
     pass. The items are the left side throughout: where a product or an order holds a large
     share of them, Spark splits that side of the join at run time, and a dimension below the
-    broadcast threshold is not shuffled at all. An item that lacks a key takes its columns `whole` along,
+    broadcast threshold is not shuffled at all. The lookup comes last: what it adds, the customer's ids among
+    it, is then not shuffled for another join. An item that lacks a key takes its columns `whole` along,
     so that nobody has to join it to the items again.
     """
     narrow = ("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
     keyed = (
         items.select(*dict.fromkeys((*narrow, *whole)))
-        .join(lookup, "order_id", "left")
         .join(dim_product.select("product_id", "product_key"), "product_id", "left")
         .join(dim_seller.select("seller_id", "seller_key"), "seller_id", "left")
+        .join(lookup, "order_id", "left")
     )
     reason = _reasons(
         ("customer_key", "No order or customer"),

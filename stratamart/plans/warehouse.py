@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import json
 from collections import Counter
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import date, datetime
 from functools import partial, reduce
 
@@ -27,8 +28,9 @@ from stratamart.operators.upsert import CHANGE, INSERTED, UPDATED, insert_absent
 from stratamart.plans import gold as star
 from stratamart.plans import silver as refined
 from stratamart.schemas import BRONZE, GOLD, INT, LONG, SILVER, TEXT, TOTAL, TOTALS, bronze_schema, table
-from stratamart.session import new_folder
+from stratamart.session import new_folder, shuffles_dropped
 from stratamart.sources import tables
+from stratamart.sources.files import remove
 from stratamart.sources.ledger import FAILED, NO_NEW_DATA, SUCCESS, Ledger, Run, no_rows
 from stratamart.sources.raw import MALFORMED, ROW_FILE, EmptySource, UnknownTable, read_raw, stamp
 from stratamart.sources.versions import MOST_PROBED, PLACE, REPLACED, Versions, folded_totals, notes, signed_totals, sources
@@ -80,6 +82,12 @@ class Warehouse:
         self.ledger.append("settings", _SETTINGS, key_digits=digits)
         return digits
 
+    @contextmanager
+    def _run(self, pipeline: str) -> Iterator[Run]:
+        """A load: its results are written, so nothing needs the shuffle files of its actions once they end."""
+        with shuffles_dropped(self.spark), self.ledger.run(pipeline) as run:
+            yield run
+
     # -- readers -------------------------------------------------------------------------------
 
     def bronze(self, name: str) -> DataFrame:
@@ -189,12 +197,12 @@ class Warehouse:
         pipeline = f"bronze_{name}"
         batch = self.ledger.start_batch(pipeline, batch_key, source_file, takeover)
         try:
-            with self.ledger.run(pipeline) as run:
+            with self._run(pipeline) as run:
                 read = rows()
                 stamped = stamp(read, batch.batch_id, load_datetime or batch.batch_start_time, source_file or F.col(ROW_FILE))
                 stamped = stamped.drop(ROW_FILE)
                 folder = f"{self.root}/bronze/{name}/load_id={batch.batch_id}"
-                stamped.drop("load_id").write.mode("overwrite").parquet(folder)
+                stamped.drop("load_id").write.options(**tables.PACKED).mode("overwrite").parquet(folder)
                 stored = self.spark.read.schema(table(**{MALFORMED: TEXT})).parquet(folder)
                 run.rows_extracted, run.rows_rejected = stored.agg(F.count("*"), F.count(MALFORMED)).first()
                 run.rows_inserted = run.rows_extracted  # malformed rows are kept and counted
@@ -229,16 +237,12 @@ class Warehouse:
         mark = watermark_value(commits[-1].watermark_value) if commits else 0
         return {i: rows for i, rows in sorted(ready.items()) if i not in done}, mark
 
-    def _unseen(self, source: str, done: set[int]) -> DataFrame:
-        """Changes of a silver table by loads that are not done, newest per key; `_new` where the key is new to it.
-
-        Only the folders of these versions are read.
-        """
-        commits = tables.published(self.ledger.commits(f"silver_{source}"))
-        return self._brought(source, [c for c in commits if not done.issuperset(c.load_ids)])
+    def _unseen(self, source: str, done: set[int]) -> list:
+        """The versions of a silver table by loads that are not done."""
+        return [c for c in tables.published(self.ledger.commits(f"silver_{source}")) if not done.issuperset(c.load_ids)]
 
     def _brought(self, source: str, versions: list) -> DataFrame:
-        """Newest rows of some versions of a silver table, and whether their key came with them."""
+        """Newest rows of some versions of a silver table; `_new` where the key came with them. Only their folders are read."""
         keys = list(SILVER[source].keys)
         rows = refined.accepted(self._versions("silver", source).brought(versions))
         if len(versions) > 1:
@@ -247,19 +251,23 @@ class Warehouse:
             rows = latest(rows, keys, [F.col("source_load_id").desc(), F.col("_version").desc()])
         return rows.select(*SILVER[source].schema.fieldNames(), "_new")
 
-    def _increment(self, name: str, pending: dict[int, int | None]) -> tuple[DataFrame, int]:
-        """Rows of the pending loads and their number."""
+    def _increment(self, name: str, pending: dict[int, int | None]) -> tuple[DataFrame, int, bool]:
+        """Rows of the pending loads, their number, and whether they will be dealt for storing.
+
+        The orders of one version lie dealt by the key that deliveries have as well, so these needn't move.
+        """
         if name == "delivery":
             done = {i for c in self.ledger.commits("silver_delivery") for i in c.load_ids}
-            rows = self._unseen("orders", done).drop("_new")
-            return rows, rows.count() if pending else 0
-        return self._bronze_loads(name, list(pending)), sum(pending.values())
+            versions = self._unseen("orders", done)
+            rows = self._brought("orders", versions).drop("_new")
+            return rows, rows.count() if pending else 0, len(versions) == 1
+        return self._bronze_loads(name, list(pending)), sum(pending.values()), True
 
     def load_silver(self, name: str) -> dict:
         """Judge the loads that are new and store what they change."""
-        with self.ledger.run(f"silver_{name}") as run:
+        with self._run(f"silver_{name}") as run:
             pending, mark = self._pending(name)
-            source, run.rows_extracted = self._increment(name, pending)
+            source, run.rows_extracted, dealt = self._increment(name, pending)
             loads = list(pending)
             mark = max([mark, *loads])
             if run.rows_extracted == 0:
@@ -267,7 +275,7 @@ class Warehouse:
                 self.ledger.commit(f"silver_{name}", None, loads, mark)
                 return run.summary()
             judged = refined.build_delivery(source) if name == "delivery" else refined.build_stored(source, name)
-            noted = self._write_changes(name, judged, run, dealt=name != "delivery")
+            noted = self._write_changes(name, judged, run, dealt)
             self.ledger.commit(f"silver_{name}", run.run_id, loads, mark, seen=noted)
             return run.summary()
 
@@ -295,7 +303,7 @@ class Warehouse:
 
     def compact_silver(self, name: str) -> dict:
         """Fold all versions of a silver table into one; its rows stay the same. Never done by itself."""
-        with self.ledger.run(f"silver_{name}") as run:
+        with self._run(f"silver_{name}") as run:
             commits = self.ledger.commits(f"silver_{name}")
             kept = self._versions("silver", name)
             stored = kept.write(self.silver(name), run.run_id)
@@ -318,7 +326,7 @@ class Warehouse:
 
     def load_date_dim(self, start: date | None = None, end: date | None = None) -> dict:
         """Calendar from start to end. A bound that is not given is the one given last, else whole years that cover the purchases."""
-        with self.ledger.run("gold_dim_date") as run:
+        with self._run("gold_dim_date") as run:
             commits = self.ledger.commits("gold_dim_date")
             before = json.loads(commits[-1].seen) if commits else {}
             given = {k: v.toordinal() for k, v in (("start", start), ("end", end)) if v}
@@ -330,7 +338,7 @@ class Warehouse:
             first, last = (date.fromordinal(bounds[k]) if k in bounds else None for k in ("start", "end"))
             days = star.date_dim(self.spark, first, last) if first and last else star.date_dim_of(self.silver("orders"), first, last)
             folder = f"{self.root}/gold/dim_date/version={run.run_id}"
-            days.coalesce(1).write.mode("overwrite").parquet(folder)
+            days.coalesce(1).write.options(**tables.PACKED).mode("overwrite").parquet(folder)
             run.rows_extracted = run.rows_inserted = self.spark.read.schema(GOLD["dim_date"].schema).parquet(folder).count()
             if not run.rows_extracted:
                 raise EmptySource("the calendar has no days: give both bounds or load orders first")
@@ -397,7 +405,7 @@ class Warehouse:
     def _kept(self, rows: DataFrame, label: str) -> DataFrame:
         """The same rows from a written table: computed once, and of a known size."""
         folder = new_folder(self.spark, label)
-        rows.write.parquet(folder)
+        rows.write.options(**tables.PACKED).parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
     def load_dim(self, name: str) -> dict:
@@ -409,7 +417,7 @@ class Warehouse:
         if name == "dim_date":
             return self.load_date_dim()
         spec = GOLD[name]
-        with self.ledger.run(f"gold_{name}") as run:
+        with self._run(f"gold_{name}") as run:
             commits, seen = self.ledger.commits(f"gold_{name}"), self._sources(name)
             before = sources(commits[-1]) if commits else None
             if before == seen:
@@ -423,8 +431,8 @@ class Warehouse:
             members = members.withColumn(_DIGEST.name, F.unhex(F.md5(F.concat(*sized, *nulls).cast("binary"))))
             held = self._dim_rows(name).select(*spec.keys, F.col(spec.surrogate).alias("_key"), F.col(_DIGEST.name).alias("_held"), *PLACE)
             changed = members.join(held, list(spec.keys), "left").where(f"_key IS NULL OR _held <> {_DIGEST.name}")
-            staging = f"{self.root}/staging/{name}/version={run.run_id}"
-            changed.write.mode("overwrite").parquet(staging)
+            staging = self._staging(name, run.run_id)
+            changed.write.options(**tables.PACKED).mode("overwrite").parquet(staging)
             staged = self.spark.read.schema(changed.schema).parquet(staging)
             run.rows_inserted, both = staged.agg(F.count_if(F.col("_key").isNull()), F.count("*")).first()
             run.rows_updated = both - run.rows_inserted
@@ -442,6 +450,7 @@ class Warehouse:
                 noted |= kept.settle(run.run_id, stored, both, [], newer=spec.surrogate)[0]
             if run.rows_updated:
                 noted["_marks"] = kept.mark(run.run_id, staged.where("_key IS NOT NULL").select(F.lit(REPLACED).alias("kind"), *PLACE))[0]
+            remove(self.spark, staging)
             self.ledger.commit(f"gold_{name}", run.run_id if both else None, [], 0, seen=seen | noted)
             return run.summary()
 
@@ -498,7 +507,7 @@ class Warehouse:
         """
         source = FACT_SOURCE[name]
         keys, columns = list(SILVER[source].keys), SILVER[source].schema.fieldNames()
-        changed = self._unseen(source, {i for c in commits for i in c.load_ids})
+        changed = self._brought(source, self._unseen(source, {i for c in commits for i in c.load_ids}))
         if not self._left_commits(commits):
             return changed.where("_new").select(*columns), no_rows(self.spark, table(_version=LONG, _part=TEXT, _file=TEXT, _row=LONG))
         left, arrived = self._left_out(name, commits), self._arrived(name, commits)
@@ -549,18 +558,21 @@ class Warehouse:
         """Whether the rows that a fact has not seen are so few that reading their partners by key pays."""
         source = FACT_SOURCE[name]
         done = {i for c in commits for i in c.load_ids}
-        unseen = [c for c in tables.published(self.ledger.commits(f"silver_{source}")) if not done.issuperset(c.load_ids)]
-        n = sum(notes(c).get("_rows", 0) for c in unseen)
+        n = sum(notes(c).get("_rows", 0) for c in self._unseen(source, done))
         partner = "customers" if name == "fact_delivery" else "orders"
         held = sum(notes(c).get("_rows", 0) for c in tables.current(self.ledger.commits(f"silver_{partner}")))
         return bool(commits) and n <= MOST_PROBED * held
 
+    def _staging(self, name: str, version: int) -> str:
+        """What a load writes for itself, and removes before it publishes its version."""
+        return f"{self.root}/staging/{name}/version={version}"
+
     def _staged(self, name: str, version: int) -> DataFrame:
         """Candidates of one fact load, by outcome."""
         columns = [f for f in GOLD[name].schema.fields if f.name != GOLD[name].surrogate]
         source = T.StructField(star.SOURCE, SILVER[FACT_SOURCE[name]].schema)
         schema = T.StructType(columns + [T.StructField(star.REASON, TEXT), _DEPENDS_ON, source])
-        return self.spark.read.schema(schema).parquet(f"{self.root}/staging/{name}/version={version}")
+        return self.spark.read.schema(schema).parquet(self._staging(name, version))
 
     def load_fact(self, name: str, refresh: bool = False) -> dict:
         """Append the fact rows that are absent; rows without a partner or date count as rejected.
@@ -569,7 +581,7 @@ class Warehouse:
         ``refresh`` the fact is rebuilt from the current silver rows; rows keep their keys.
         """
         spec = GOLD[name]
-        with self.ledger.run(f"gold_{name}") as run:
+        with self._run(f"gold_{name}") as run:
             # Facts only grow and their keys are dense: the row count, read from the file footers, is the last key.
             held = self.gold(name).count()
             commits, partners = self.ledger.commits(f"gold_{name}"), self._sources(name)
@@ -585,7 +597,7 @@ class Warehouse:
             few = not refresh and self._few(name, commits)
             rows, tried = (self.silver(FACT_SOURCE[name]), None) if refresh else self._to_try(name, commits)
             rows = self._kept(rows, "to-try") if few else rows
-            self._star_join(name, rows, few).write.mode("overwrite").parquet(f"{self.root}/staging/{name}/version={run.run_id}")
+            self._star_join(name, rows, few).write.options(**tables.PACKED).mode("overwrite").parquet(self._staging(name, run.run_id))
             staged = self._staged(name, run.run_id)
             by_reason = {r[star.REASON]: r["count"] for r in staged.groupBy(star.REASON).count().collect()}
             n_loadable = by_reason.pop(star.LOADABLE, 0)
@@ -599,6 +611,7 @@ class Warehouse:
                 numbered = assign_keys(star.loadable(staged), spec.surrogate, spec.keys, held, digits=self.key_digits)
                 self._write_fact(spec, numbered, run)
             run.rows_extracted = held + run.rows_inserted
+            remove(self.spark, self._staging(name, run.run_id))
             version = run.run_id if n_loadable or refresh else None
             state = partners | {_LEFT: left, _LEFT_ROWS: run.rows_rejected, _TOTALS: self._fact_totals(name, version)}
             self.ledger.commit(f"gold_{name}", version, sorted(loads - done), max(loads, default=0), whole=refresh, seen=state)
@@ -626,7 +639,7 @@ class Warehouse:
         placed = numbered.withColumn(_MONTH.name, star.order_month(F.col(day)))
         placed = placed.select(*spec.schema.fieldNames(), _MONTH.name).hint("rebalance", F.col(_MONTH.name))
         folder = f"{self.root}/gold/{spec.name}/version={run.run_id}"
-        placed.write.mode("overwrite").partitionBy(_MONTH.name).parquet(folder)
+        placed.write.options(**tables.PACKED).mode("overwrite").partitionBy(_MONTH.name).parquet(folder)
 
     def _fact_totals(self, name: str, version: int | None) -> dict:
         """Rows and sums of a version, read back from it."""
@@ -648,7 +661,7 @@ class Warehouse:
         """All fact rows, with the values of the loadable candidates where there are any."""
         merged = upsert(self.gold(spec.name).drop(_MONTH.name), loadable, spec.keys, carry=spec.surrogate)
         folder = f"{self.root}/staging/{spec.name}/merged={run.run_id}"
-        merged.write.mode("overwrite").parquet(folder)
+        merged.write.options(**tables.PACKED).mode("overwrite").parquet(folder)
         merged = self.spark.read.schema(T.StructType([*spec.schema.fields, _CHANGE])).parquet(folder)
         counts = {r[CHANGE]: r["count"] for r in merged.groupBy(CHANGE).count().collect()}
         run.rows_updated, run.rows_inserted = counts.get(UPDATED, 0), counts.get(INSERTED, 0)
@@ -657,6 +670,7 @@ class Warehouse:
         numbered = assign_keys(fresh, spec.surrogate, spec.keys, held, digits=self.key_digits)
         old = merged.where(F.col(spec.surrogate).isNotNull()).select(*columns)
         self._write_fact(spec, old.unionByName(numbered.select(*columns)), run)
+        remove(self.spark, folder)
 
     # -- all of it -----------------------------------------------------------------------------
 

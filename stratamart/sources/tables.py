@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 
 from stratamart.sources.ledger import no_rows
 
+#: How all tables are written.
+PACKED = {"compression": "zstd"}
+
 
 def published(commits: list[Row]) -> list[Row]:
     """Commits that brought a version, oldest first."""

@@ -25,7 +25,9 @@ from pyspark.sql import types as T
 
 from stratamart.schemas import LONG, TEXT, TOTAL, table
 from stratamart.sources import tables
+from stratamart.sources.files import remove
 from stratamart.sources.ledger import no_rows
+from stratamart.sources.tables import PACKED
 
 REPLACED, STALE, UPDATED = "replaced", "stale", "updated"
 #: Rows of a file that one bitmap covers: as many as Spark's bitmaps have bits.
@@ -203,7 +205,7 @@ class Versions:
         hashed = rows.select("_part", "_file", F.xxhash64(*self.keys).alias("_hash"))
         spread = hashed.select(_page(depth).alias("page"), F.col("_part").alias("f_part"), F.col("_file").alias("f_file"), probes)
         pages = bitmaps(spread, ["page", "f_part", "f_file"], "probe")
-        pages.select(F.lit(depth).alias("depth"), "page", "f_part", "f_file", "bits").write.mode("overwrite").parquet(f"{self.filters_folder}/version={version}")
+        pages.select(F.lit(depth).alias("depth"), "page", "f_part", "f_file", "bits").write.options(**PACKED).mode("overwrite").parquet(f"{self.filters_folder}/version={version}")
         return depth
 
     # -- writers -------------------------------------------------------------------------------
@@ -217,7 +219,7 @@ class Versions:
         for key in self.keys:
             whole = whole & F.col(key).isNotNull()
         place = F.when(whole, slot(self.keys)).otherwise(slot(rows.columns))
-        writer = (rows if dealt else rows.repartition(place)).write.mode("overwrite")
+        writer = (rows if dealt else rows.repartition(place)).write.options(**PACKED).mode("overwrite")
         (writer.partitionBy(self.part) if self.part else writer).parquet(f"{self.folder}/version={version}")
         return self.stored([Row(version=version)])
 
@@ -227,7 +229,7 @@ class Versions:
         found = places.select("kind", *(F.col(f"_{x}").alias(f"m_{x}") for x in ("version", "part", "file")), bucket.alias("m_bucket"), "_row")
         bits = bitmaps(found, ["kind", "m_version", "m_part", "m_file", "m_bucket"], f"_row % {BUCKET}")
         folder = f"{self.marks_folder}/version={version}"
-        bits.write.mode("overwrite").parquet(folder)
+        bits.write.options(**PACKED).mode("overwrite").parquet(folder)
         written = self.spark.read.schema(_MARKS).parquet(folder)
         counts = written.groupBy("kind").agg(F.count("*").alias("bitmaps"), F.sum(F.bitmap_count("bits")).alias("rows")).collect()
         return sum(r.bitmaps for r in counts), {r.kind: r.rows for r in counts}
@@ -240,13 +242,13 @@ class Versions:
         the replaced ones. So the totals of a table are sums over its commits, in any order.
         """
         marks, kinds, added = 0, {}, [own.select("_part", F.lit(1).alias("sign"), *totals)]
-        if versions and n:
+        folder = f"{self.matches_folder}/version={version}" if versions and n else None
+        if folder:
             of_old = {x: f"old{x}" for x in (*PLACE, *totals)}
             held = self._held(own, n, versions).select(*self.keys, F.col(newer).alias("_held"), *(F.col(x).alias(y) for x, y in of_old.items()))
             both = own.select(*self.keys, newer, *PLACE, *totals).join(held, self.keys)
             won = F.col(newer) > F.col("_held")
-            folder = f"{self.matches_folder}/version={version}"
-            both.select(won.alias("won"), *PLACE, *totals, *of_old.values()).write.mode("overwrite").parquet(folder)
+            both.select(won.alias("won"), *PLACE, *totals, *of_old.values()).write.options(**PACKED).mode("overwrite").parquet(folder)
             both = self.spark.read.parquet(folder)
 
             def place(kind: str, before: str = "") -> Column:
@@ -258,6 +260,8 @@ class Versions:
             added.append(both.select(F.lit(-1).alias("sign"), *gone))
         depth = self._write_filters(version, own, n) if n else 0
         noted = {"_marks": marks, "_rows": n, "_depth": depth, "_totals": signed_totals(added, totals)}
+        if folder:
+            remove(self.spark, folder)
         return noted, kinds.get(UPDATED, 0), kinds.get(STALE, 0)
 
     def _held(self, keys: DataFrame, n: int, versions: list[Row]) -> DataFrame:
