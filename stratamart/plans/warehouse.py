@@ -662,6 +662,7 @@ class Warehouse:
         merged = upsert(self.gold(spec.name).drop(_MONTH.name), loadable, spec.keys, carry=spec.surrogate)
         folder = f"{self.root}/staging/{spec.name}/merged={run.run_id}"
         merged.write.options(**tables.PACKED).mode("overwrite").parquet(folder)
+        remove(self.spark, self._staging(spec.name, run.run_id))
         merged = self.spark.read.schema(T.StructType([*spec.schema.fields, _CHANGE])).parquet(folder)
         counts = {r[CHANGE]: r["count"] for r in merged.groupBy(CHANGE).count().collect()}
         run.rows_updated, run.rows_inserted = counts.get(UPDATED, 0), counts.get(INSERTED, 0)
