@@ -324,6 +324,23 @@ def _shared(first: DataFrame) -> DataFrame:
     return x.withColumn("near", near).drop("before").where("not short or size(near) > 0")
 
 
+def _grouped(given: DataFrame, first: DataFrame, found: DataFrame) -> DataFrame | None:
+    """The groups that given pairs name as lists of their own, None if none has pairs beyond those given that are still apart.
+
+    Members need not share a value, so all have the place 0, which leaves the whole set for the intersection. No list's name has the
+    last bit that a group's has.
+    """
+    several = given.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a")
+    names = written(_apart(given, found).select("a").distinct().join(several, "a"), "near-groups")
+    if not names.take(1):
+        return None
+    tied = given.join(names, "a")
+    value = F.col("a").bitwiseOR(1).alias("value")
+    members = tied.select(value, F.col("b").alias("copy")).union(tied.select(value, "a")).distinct()
+    known = first.select("copy", "n", "marks", "marks2").join(members.select("copy"), "copy", "left_semi").dropDuplicates(["copy"])
+    return written(members.join(known, "copy").select("value", "copy", "n", F.lit(0).cast("long").alias("place"), "marks", "marks2"), "near-grouped")
+
+
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose ends are not in one component yet."""
     for end in ("a", "b"):
@@ -332,7 +349,11 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _components(docs: DataFrame, own: DataFrame, width: int, given: DataFrame | None = None) -> DataFrame:
-    """(node, root) of all copies that are linked but the roots. Given pairs (a, b) of copies are held against each other first."""
+    """(node, root) of all copies that are linked but the roots.
+
+    Given pairs (a, b) of copies are held against each other first; those with the same a are a group, of which further rounds
+    compare all pairs that are still in two components, as in a long list.
+    """
     first = own.where("retained is not null")
     shared = written(_shared(first), "near-shared")
     judge = _Judge(docs, width)
@@ -345,6 +366,8 @@ def _components(docs: DataFrame, own: DataFrame, width: int, given: DataFrame |
         links = judge.links(given)
         links = links.union(judge.links(_apart(pairs.distinct(), roots(links))))
         found = written(roots(links), "near-roots")
+        groups = _grouped(given, first, found)
+        large = large if groups is None else large.union(groups)
 
     turn, joined = 0, None
     while True:
@@ -371,7 +394,8 @@ def _components(docs: DataFrame, own: DataFrame, width: int, given: DataFrame |
 def components(docs: DataFrame, width: int, given: DataFrame | None = None) -> DataFrame:
     """doc_id, n_shingles, copy, root (the component's own name) and component_id, the least doc_id that can be reached over links.
 
-    Pairs (a, b) of copies that another method gives are verified like all candidates, before the lists.
+    Groups that another method gives, as pairs (a, b) of one member and each other, are verified like all candidates: the pairs
+    given before the lists, the other pairs of a group with the lists.
     """
     own = written(_own(docs, width), "near-own")
     firsts = written(own.groupBy("copy").agg(F.min("doc_id").alias("first_id")), "near-ids")

@@ -161,7 +161,10 @@ def component_ids(docs: DataFrame) -> DataFrame:
 
 
 def near_pairs(docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of copies with words: each copy of a component of fingerprints with the least one, never all pairs."""
+    """Copies with words that are in one component of fingerprints, as pairs (a, b) of the least copy and each other one.
+
+    They name the whole group: bottom_k verifies these pairs first and then holds the members that are still apart against each other.
+    """
 
     def run(batches: Batches):
         for batch in batches:
@@ -181,8 +184,8 @@ def kept(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies, that with the least doc_id, with all its columns.
 
     Two texts are near copies if their five-word shingles have a similarity of 0.8. The trees of fingerprints give the first
-    pairs, which are verified on the full sets; as few texts of that similarity are within two bits, the lists of bottom_k
-    give those between groups that are still apart. Texts without words are one group. Of texts of
+    groups: each member is held against the least one on the full sets, then those still apart against each other. As few
+    texts of that similarity are within two bits, the lists of bottom_k give the pairs between groups. Texts without words are one group. Of texts of
     a group that share this doc_id the one of the least copy stays, and one of its rows; rows without doc_id stay if no row of their group has one.
     """
     found = bottom_k.components(docs, 5, near_pairs(docs))

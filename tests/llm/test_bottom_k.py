@@ -87,6 +87,23 @@ def test_fingerprint_trees_come_first(spark, docs, texts, monkeypatch):
     assert all(first.isdisjoint({frozenset((r.a, r.b)) for r in x.collect()}) for x in judged[1:])
 
 
+def test_all_pairs_of_a_group_of_fingerprints(spark, docs, monkeypatch):
+    """Texts with one word repeated very often have one fingerprint; of these the linked ones are found without the lists' help."""
+    rng, shared = random.Random(9), bottom_k._shared
+    monkeypatch.setattr(bottom_k, "_shared", lambda first: shared(first).where("false"))
+
+    def text(rest):
+        return "la " * 300 + rest
+
+    rests = [" ".join(f"t{rng.randrange(10**6)}" for _ in range(50)) for _ in range(9)]
+    texts = sorted(map(text, rests), key=lambda x: bottom_k.copy_of(x.lower().encode().split()))
+    texts += [edited(rng, x, 1) for x in texts[3:] for _ in range(2)]
+    assert len({simhash.fingerprint(x.encode()) for x in texts}) == 1
+    expected = brute_least(texts)
+    assert len(set(expected)) < len(texts)
+    assert {r.doc_id for r in simhash.kept(_frame(spark, texts)).collect()} == set(expected)
+
+
 def test_long_lists(spark, docs, monkeypatch):
     """A large group of edits of one text, of which many are linked to few others or to none, and a passage that all other texts hold."""
     monkeypatch.setattr(bottom_k, "SMALL", 1)
